@@ -46,41 +46,48 @@ def attribute(attributes: Column, name: str) -> Column:
     return unescape(F.regexp_replace(raw, r"""^["']|["']\z""", ""))
 
 
-def _element(tag: str) -> str:
-    """Pattern of an outermost element: balanced content, written out to a fixed nesting depth.
-
-    An element that is never closed reaches to the end.
-    """
+def _opening(tag: str, class_part: str | None = None) -> str:
+    """Pattern of a start tag, optionally only with ``class_part`` in its class attribute."""
+    guard = ""
+    if class_part is not None:
+        part = re.escape(class_part)
+        before = r"""(?:[^>"'\s]++|\s(?!class\s*+=)|"[^"]*+"|'[^']*+')*+"""
+        guard = rf"""(?={before}\sclass\s*+=\s*+(?:"[^"]*?{part}|'[^']*?{part}|[^\s"'>]*?{part}))"""
+    return rf"<{re.escape(tag)}(?=[\s/>]){guard}{_ATTRIBUTES}>"
+
+
+def _balanced(tag: str) -> str:
+    """Pattern of balanced content of ``tag``, written out to a fixed nesting depth."""
     name = re.escape(tag)
-    opening = rf"<{name}(?=[\s/>]){_ATTRIBUTES}>"
-    closing = rf"</{name}\s*+>"
     other = rf"[^<]++|<(?!/?{name}[\s/>])"
     content = rf"(?:{other})*+"
     for _ in range(_NESTING):
-        content = rf"(?:{other}|{opening}{content}{closing})*+"
-    return rf"{opening}(?:{content}{closing}|.*\z)"
+        content = rf"(?:{other}|{_opening(tag)}{content}</{name}\s*+>)*+"
+    return content
 
 
-def _has_class(element: Column, tag: str, part: str) -> Column:
-    """Does the class attribute of the element's own start tag hold ``part``?"""
-    opening = F.regexp_extract(element, rf"(?is)\A<{re.escape(tag)}{_ATTRIBUTES}>", 0)
-    value = F.regexp_extract(opening, r"""(?is)\sclass\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]*+)""", 1)
-    return value.contains(part)
+def _outermost(step: Step) -> str:
+    """Pattern consuming outermost elements of the step's tag; group 1 is the content of those it wants.
+
+    An element that is never closed reaches to the end.
+    """
+    content = rf"{_balanced(step.tag)}(?=</{re.escape(step.tag)}\s*+>)|.*\z"
+    wanted = rf"{_opening(step.tag, step.class_part)}({content})"
+    if step.class_part is None:
+        return f"(?is){wanted}"
+    return rf"(?is){wanted}|{_opening(step.tag)}(?:{content})"
 
 
 def contents(scopes: Column, step: Step) -> Column:
     """Contents of the elements ``step`` picks in each of the given pieces of HTML, in page order."""
-    tag_edges = rf"(?is)\A<{re.escape(step.tag)}{_ATTRIBUTES}>|</{re.escape(step.tag)}\s*+>\z"
+    if step.class_part is not None and step.nth is not None:
+        raise ValueError("a step picks by class or by place, not both")
 
     def inside(scope: Column) -> Column:
         for tag in step.outside:
-            scope = F.regexp_replace(scope, rf"(?is){_element(tag)}", "")
-        elements = F.regexp_extract_all(scope, F.lit(rf"(?is){_element(step.tag)}"), F.lit(0))
-        if step.class_part is not None:
-            elements = F.filter(elements, lambda e: _has_class(e, step.tag, step.class_part))
-        if step.nth is not None:
-            elements = F.slice(elements, step.nth, 1)
-        return F.transform(elements, lambda e: F.regexp_replace(e, tag_edges, ""))
+            scope = F.regexp_replace(scope, rf"(?is){_opening(tag)}{_balanced(tag)}</{re.escape(tag)}\s*+>", "")
+        elements = F.regexp_extract_all(scope, F.lit(_outermost(step)), F.lit(1))
+        return elements if step.nth is None else F.slice(elements, step.nth, 1)
 
     return F.flatten(F.transform(scopes, inside))
 

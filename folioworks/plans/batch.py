@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -39,21 +39,9 @@ class Landing:
     existing_dirs: DataFrame | None = None
 
 
-@dataclass(frozen=True)
-class Preparation:
-    """Results of preprocessing a list of URLs."""
-
-    urls: DataFrame
-    failures: DataFrame
-    documents: DataFrame
-    pages: DataFrame
-    orders: DataFrame
-    manifest: DataFrame
-
-
 @dataclass(frozen=True)
 class Report:
-    """Results of looking at the attempt log of a prepared run."""
+    """Results of looking at the attempt log of a run."""
 
     outcomes: DataFrame
     failed: DataFrame
@@ -61,15 +49,6 @@ class Report:
     verdict: DataFrame
 
 
-def _stage(df: DataFrame, work_dir: str | None, name: str) -> DataFrame:
-    """Keep an intermediate result as a table in the shared work folder, or leave it lazy without one.
-
-    A staged table is computed once however many jobs read it, survives lost executors, and gives the joins behind
-    it real sizes.
-    """
-    return df if work_dir is None else write_table(df, os.path.join(work_dir, name))
-
-
 def required_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFrame, html: DataFrame) -> DataFrame:
     """Landed HTML of the documents whose REST answer leaves something open."""
     scalars = page_facts.drop("rest_pages", "maybe_truncated")
@@ -77,61 +56,109 @@ def required_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFra
     return html.join(wanted, "document_id", "left_semi")
 
 
-def prepare(
-    landing: Landing,
-    libraries: Sequence[Library],
-    options: Options,
-    written_at: str,
-    explicit_pages: Sequence[str] | None = None,
-    rest: RestSearch = DEFAULT_REST,
-    dom: DomSearch = DEFAULT_DOM,
-    work_dir: str | None = None,
-) -> Preparation:
-    """From URL lines and landed responses to documents, pages, download orders and the manifest."""
-    urls = _stage(document_ids(assign_library(url_manifest(landing.url_lines), libraries)), work_dir, "urls")
-    ids = (
-        urls.filter(F.col("library_name").isNotNull() & F.col("document_id").isNotNull())
-        .select("document_id")
-        .distinct()
-    )
-    document_facts = _stage(rest_metadata(landing.document_responses, rest), work_dir, "document_facts")
-    page_facts = _stage(rest_page_lists(landing.page_responses, rest), work_dir, "page_facts")
-    html = landing.html_pages
-    if explicit_pages is None:
-        html = required_html(ids, document_facts, page_facts, html)
-    html_facts = _stage(dom_facts(html, dom), work_dir, "html_facts")
-    resolved = _stage(
-        resolve_documents(ids, document_facts, page_facts, html_facts, explicit_pages), work_dir, "resolved"
-    )
-    labelled = _stage(assemble_documents(urls, resolved), work_dir, "labelled")
-    planned = output_dirs(effective_options(accepted(labelled), options), options.output)
-    documents = _stage(dir_conflicts(planned, landing.existing_dirs), work_dir, "documents")
-    granted = _stage(
-        resolved_page_lists(documents.filter("dir_granted"), page_facts, html_facts, explicit_pages),
-        work_dir,
-        "granted",
-    )
-    pages = page_table(granted)
-    return Preparation(
-        urls=urls,
-        failures=preprocess_failures(labelled),
-        documents=documents,
-        pages=pages,
-        orders=work_orders(pages, options.tool_path),
-        manifest=document_manifest(granted, options.tool_path, written_at),
-    )
-
-
-def report(prepared: Preparation, attempts: DataFrame, work_dir: str | None = None) -> Report:
-    """From the attempt log of a prepared run to its failure list and verdict."""
-    judged = _stage(attempt_outcomes(attempts).select("doc_key", "page_index", "outcome"), work_dir, "judged")
-    granted = prepared.documents.filter("dir_granted")
-    outcomes = document_outcomes(judged, granted.select("doc_key", "page_count"))
-    order = library_order(prepared.urls)
-    failed = _stage(failed_documents(prepared.failures, prepared.documents, outcomes, order), work_dir, "failed")
-    return Report(
-        outcomes=outcomes,
-        failed=failed,
-        libraries=library_documents(prepared.documents, order),
-        verdict=run_summary(prepared.urls, failed),
-    )
+class ArchiveRun:
+    """From URL lines and landed responses to documents, pages, download orders and the manifest.
+
+    Every step is a property. With ``work_dir``, a folder all executors share, the steps other steps build on are
+    written there when first asked for: bodies are parsed once however often their facts are read, joins further on
+    know real sizes, and a lost executor costs no replay. Without it everything stays one lazy plan.
+    """
+
+    def __init__(
+        self,
+        landing: Landing,
+        libraries: Sequence[Library],
+        options: Options,
+        written_at: str,
+        explicit_pages: Sequence[str] | None = None,
+        rest: RestSearch = DEFAULT_REST,
+        dom: DomSearch = DEFAULT_DOM,
+        work_dir: str | None = None,
+    ):
+        self.landing = landing
+        self.registry = libraries
+        self.options = options
+        self.written_at = written_at
+        self.explicit_pages = explicit_pages
+        self.rest = rest
+        self.dom = dom
+        self.work_dir = work_dir
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return df if self.work_dir is None else write_table(df, f"{self.work_dir}/{name}")
+
+    @cached_property
+    def urls(self) -> DataFrame:
+        return document_ids(assign_library(url_manifest(self.landing.url_lines), self.registry))
+
+    @cached_property
+    def ids(self) -> DataFrame:
+        known = F.col("library_name").isNotNull() & F.col("document_id").isNotNull()
+        return self.urls.filter(known).select("document_id").distinct()
+
+    @cached_property
+    def document_facts(self) -> DataFrame:
+        return self._stage(rest_metadata(self.landing.document_responses, self.rest), "document_facts")
+
+    @cached_property
+    def page_facts(self) -> DataFrame:
+        return self._stage(rest_page_lists(self.landing.page_responses, self.rest), "page_facts")
+
+    @cached_property
+    def html_facts(self) -> DataFrame:
+        html = self.landing.html_pages
+        if self.explicit_pages is None:
+            html = required_html(self.ids, self.document_facts, self.page_facts, html)
+        return self._stage(dom_facts(html, self.dom), "html_facts")
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        return resolve_documents(
+            self.ids, self.document_facts, self.page_facts, self.html_facts, self.explicit_pages
+        )
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        return self._stage(assemble_documents(self.urls, self.resolved), "labelled")
+
+    @property
+    def failures(self) -> DataFrame:
+        return preprocess_failures(self.labelled)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        planned = output_dirs(effective_options(accepted(self.labelled), self.options), self.options.output)
+        return self._stage(dir_conflicts(planned, self.landing.existing_dirs), "documents")
+
+    @cached_property
+    def granted(self) -> DataFrame:
+        """Documents that got their folder, with their page lists."""
+        return resolved_page_lists(
+            self.documents.filter("dir_granted"), self.page_facts, self.html_facts, self.explicit_pages
+        )
+
+    @property
+    def pages(self) -> DataFrame:
+        return page_table(self.granted)
+
+    @property
+    def orders(self) -> DataFrame:
+        return work_orders(self.pages, self.options.tool_path)
+
+    @property
+    def manifest(self) -> DataFrame:
+        return document_manifest(self.granted, self.options.tool_path, self.written_at)
+
+    def report(self, attempts: DataFrame) -> Report:
+        """From the attempt log to the failure list and the verdict."""
+        judged = self._stage(attempt_outcomes(attempts).select("doc_key", "page_index", "outcome"), "judged")
+        counts = self.documents.filter("dir_granted").select("doc_key", "page_count")
+        outcomes = document_outcomes(judged, counts)
+        order = library_order(self.urls)
+        failed = failed_documents(self.failures, self.documents, outcomes, order)
+        return Report(
+            outcomes=outcomes,
+            failed=failed,
+            libraries=library_documents(self.documents, order),
+            verdict=run_summary(self.urls, failed),
+        )

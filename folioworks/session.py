@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,18 +44,25 @@ def local_session(app_name: str = "folioworks", cpus: str | None = None) -> Spar
     return tune(spark)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the folder named by ``spark.checkpoint.dir``, so a lost executor costs no replay.
-
-    Only a local session without that setting gets a temporary folder; a cluster must name a shared one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``; a local session without one gets a temporary folder, once."""
     context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="folioworks-")
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="folioworks-checkpoint-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for the intermediate tables of one run, inside the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4()}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so that a lost executor costs no replay of what led to it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioworks.config import METADATA_FIELDS, ApiTemplates, DomSearch, Library, Step
+from folioworks.config import METADATA_FIELDS, ApiTemplates, DomSearch, Step
 from folioworks.operators import (
     attempts as attempt_jobs,
     causes,
@@ -20,8 +20,8 @@ from folioworks.operators import (
     rollup,
     urls,
 )
-from folioworks.plans.batch import Landing, Preparation, Report, prepare, report, required_html
-from folioworks.session import tune
+from folioworks.plans.batch import ArchiveRun, Landing, Report
+from folioworks.session import tune, work_folder
 from workloads import derived
 
 WRITTEN_AT = "2024-01-02 03:04:05"
@@ -107,60 +107,56 @@ def dom_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.select("document_id", *(f"dom_{name}" for name in METADATA_FIELDS))
 
 
-def _resolved(spark: SparkSession, sf_dir: str, explicit=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    ids = _ids(spark, sf_dir)
-    document_facts = rest.rest_metadata(derived.document_responses(spark, sf_dir))
-    page_facts = rest.rest_page_lists(derived.page_responses(spark, sf_dir))
-    html = derived.html_pages(spark, sf_dir)
-    if explicit is None:
-        html = required_html(ids, document_facts, page_facts, html)
-    html_facts = dom.dom_facts(html)
-    return resolve.resolve_documents(ids, document_facts, page_facts, html_facts, explicit), page_facts, html_facts
+def _run(spark: SparkSession, sf_dir: str, urls_of=derived.doc_urls_with_copies, sites=(0, 1), explicit=None):
+    """The whole job over the derived inputs, its intermediate tables in a new work folder."""
+    landing = Landing(
+        url_lines=urls_of(spark, sf_dir).withColumnRenamed("url", "line"),
+        document_responses=derived.document_responses(spark, sf_dir),
+        page_responses=derived.page_responses(spark, sf_dir),
+        html_pages=derived.html_pages(spark, sf_dir),
+        existing_dirs=derived.existing_dirs(spark, sf_dir),
+    )
+    return ArchiveRun(
+        landing,
+        derived.order_libraries(sites),
+        derived.OPTIONS,
+        WRITTEN_AT,
+        explicit_pages=explicit,
+        work_dir=work_folder(spark),
+    )
+
+
+def _resolution(spark: SparkSession, sf_dir: str, explicit=None) -> ArchiveRun:
+    """Every site registered, no URL twice."""
+    return _run(spark, sf_dir, derived.doc_urls, (0, 1, 2), explicit)
 
 
 def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved, _, _ = _resolved(spark, sf_dir)
-    return resolved.select(
+    return _resolution(spark, sf_dir).resolved.select(
         "document_id", "pages_source", "failure_class", F.col("page_count").cast("bigint").alias("page_count")
     )
 
 
 def resolve_pages_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved, _, _ = _resolved(spark, sf_dir, EXPLICIT)
-    return resolved.select(
+    return _resolution(spark, sf_dir, EXPLICIT).resolved.select(
         "document_id", "pages_source", "failure_class", F.col("page_count").cast("bigint").alias("page_count"), "title"
     )
 
 
 def resolved_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved, page_facts, html_facts = _resolved(spark, sf_dir)
-    settled = resolved.filter(F.col("pages_source").isNotNull()).select("document_id", "pages_source")
-    return _pages_exploded(resolve.resolved_page_lists(settled, page_facts, html_facts), "page_ids")
+    run = _resolution(spark, sf_dir)
+    settled = run.resolved.filter(F.col("pages_source").isNotNull()).select("document_id", "pages_source")
+    return _pages_exploded(resolve.resolved_page_lists(settled, run.page_facts, run.html_facts), "page_ids")
 
 
 def resolve_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Final texts of the documents that have pages; the others never get as far."""
-    resolved, _, _ = _resolved(spark, sf_dir)
-    settled = resolved.filter(F.col("pages_source").isNotNull())
+    settled = _resolution(spark, sf_dir).resolved.filter(F.col("pages_source").isNotNull())
     return settled.select("document_id", *METADATA_FIELDS, "title_source", "part_subtitle_source")
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> Landing:
-    return Landing(
-        url_lines=derived.doc_urls_with_copies(spark, sf_dir).withColumnRenamed("url", "line"),
-        document_responses=derived.document_responses(spark, sf_dir),
-        page_responses=derived.page_responses(spark, sf_dir),
-        html_pages=derived.html_pages(spark, sf_dir),
-        existing_dirs=derived.existing_dirs(spark, sf_dir),
-    )
-
-
-def _prepared(spark: SparkSession, sf_dir: str) -> Preparation:
-    return prepare(_landing(spark, sf_dir), derived.ORDER_LIBRARIES, derived.OPTIONS, WRITTEN_AT)
-
-
 def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).documents.select(
+    return _run(spark, sf_dir).documents.select(
         "doc_key",
         "source_url",
         "library_name",
@@ -172,18 +168,18 @@ def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preprocess_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).failures
+    return _run(spark, sf_dir).failures
+
+
+def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All accepted documents, copies included, with their page lists."""
+    run = _run(spark, sf_dir)
+    accepted = document_jobs.accepted(run.labelled)
+    return resolve.resolved_page_lists(accepted, run.page_facts, run.html_facts)
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of all accepted documents, copies included."""
-    resolved, page_facts, html_facts = _resolved(spark, sf_dir)
-    found = urls.document_ids(
-        urls.assign_library(derived.doc_urls_with_copies(spark, sf_dir), derived.ORDER_LIBRARIES)
-    )
-    labelled = document_jobs.assemble_documents(found, resolved)
-    lists = resolve.resolved_page_lists(document_jobs.accepted(labelled), page_facts, html_facts)
-    return document_jobs.page_table(lists).drop("library_name")
+    return document_jobs.page_table(_lists(spark, sf_dir)).drop("library_name")
 
 
 def landed_page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +201,7 @@ def landed_page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def output_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).documents.select("doc_key", "document_id", "output_dir")
+    return _run(spark, sf_dir).documents.select("doc_key", "document_id", "output_dir")
 
 
 def output_dirs_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,13 +224,12 @@ def output_dirs_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dir_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).documents.select("doc_key", "output_dir", "dir_granted")
+    return _run(spark, sf_dir).documents.select("doc_key", "output_dir", "dir_granted")
 
 
 def _with_options(spark: SparkSession, sf_dir: str, layers) -> DataFrame:
     # All three sites are registered here, so that one of them has no layer of its own.
-    libraries = tuple(Library(f"lib{i}", (f"https://lib{i}.example.org/",), "") for i in (0, 1, 2))
-    assigned = urls.assign_library(derived.doc_urls(spark, sf_dir), libraries)
+    assigned = urls.assign_library(derived.doc_urls(spark, sf_dir), derived.order_libraries((0, 1, 2)))
     chosen = options.effective_options(assigned, layers)
     return chosen.select(
         "pos", _joined("args", " "), "allow_insecure", "subfolder", "insecure", "contradiction"
@@ -250,7 +245,7 @@ def effective_options_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _prepared(spark, sf_dir).orders
+    orders = _run(spark, sf_dir).orders
     return orders.select("doc_key", "page_index", "page_url", _joined("command", " "))
 
 
@@ -268,17 +263,11 @@ def cert_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved, page_facts, html_facts = _resolved(spark, sf_dir)
-    found = urls.document_ids(
-        urls.assign_library(derived.doc_urls_with_copies(spark, sf_dir), derived.ORDER_LIBRARIES)
-    )
-    labelled = document_jobs.assemble_documents(found, resolved)
-    lists = resolve.resolved_page_lists(document_jobs.accepted(labelled), page_facts, html_facts)
-    return manifest.page_lists(lists).select("doc_key", _joined("page_ids"), "page_count")
+    return manifest.page_lists(_lists(spark, sf_dir)).select("doc_key", _joined("page_ids"), "page_count")
 
 
 def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _prepared(spark, sf_dir).manifest
+    rows = _run(spark, sf_dir).manifest
     return rows.withColumn("pages", F.array_join("pages", "|")).drop("tool_path", "written_at")
 
 
@@ -287,8 +276,8 @@ def document_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reported(spark: SparkSession, sf_dir: str) -> Report:
-    prepared = _prepared(spark, sf_dir)
-    return report(prepared, derived.run_attempts(prepared.pages))
+    run = _run(spark, sf_dir)
+    return run.report(derived.run_attempts(run.pages))
 
 
 def failed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

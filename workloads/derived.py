@@ -6,6 +6,8 @@ body are first reduced to the first and last entry per page number (or page id),
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioworks.config import Library, OptionLayer, Options
@@ -18,9 +20,14 @@ PAGE_LIBRARIES = (
     Library("Lib_BLOGHTTP", ("http://blog.",), "http://img.blog.example.org/"),
 )
 
-ORDER_LIBRARIES = tuple(
-    Library(f"lib{i}", (f"https://lib{i}.example.org/",), f"https://img{i}.example.org/") for i in (0, 1)
-)
+
+
+def order_libraries(sites: Sequence[int]) -> tuple[Library, ...]:
+    """Registry of the given sites of the order URLs."""
+    return tuple(
+        Library(f"lib{i}", (f"https://lib{i}.example.org/",), f"https://img{i}.example.org/") for i in sites
+    )
+
 
 OPTIONS = Options(
     libraries={
