@@ -9,9 +9,11 @@ from pyspark.sql import Column, functions as F
 
 from folioworks.functions.binding import let
 
-# Unicode white space plus the separators \x1c-\x1f, which Java's \s leaves out even with (?U).
-_SPACE = r"[\s\x1c-\x1f\x85]"
-_EDGES = rf"(?U)^{_SPACE}++|{_SPACE}++\z"
+# Every character Unicode or the ASCII separators count as white space, in code point order.
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Group 1 is the path: scheme, authority, parameters of the last segment, query and fragment stay outside.
 _URL_PATH = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*?)(?:;[^/?#]*)?(?:[?#].*)?\z"
@@ -21,12 +23,12 @@ _REFERENCE = r"&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);?"
 
 def strip(column: Column) -> Column:
     """Trim every kind of white space from both ends."""
-    return F.regexp_replace(column, _EDGES, "")
+    return F.btrim(column, F.lit(_SPACES))
 
 
 def is_blank(column: Column) -> Column:
     """True when nothing but white space is left."""
-    return ~column.rlike(r"(?U)[^\s\x1c-\x1f\x85]")
+    return strip(column) == ""
 
 
 def url_path(url: Column) -> Column:

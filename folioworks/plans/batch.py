@@ -89,7 +89,9 @@ class ArchiveRun:
 
     @cached_property
     def urls(self) -> DataFrame:
-        return document_ids(assign_library(url_manifest(self.landing.url_lines), self.registry))
+        return self._stage(
+            document_ids(assign_library(url_manifest(self.landing.url_lines), self.registry)), "urls"
+        )
 
     @cached_property
     def ids(self) -> DataFrame:

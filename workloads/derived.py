@@ -146,9 +146,9 @@ def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.array_sort(F.flatten(F.collect_list("_ends"))).alias("_lines"))
     )
-    joined = table(spark, sf_dir, "orders").select("o_orderkey").join(
-        lists, F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
+    # Spread by order before the join, which needs it anyway: bodies are then built and parsed by all cores.
+    orders = table(spark, sf_dir, "orders").select("o_orderkey").repartition("o_orderkey")
+    joined = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key = F.col("o_orderkey")
 
     def entry(line, pos):
@@ -184,7 +184,8 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    joined = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    spread = orders.repartition("o_orderkey")
+    joined = spread.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key = F.col("o_orderkey")
     divs = F.coalesce(
         F.array_join(

@@ -232,9 +232,10 @@ ORACLES: dict[str, str] = {
     "JOIN facts USING (k) WHERE loaded",
     "dom_kinds": _with(_FACTS) + "SELECT document_id, dom_kind FROM facts WHERE landed",
     "dom_text": _with(_CLEAN_HTML)
-    + r"""SELECT document_id, trim(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html,
-      '(?is)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&quot;', '"'), '&copy;', '©'),
-      '&middot;', '·'), '&lt;', '<'), '&amp;', '&')) AS headline
+    + r"""SELECT document_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      regexp_replace(regexp_extract(html, '(?is)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
+      '&quot(;|\b)', '"', 'g'), '&copy(;|\b)', '©', 'g'), '&middot(;|\b)', '·', 'g'), '&lt(;|\b)', '<', 'g'),
+      '&amp(;|\b)', '&', 'g')) AS headline
     FROM cleaned""",
     "dom_metadata": _with(_FACTS) + "SELECT document_id, dom_title, dom_subtitle, dom_part_title, "
     "'' AS dom_part_subtitle FROM texts WHERE landed",
