@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -14,3 +14,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     over a one-element array does.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that stay computed: no later filter on them moves below and computes them again.
+
+    Catalyst pushes a filter through a projection by copying the expressions into it, which for a parsed body means
+    parsing it once more per mention. It does not push through an outer explode.
+    """
+    values = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select("*", F.explode_outer(F.array(values)).alias("_values")).select(*df.columns, "_values.*")

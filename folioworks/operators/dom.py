@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import DEFAULT_DOM, METADATA_FIELDS, DomSearch, Step
+from folioworks.functions.binding import computed_once
 from folioworks.functions.html import attribute, contents, start_tags, text_of, without_noise
 
 
@@ -57,7 +58,8 @@ def dom_facts(pages: DataFrame, search: DomSearch = DEFAULT_DOM, fields: Sequenc
         .otherwise("ok")
     )
     texts = _with_texts(_loaded(pages), {f"dom_{name}": search.metadata[name] for name in fields})
-    return texts.withColumn("_found", F.coalesce(found, F.array().cast("array<string>"))).select(
+    found = computed_once(texts, _found=F.coalesce(found, F.array().cast("array<string>")))
+    return found.select(
         "document_id",
         kind.alias("dom_kind"),
         F.when(F.col("error_class").isNull(), F.col("_found")).alias("dom_pages"),

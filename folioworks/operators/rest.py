@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import DEFAULT_REST, METADATA_FIELDS, PAGES_PER_RESPONSE, RestSearch
-from folioworks.functions.binding import let
+from folioworks.functions.binding import computed_once, let
 from folioworks.functions.variants import text_at, type_of, variant_path
 
 # Beyond this magnitude neighbouring whole numbers share one double.
@@ -129,11 +129,8 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
         F.col("_root").isNotNull().alias("page_parsed"),
         _entries(F.col("_root"), search).alias("_entries"),
     )
-    ranked = entries.select(
-        "document_id",
-        "page_state",
-        "page_parsed",
-        F.array_sort(F.transform("_entries", lambda entry, pos: _page(entry, pos, search))).alias("_ranked"),
+    ranked = computed_once(
+        entries, _ranked=F.array_sort(F.transform("_entries", lambda entry, pos: _page(entry, pos, search)))
     )
     following = F.slice("_ranked", F.lit(2), F.greatest(F.size("_ranked"), F.lit(1)))
     last_of_key = F.zip_with(

@@ -49,11 +49,10 @@ class Report:
     verdict: DataFrame
 
 
-def required_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFrame, html: DataFrame) -> DataFrame:
-    """Landed HTML of the documents whose REST answer leaves something open."""
+def wants_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFrame) -> DataFrame:
+    """Ids of the documents whose REST answer leaves something open."""
     scalars = page_facts.drop("rest_pages", "maybe_truncated")
-    wanted = admit_responses(ids, document_facts, scalars).filter(needs_dom()).select("document_id")
-    return html.join(wanted, "document_id", "left_semi")
+    return admit_responses(ids, document_facts, scalars).filter(needs_dom()).select("document_id")
 
 
 class ArchiveRun:
@@ -110,7 +109,9 @@ class ArchiveRun:
     def html_facts(self) -> DataFrame:
         html = self.landing.html_pages
         if self.explicit_pages is None:
-            html = required_html(self.ids, self.document_facts, self.page_facts, html)
+            # As a table the ids have a known size: few of them are broadcast, and no page is shuffled.
+            wanted = self._stage(wants_html(self.ids, self.document_facts, self.page_facts), "wanted_html")
+            html = html.join(wanted, "document_id", "left_semi")
         return self._stage(dom_facts(html, self.dom), "html_facts")
 
     @cached_property

@@ -6,7 +6,7 @@ written lets the joins of the jobs start without an exchange; ``write_bucketed``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 DOCUMENT_RESPONSES = "document_id string, status int, error_class string, body string"
 PAGE_RESPONSES = DOCUMENT_RESPONSES
@@ -33,11 +33,9 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """Write the document manifest, one folder per library.
 
-    Rows are spread by document inside a library, so a library holding most documents is written by many tasks.
+    Rebalancing gathers small libraries into few files and splits one that holds most documents over many tasks.
     """
-    manifest.repartition("library_name", F.pmod(F.hash("doc_key"), F.lit(64))).write.mode("overwrite").partitionBy(
-        "library_name"
-    ).parquet(path)
+    manifest.hint("rebalance", "library_name").write.mode("overwrite").partitionBy("library_name").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
