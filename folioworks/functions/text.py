@@ -50,7 +50,9 @@ def unescape(column: Column) -> Column:
 
     def resolve(piece: Column) -> Column:
         decimal = F.regexp_extract(piece, "^&#([0-9]+)", 1).try_cast("bigint")
-        hexadecimal = F.conv(F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10).try_cast("bigint")
+        # Longer numbers are no code points, and would overflow the conversion.
+        digits = F.regexp_extract(piece, "^&#[xX]0*+([0-9a-fA-F]{1,8})(?![0-9a-fA-F])", 1)
+        hexadecimal = F.conv(digits, 16, 10).try_cast("bigint")
         point = F.coalesce(decimal, hexadecimal)
         usable = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
         return (

@@ -47,7 +47,7 @@ def _fields(spark, rows):
 
 
 def _walk(source, kinds):
-    """The reference order of events: fields one by one, a failed source stays out."""
+    """The events in order: fields one by one, a failed source stays out."""
     use_rest, result = source == "rest", []
     for i, kind in enumerate(kinds):
         if use_rest and kind == "invalid":

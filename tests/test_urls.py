@@ -89,6 +89,7 @@ def test_unescape(spark):
         "&#233;&#xE9;&eacute;": "ééé",
         "&copy &middot;x&nope;": "© ·x&nope;",
         "&#0;&#xD800;&#99999999;": "&#0;&#xD800;&#99999999;",
+        f"&#x{'f' * 40};&#{'9' * 40};&#x0000000041;": f"&#x{'f' * 40};&#{'9' * 40};A",
         "& &": "& &",
         "&#128512;": "😀",
     }
