@@ -49,3 +49,11 @@ def for_workers(spark: SparkSession) -> SparkSession:
     if home not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, home]))
     return spark
+
+
+def small(df: DataFrame, rows: int = 400_000) -> DataFrame:
+    """``df`` marked for broadcasting if it has at most ``rows`` narrow rows; Spark's own choice beyond that.
+
+    For tables already written, so that counting reads no data.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

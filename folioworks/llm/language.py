@@ -137,19 +137,18 @@ def learned(docs: DataFrame, usable: Column, how: Training = Training(), id_colu
             text_column: str = "text", lang_column: str = "lang") -> Model:
     """Train on a sample of the rows that are ``usable`` and have text and language.
 
-    The sample is the ``how.sample`` rows whose ids have the smallest MD5, less those whose text would take it over
-    ``how.sample_bytes``: bounded whatever the size of the corpus, drawn without regard to the text.
+    The sample is the ``how.sample`` rows whose ids have the smallest MD5, less texts of over an eighth of
+    ``how.sample_bytes`` and what comes after that many bytes: bounded whatever the size of the corpus. Rows without
+    an id are not drawn.
     """
-    drawn = (
-        docs.filter(usable & F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
-        .select(F.md5(F.col(id_column).cast("string")).alias("drawn"), F.col(text_column).alias("text"),
-                F.col(lang_column).cast("string").alias("lang"), F.octet_length(text_column).alias("size"))
-        # A text that alone exceeds the bound cannot be in the sample, so it is not carried through the ordering.
-        .filter(F.col("size") <= how.sample_bytes // 8)
-        .orderBy("drawn", "size", "lang").limit(how.sample)
-    )
+    labelled = docs.filter(usable & F.col(text_column).isNotNull() & F.col(lang_column).isNotNull()).select(
+        F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"),
+        F.md5(F.col(id_column).cast("string")).alias("drawn"), F.octet_length(text_column).alias("size"))
+    # The draw orders narrow rows; texts are read for the drawn ids alone.
+    drawn = F.broadcast(labelled.select("drawn", "id").orderBy("drawn").limit(how.sample).select("id").distinct())
+    sample = labelled.join(drawn, "id").filter(F.col("size") <= how.sample_bytes // 8)
     texts, labels, taken = [], [], 0
-    for row in drawn.toLocalIterator():
+    for row in sample.orderBy("drawn", "size", "lang").limit(how.sample).toLocalIterator():
         taken += row["size"]
         if taken > how.sample_bytes:
             break

@@ -8,12 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioworks.llm.chat import repaired_turns
 from folioworks.llm.common import read
+from folioworks.llm.decontamination import leak_report
 from folioworks.llm.embeddings import near_embeddings
 from folioworks.llm.language import identified, learned
+from folioworks.llm.lines import without_repeated_lines
+from folioworks.llm.minhash import near_documents
 from folioworks.llm.mixing import mixed
 from folioworks.llm.credentials import secret_report
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items held by each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    report = leak_report(docs, read(spark, sf_dir, "benchmark"))
+    return report.select("doc_id", "item_ids", "similarity", "contaminated")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document; the source is the owner, the document the repository."""
     return secret_report(read(spark, sf_dir, "documents"))
@@ -24,6 +34,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_turns(read(spark, sf_dir, "conversations"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents."""
+    return near_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -33,6 +48,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of each document, and a digest of what is left."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", "n_runs",
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate embeddings of each label."""
     return near_embeddings(read(spark, sf_dir, "embeddings"))
@@ -44,9 +67,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
     "op4_chat": op4_chat,
+    "op5_minhash": op5_minhash,
     "op6_language": op6_language,
+    "op8_lines": op8_lines,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
 }
