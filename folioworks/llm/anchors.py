@@ -44,8 +44,8 @@ class Plan:
     tokens: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     names: Callable[[np.ndarray, np.ndarray], np.ndarray]
     dtype: type
+    most: int  # bodies of one anchor that may share a shard
     shard: int = 1 << 22  # tokens of the bodies that are sorted together
-    most: int = 20_000  # bodies of one anchor that may share a shard
 
 
 def bodies(values: np.ndarray, first: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -136,7 +136,7 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, _, raw, offsets in pieces(batch, "text"):
+            for lo, _, raw, offsets in pieces(batch, "text", 1 << 19):
                 values, first = plan.tokens(raw, offsets)
                 doc, start, windows, offset, gram, content = bodies(values, first, plan.length, plan.gram)
                 yield _batch(["gram", "content", "doc", "place"], gram.view(np.int64), content.view(np.int64),
@@ -158,7 +158,7 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
             contents = np.add.reduceat(new.astype(np.int64), start_gram)
             open_ = (contents > 1)[np.cumsum(new_gram) - 1] & ~again
             keep = again | open_
-            yield _batch(["gram", "doc", "place", "whole"], gram[keep], doc[keep], place[keep], again[keep])
+            yield _batch(["gram", "doc", "place", "whole"], np.where(again, 0, gram)[keep], doc[keep], place[keep], again[keep])
 
     sorting = ["gram", "content", "doc", "place"]
     known = staged(

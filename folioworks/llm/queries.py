@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioworks.llm.chat import repaired_turns
 from folioworks.llm.common import read
+from folioworks.llm.credentials import secret_report
 from folioworks.llm.decontamination import leak_report
 from folioworks.llm.embeddings import near_embeddings
 from folioworks.llm.language import identified, learned
 from folioworks.llm.lines import without_repeated_lines
 from folioworks.llm.minhash import near_documents
 from folioworks.llm.mixing import mixed
-from folioworks.llm.credentials import secret_report
+from folioworks.llm.passages import passage_report
+from folioworks.llm.suffixes import string_report
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read(spark, sf_dir, "documents"))
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 100-byte strings of all documents."""
+    return string_report(read(spark, sf_dir, "documents"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation repaired and rendered."""
     return repaired_turns(read(spark, sf_dir, "conversations"))
@@ -48,6 +55,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(part == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated 50-word passages of all documents."""
+    return passage_report(read(spark, sf_dir, "documents"))
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated lines of each document, and a digest of what is left."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,9 +81,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
+    "op3_suffixes": op3_suffixes,
     "op4_chat": op4_chat,
     "op5_minhash": op5_minhash,
     "op6_language": op6_language,
+    "op7_passages": op7_passages,
     "op8_lines": op8_lines,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
