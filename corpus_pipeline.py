@@ -1,14 +1,18 @@
 """The corpus pipeline: language, repeated lines, near duplicates, benchmark leaks, mixing; in this order.
 
-Each stage takes the documents its predecessor kept and returns those it keeps; the last returns the mix.
+Each stage takes the documents its predecessor kept, with the columns of ``documents``, and returns those it keeps;
+the last returns the mix.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioworks.llm.common import read, staged
+from folioworks.llm.common import WORD, no_null, read, staged
+from folioworks.llm.decontamination import leak_report
 from folioworks.llm.language import identified, learned
+from folioworks.llm.lines import without_repeated_lines
+from folioworks.llm.minhash import Near, near_documents
 from folioworks.llm.mixing import mixed
 
 
@@ -17,12 +21,39 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return identified(docs, learned(docs, F.lit(True))).filter("not rejected").select(docs.columns)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete repeated lines; documents that lose all their words by it are copies and go."""
+    left = without_repeated_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", length).select(docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, that of the smallest id, of each group of near duplicates; those without an id stay.
+
+    Kept are ids, so all rows of one id stay if any does.
+    """
+    out = near_documents(docs, Near(percent=80)).filter("not kept").select(no_null(F.col("doc_id")).alias("key"))
+    return docs.join(staged(out.distinct()), no_null(docs["doc_id"]) == F.col("key"), "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents that hold an item of the benchmark."""
+    return leak_report(docs, read(spark, sf_dir, "benchmark")).filter("not contaminated").select(docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What training takes of each document, and when."""
     return mixed(docs)
 
 
-STAGES = [("language", language), ("mix", mix)]
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near", near),
+    ("decontamination", decontamination),
+    ("mix", mix),
+]
 
 ORACLE_SQL = None  # a trained model and signatures are not SQL; tests hold the stages against brute force
 
