@@ -1,32 +1,28 @@
-"""Regular-expression reads from landed HTML that need not be well formed.
+"""Reads from landed HTML that need not be well formed.
 
-All loops in the patterns are possessive: they run in constant stack on attributes and elements of any length.
+A page is cut into tags and stretches of text once, by one pattern; elements are found by walking the tags. All loops in the patterns are possessive: they run in constant stack on attributes and elements of any length.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 from folioworks.config import Step
+from folioworks.functions.binding import let
 from folioworks.functions.text import strip, unescape
 
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _ATTRIBUTE = r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]*+))?+"""
-_COMMENT = r"(?s)<!--.*?-->"
-_RAW_TEXT = (r"(?is)<script\b.*?</script\s*+>", r"(?is)<style\b.*?</style\s*+>")
-
-# Elements of one tag nested deeper than this end their container at the end of the page.
-_NESTING = 24
+# Whatever opens first counts: a comment mark inside a script is script, a script inside a comment is comment.
+_NOISE = r"(?is)(<!--).*?(-->)|<script\b.*?</script\s*+>|<style\b.*?</style\s*+>"
 
 
 def without_noise(html: Column) -> Column:
     """Empty comments (they still separate text) and no script or style."""
-    cleaned = F.regexp_replace(html, _COMMENT, "<!---->")
-    for pattern in _RAW_TEXT:
-        cleaned = F.regexp_replace(cleaned, pattern, "")
-    return cleaned
+    return F.regexp_replace(html, _NOISE, "$1$2")
 
 
 def start_tags(html: Column, tag: str) -> Column:
@@ -56,45 +52,97 @@ def _opening(tag: str, class_part: str | None = None) -> str:
     return rf"<{re.escape(tag)}(?=[\s/>]){guard}{_ATTRIBUTES}>"
 
 
-def _balanced(tag: str) -> str:
-    """Pattern of balanced content of ``tag``, written out to a fixed nesting depth."""
-    name = re.escape(tag)
-    other = rf"[^<]++|<(?!/?{name}[\s/>])"
-    content = rf"(?:{other})*+"
-    for _ in range(_NESTING):
-        content = rf"(?:{other}|{_opening(tag)}{content}</{name}\s*+>)*+"
-    return content
+def tokens(html: Column, tags: Iterable[str]) -> Column:
+    """The page cut once, from left to right: each start and end tag of ``tags`` and each stretch between them.
+
+    Elements are ``(raw, tag)``; ``tag`` is the lower-case name, with a slash for an end tag, and empty for a stretch.
+    Other tags stay inside their stretch, and what stands in their attributes is no tag.
+    """
+    names = "|".join(re.escape(tag) for tag in sorted(tags))
+    known = rf"</?(?:{names})(?=[\s/>])"
+    cut = rf"(?is){known}{_ATTRIBUTES}>|(?:[^<]++|<!---->|(?!{known})</?[A-Za-z]{_ATTRIBUTES}>|(?!{known}{_ATTRIBUTES}>)<)++"
+
+    def token(raw: Column) -> Column:
+        return F.struct(
+            raw.alias("raw"), F.lower(F.regexp_extract(raw, rf"(?i)^<(/?(?:{names}))(?=[\s/>])", 1)).alias("tag"))
+
+    def checked(found: Column) -> Column:
+        # A stretch may begin with the name of a tag that never ends.
+        return F.struct(
+            found["raw"].alias("raw"), F.when(found["raw"].endswith(">"), found["tag"]).otherwise("").alias("tag"))
 
+    return F.transform(F.transform(F.regexp_extract_all(html, F.lit(cut), F.lit(0)), token), checked)
 
-def _outermost(step: Step) -> str:
-    """Pattern consuming outermost elements of the step's tag; group 1 is the content of those it wants.
 
-    An element that is never closed reaches to the end.
+def _elements(scope: Column, step_tag: str, wanted: Callable[[Column], Column], closed: bool) -> Column:
+    """``(start, end)`` of the content of the outermost elements of a tag, as token positions.
+
+    One walk over the tags of that name keeps the depth; an element counts when the depth is back at nothing. An
+    element that is never closed reaches to the end, or does not count if only ``closed`` ones do.
     """
-    content = rf"{_balanced(step.tag)}(?=</{re.escape(step.tag)}\s*+>)|.*\z"
-    wanted = rf"{_opening(step.tag, step.class_part)}({content})"
-    if step.class_part is None:
-        return f"(?is){wanted}"
-    return rf"(?is){wanted}|{_opening(step.tag)}(?:{content})"
+    tags = F.filter(
+        F.transform(scope, lambda token, i: F.struct(token["tag"].alias("tag"), i.alias("at"), token["raw"].alias("raw"))),
+        lambda token: token["tag"].isin(step_tag, "/" + step_tag))
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+
+    def state(depth: Column, start: Column, want: Column, spans: Column) -> Column:
+        return F.struct(depth.cast("int").alias("depth"), start.cast("int").alias("start"), want.alias("want"),
+                        spans.alias("spans"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
+
+    def walk(now: Column, token: Column) -> Column:
+        opens, depth = token["tag"] == step_tag, now["depth"]
+        ended = F.when(now["want"], F.concat(now["spans"], span(now["start"], token["at"]))).otherwise(now["spans"])
+        return (
+            F.when(opens & (depth == 0), state(F.lit(1), token["at"] + 1, wanted(token["raw"]), now["spans"]))
+            .when(opens, state(depth + 1, now["start"], now["want"], now["spans"]))
+            .when(depth == 1, state(F.lit(0), F.lit(0), F.lit(False), ended))
+            .when(depth > 1, state(depth - 1, now["start"], now["want"], now["spans"]))
+            .otherwise(now)
+        )
+
+    def finish(now: Column) -> Column:
+        if closed:
+            return now["spans"]
+        reaches = F.concat(now["spans"], span(now["start"], F.size(scope)))
+        return F.when((now["depth"] > 0) & now["want"], reaches).otherwise(now["spans"])
+
+    return F.aggregate(tags, state(F.lit(0), F.lit(0), F.lit(False), empty), walk, finish)
 
 
 def contents(scopes: Column, step: Step) -> Column:
-    """Contents of the elements ``step`` picks in each of the given pieces of HTML, in page order."""
+    """Contents of the elements ``step`` picks in each of the given pieces of a page, in page order.
+
+    Pieces are token lists as made by :func:`tokens`, which must know the tags of the step.
+    """
     if step.class_part is not None and step.nth is not None:
         raise ValueError("a step picks by class or by place, not both")
 
-    def inside(scope: Column) -> Column:
-        for tag in step.outside:
-            scope = F.regexp_replace(scope, rf"(?is){_opening(tag)}{_balanced(tag)}</{re.escape(tag)}\s*+>", "")
-        elements = F.regexp_extract_all(scope, F.lit(_outermost(step)), F.lit(1))
-        return elements if step.nth is None else F.slice(elements, step.nth, 1)
+    def wanted(raw: Column) -> Column:
+        return F.lit(True) if step.class_part is None else raw.rlike(f"(?is)^{_opening(step.tag, step.class_part)}")
+
+    def without(scope: Column, tag: str) -> Column:
+        return let(
+            _elements(scope, tag, lambda raw: F.lit(True), closed=True),
+            lambda spans: F.filter(
+                scope, lambda token, i: ~F.exists(spans, lambda s: (i >= s["start"] - 1) & (i <= s["end"]))))
+
+    def left(scope: Column, outside: Sequence[str]) -> Column:
+        if outside:
+            return let(without(scope, outside[0]), lambda rest: left(rest, outside[1:]))
+        spans = _elements(scope, step.tag, wanted, closed=False)
+        picked = spans if step.nth is None else F.slice(spans, step.nth, 1)
+        return F.transform(picked, lambda s: F.slice(scope, s["start"] + 1, s["end"] - s["start"]))
 
-    return F.flatten(F.transform(scopes, inside))
+    return F.flatten(F.transform(scopes, lambda scope: left(scope, step.outside)))
 
 
 def text_of(pieces: Column) -> Column:
-    """Text nodes of the pieces, each stripped, joined by one space; blank nodes leave their separators."""
+    """Text nodes of pieces of a page (token lists), each stripped, joined by one space; blank nodes leave their separators."""
     # Tags become a control character HTML cannot hold, so that a resolved &lt; is never taken for one.
-    marked = F.regexp_replace(F.array_join(pieces, "\x01"), rf"(?s)<!---->|</?[A-Za-z]{_ATTRIBUTES}>", "\x01")
+    raw = F.array_join(F.transform(pieces, lambda piece: F.array_join(F.transform(piece, lambda t: t["raw"]), "")), "\x01")
+    marked = F.regexp_replace(raw, rf"(?s)<!---->|</?[A-Za-z]{_ATTRIBUTES}>", "\x01")
     nodes = F.filter(F.split(unescape(marked), "\x01"), lambda node: node != "")
     return strip(F.array_join(F.transform(nodes, strip), " "))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import DEFAULT_DOM, METADATA_FIELDS, DomSearch, Step
 from folioworks.functions.binding import computed_once
-from folioworks.functions.html import attribute, contents, start_tags, text_of, without_noise
+from folioworks.functions.html import attribute, contents, start_tags, text_of, tokens, without_noise
 
 
 def page_ids(html: Column, tag: str, attribute_name: str, pattern: str) -> Column:
@@ -18,24 +18,46 @@ def page_ids(html: Column, tag: str, attribute_name: str, pattern: str) -> Colum
     return F.array_distinct(F.transform(matching, lambda value: F.regexp_extract(value, pattern, 1)))
 
 
-def _scopes(html: Column, steps: Sequence[Step]) -> Column:
-    """Pieces of HTML reached by walking ``steps`` from the outermost container inwards."""
-    scopes = F.array(html)
+def _with_texts(pages: DataFrame, selectors: Mapping[str, Sequence[Step]]) -> DataFrame:
+    """Add one text column per selector over ``_html``, from one cut of the page.
+
+    Every stage on the way that several selectors share is walked once.
+    """
+    if not selectors:
+        return pages
+    tags = {tag for steps in selectors.values() for step in steps for tag in (step.tag, *step.outside)}
+    walked = computed_once(pages, _at_=F.array(tokens(F.col("_html"), tags)))
+    paths = {tuple(steps): name for name, steps in selectors.items()}
+    shared = _shared_starts(list(paths))
+    names = {(): "_at_"}
+    for start in sorted(shared, key=len):
+        at = max((known for known in names if start[: len(known)] == known), key=len)
+        names[start] = f"_at_{len(names)}"
+        walked = computed_once(walked, **{names[start]: _walk(F.col(names[at]), start[len(at) :])})
+
+    def text(steps: tuple[Step, ...]) -> Column:
+        at = max((known for known in names if steps[: len(known)] == known), key=len)
+        return F.coalesce(text_of(_walk(F.col(names[at]), steps[len(at) :])), F.lit(""))
+
+    return walked.select(*pages.columns, *(text(tuple(steps)).alias(name) for name, steps in selectors.items()))
+
+
+def _walk(scopes: Column, steps: Sequence[Step]) -> Column:
+    """Pieces of a page reached by walking ``steps`` from outer containers inwards."""
     for step in steps:
         scopes = contents(scopes, step)
     return scopes
 
 
-def _with_texts(pages: DataFrame, selectors: Mapping[str, Sequence[Step]]) -> DataFrame:
-    """Add one text column per selector over ``_html``; a container two selectors share is looked up once."""
-    containers = {tuple(steps[:-1]): f"_scope{i}" for i, steps in enumerate(selectors.values())}
-    return pages.withColumns({name: _scopes(F.col("_html"), steps) for steps, name in containers.items()}).select(
-        *pages.columns,
-        *(
-            F.coalesce(text_of(contents(F.col(containers[tuple(steps[:-1])]), steps[-1])), F.lit("")).alias(name)
-            for name, steps in selectors.items()
-        ),
-    )
+def _shared_starts(paths: Sequence[tuple[Step, ...]]) -> set[tuple[Step, ...]]:
+    """The longest common beginning of every two paths, where there is one."""
+    shared = set()
+    for i, one in enumerate(paths):
+        for other in paths[:i]:
+            length = next((n for n, (a, b) in enumerate(zip(one, other)) if a != b), min(len(one), len(other)))
+            if length:
+                shared.add(one[:length])
+    return shared
 
 
 def _loaded(pages: DataFrame) -> DataFrame:

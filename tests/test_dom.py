@@ -1,5 +1,7 @@
 from html.parser import HTMLParser
 
+import pytest
+
 from folioworks.config import DEFAULT_DOM, DomSearch, Step
 from folioworks.operators.dom import dom_facts, dom_pages, dom_text
 
@@ -82,6 +84,30 @@ def test_long_attributes_do_not_overflow_the_stack(spark):
     assert dom_text(_html(spark, nested), {"t": (Step("article"), Step("h1"))}).first().t == "deep"
 
 
+@pytest.mark.parametrize("depth", [1, 24, 25, 200])
+def test_any_depth_ends_where_it_should(spark, depth):
+    page = "<article>" + "<article>x" * depth + "</article>" * depth + "<h1>in</h1></article><h1>out</h1>"
+    page += "<div>" * depth + "y" + "</div>" * depth + "<p>z"
+    texts = dom_text(_html(spark, page), {"t": (Step("article"), Step("h1")), "d": (Step("div"),)}).first()
+    assert (texts.t, texts.d) == ("in", "y")
+    part = f"<div>{'<p>' * depth}<div>no</div><h1>yes</h1></div>"
+    assert dom_text(_html(spark, part), {"t": (Step("div"), Step("h1", outside=("div",)))}).first().t == "yes"
+
+
+def test_what_opens_first_is_the_noise(spark):
+    page = (
+        '<div id="page-id-uuid:a"></div><script>var x = "<!--";</script><div id="page-id-uuid:b"></div>'
+        "<!-- <script> --><div id='page-id-uuid:c'></div><style>/* --> <!-- */</style><div id='page-id-uuid:d'></div>"
+        '<!-- end --><div id="page-id-uuid:e">'
+    )
+    assert dom_pages(_html(spark, page)).first().dom_pages == [f"uuid:{x}" for x in "abcde"]
+
+
+def test_tags_in_attributes_of_other_tags_are_no_tags(spark):
+    page = "<article><p title='<h1>no</h1>'>t</p><h1 data-a=\"</h1>\">yes</h1><h1 x</article>"
+    assert dom_text(_html(spark, page), {"t": (Step("article"), Step("h1"))}).first().t == "yes"
+
+
 class _Links(HTMLParser):
     def __init__(self):
         super().__init__()
