@@ -40,25 +40,55 @@ def _code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
+def _windows() -> dict[int, str]:
+    """What numeric references between 128 and 159 mean: characters of Windows-1252, where it has one."""
+    return {n: text for n in range(0x80, 0xA0) if (text := bytes([n]).decode("cp1252", "ignore"))}
+
+
+def _numbered(point: Column) -> Column:
+    """Text of a numeric reference; no character at all is the replacement character."""
+    windows = F.create_map(*(F.lit(x) for pair in _windows().items() for x in pair))
+    usable = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    return (
+        F.when(point.isin(*_windows()), F.try_element_at(windows, point.cast("int")))
+        .when(point == 13, "\r")
+        .when(usable, _code_point(point))
+        .otherwise("\ufffd")
+    )
+
+
 def unescape(column: Column) -> Column:
-    """Resolve HTML 4 character references, named and numeric, in one left-to-right pass.
+    """Resolve HTML 5 character references, named and numeric, in one left-to-right pass.
 
-    A reference also counts without its semicolon. Texts without an ampersand are passed on untouched.
+    The old names also count without their semicolon and at the beginning of a longer name. Texts without an ampersand
+    are passed on untouched.
     """
-    names = {name: chr(point) for name, point in html.entities.name2codepoint.items()} | {"apos": "'"}
-    by_name = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+    full = {name[:-1]: text for name, text in html.entities.html5.items() if name.endswith(";")}
+    old = {name: text for name, text in html.entities.html5.items() if not name.endswith(";")}
+    by_name, by_old_name = (F.from_json(F.lit(json.dumps(t)), "map<string,string>") for t in (full, old))
+    lengths = range(max(map(len, old)), min(map(len, old)) - 1, -1)
+
+    def named(piece: Column) -> Column:
+        name = F.rtrim(F.substring(piece, 2, 1 << 30), F.lit(";"))
+        starts = [
+            F.when(F.length(name) >= n, F.concat(
+                F.try_element_at(by_old_name, F.substring(name, 1, n)), F.substring(piece, n + 2, 1 << 30)))
+            for n in lengths
+        ]
+        ends = piece.endswith(";")
+        exact = F.when(ends, F.try_element_at(by_name, name)).otherwise(F.try_element_at(by_old_name, name))
+        return F.coalesce(exact, *starts, piece)
 
     def resolve(piece: Column) -> Column:
-        decimal = F.regexp_extract(piece, "^&#([0-9]+)", 1).try_cast("bigint")
-        # Longer numbers are no code points, and would overflow the conversion.
+        # Numbers too long to be converted are no code points either.
+        decimal = F.coalesce(F.regexp_extract(piece, "^&#([0-9]+)", 1).try_cast("bigint"), F.lit(0))
         digits = F.regexp_extract(piece, "^&#[xX]0*+([0-9a-fA-F]{1,8})(?![0-9a-fA-F])", 1)
-        hexadecimal = F.conv(digits, 16, 10).try_cast("bigint")
-        point = F.coalesce(decimal, hexadecimal)
-        usable = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        hexadecimal = F.coalesce(F.conv(digits, 16, 10).try_cast("bigint"), F.lit(0))
         return (
-            F.when(~piece.startswith("&"), piece)
-            .when(piece.startswith("&#"), F.when(usable, _code_point(point)).otherwise(piece))
-            .otherwise(F.coalesce(F.try_element_at(by_name, F.translate(piece, "&;", "")), piece))
+            F.when(~piece.startswith("&") | (piece == "&"), piece)
+            .when(piece.rlike("^&#[xX]"), _numbered(hexadecimal))
+            .when(piece.startswith("&#"), _numbered(decimal))
+            .otherwise(named(piece))
         )
 
     def resolve_all(text: Column) -> Column:
@@ -74,7 +104,8 @@ def clean_file_name(column: Column) -> Column:
 
 
 def clean_path(column: Column) -> Column:
-    """Clean every part of a path; empty parts vanish, a leading slash stays."""
-    parts = F.transform(F.split(column, r"[/\\]"), clean_file_name)
+    """Clean every part of a path; empty parts vanish, a leading slash and the parts ``.`` and ``..`` stay."""
+    parts = F.transform(
+        F.split(column, r"[/\\]"), lambda part: F.when(part.isin(".", ".."), part).otherwise(clean_file_name(part)))
     joined = F.array_join(F.filter(parts, lambda part: part != ""), "/")
     return F.when(column.startswith("/"), F.concat(F.lit("/"), joined)).otherwise(joined)

@@ -17,7 +17,10 @@ def folder_name(document_id: Column, title: Column) -> Column:
 
 
 def document_path(base: Column, document_id: Column, title: Column) -> Column:
-    """Folder path below ``base``; the base itself when nothing is left of the name."""
+    """Folder path below ``base``; the base itself when nothing is left of the name.
+
+    A name never leads out of the base, since cleaning it takes the dots at its end.
+    """
     return clean_path(F.concat_ws("/", base, F.nullif(folder_name(document_id, title), F.lit(""))))
 
 
