@@ -43,6 +43,7 @@ class RestSearch:
     page_number_key: str
     page_number_item: int
     metadata: Mapping[str, JsonPath]
+    page_limit: int = 4000  # the catalogue answers one page-list call with at most this many entries
 
 
 @dataclass(frozen=True)
@@ -90,9 +91,6 @@ DOCUMENT_ID_PATTERN = r"(uuid:[a-f0-9-]+)"
 
 ACCEPT_INVALID_CERTS = "--accept-invalid-certs"
 
-# The catalogue answers one page-list call with at most this many entries.
-PAGES_PER_RESPONSE = 4000
-
 DEFAULT_LIBRARIES = (
     Library(
         name="Library_DSMO",

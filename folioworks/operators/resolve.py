@@ -63,51 +63,56 @@ def resolve_metadata(documents: DataFrame) -> DataFrame:
 
 def resolve_documents(
     ids: DataFrame,
-    document_facts: DataFrame,
-    page_facts: DataFrame,
+    document_facts: DataFrame | None,
+    page_facts: DataFrame | None,
     html_facts: DataFrame,
     explicit: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per distinct ``document_id``: page source or failure, page count, final metadata.
 
-    Only scalars are joined. Page lists stay in ``page_facts`` and ``html_facts`` until the documents that need
-    them are known (``resolved_page_lists``).
+    Only scalars are joined: counts come from ``rest_page_count`` and ``dom_page_count``, and page lists stay where
+    they are until the documents that need them are known (``resolved_page_lists``). With an explicit list REST answers
+    play no part and may be None.
     """
-    pages = page_facts.withColumn("_rest_count", F.size("rest_pages")).drop("rest_pages")
-    html = html_facts.withColumn("_dom_count", F.size("dom_pages")).drop("dom_pages")
-    joined = admit_responses(ids, document_facts, pages).join(html, "document_id", "left")
+    if explicit is not None:
+        nothing = {name: F.lit(None).cast("string") for f in METADATA_FIELDS for name in (f"{f}_kind", f)}
+        rest = ids.select("document_id").withColumns(
+            nothing | {"rest_status": F.lit(None).cast("string"), "rest_pages_kind": F.lit(None).cast("string"),
+                       "rest_page_count": F.lit(None).cast("int"), "maybe_truncated": F.lit(False)})
+    else:
+        rest = admit_responses(ids, document_facts, page_facts.drop("rest_pages"))
+    joined = rest.join(html_facts.drop("dom_pages"), "document_id", "left")
     decided = resolve_metadata(resolve_pages(joined, explicit))
     count = (
-        F.when(F.col("pages_source") == "rest", F.col("_rest_count"))
-        .when(F.col("pages_source") == "dom", F.col("_dom_count"))
+        F.when(F.col("pages_source") == "rest", F.col("rest_page_count"))
+        .when(F.col("pages_source") == "dom", F.col("dom_page_count"))
         .when(F.col("pages_source") == "explicit", F.lit(len(explicit or ())))
     )
-    return decided.withColumn("page_count", count).drop("rest_pages_kind", "dom_kind", "_rest_count", "_dom_count")
+    return decided.withColumn("page_count", count).drop(
+        "rest_pages_kind", "dom_kind", "rest_page_count", "dom_page_count")
 
 
 def resolved_page_lists(
     documents: DataFrame,
-    page_facts: DataFrame,
-    html_facts: DataFrame,
+    page_facts: DataFrame | None,
+    html_facts: DataFrame | None,
     explicit: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``page_ids`` (ordered array) from the source each document settled on.
 
-    ``documents`` needs ``document_id`` and ``pages_source``. An explicit list is one constant for all of them.
+    ``documents`` needs ``document_id`` and ``pages_source``. An explicit list is one constant for all of them, and
+    needs no facts. Each source's lists meet only the documents that settled on it.
     """
     if explicit is not None:
         constant = F.array(*(F.lit(page) for page in explicit)) if explicit else F.array()
         return documents.withColumn("page_ids", constant.cast("array<string>"))
-    rest = page_facts.select("document_id", F.transform("rest_pages", lambda page: page["page_id"]).alias("_rest"))
-    html = html_facts.select("document_id", F.col("dom_pages").alias("_dom"))
-    return (
-        documents.join(rest, "document_id", "left")
-        .join(html, "document_id", "left")
-        .withColumn(
-            "page_ids",
-            F.when(F.col("pages_source") == "rest", F.col("_rest")).when(
-                F.col("pages_source") == "dom", F.col("_dom")
-            ),
-        )
-        .drop("_rest", "_dom")
-    )
+    lists = {
+        "rest": page_facts.select("document_id", F.transform("rest_pages", lambda page: page["page_id"]).alias("page_ids")),
+        "dom": html_facts.select("document_id", F.col("dom_pages").alias("page_ids")),
+    }
+    source = F.coalesce("pages_source", F.lit("none"))
+    found = documents.filter(~source.isin(*lists)).withColumn("page_ids", F.lit(None).cast("array<string>"))
+    for name, pages in lists.items():
+        settled = documents.filter(source == name).join(pages, "document_id", "left")
+        found = found.unionByName(settled.select(found.columns))
+    return found

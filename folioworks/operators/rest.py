@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioworks.config import DEFAULT_REST, METADATA_FIELDS, PAGES_PER_RESPONSE, RestSearch
+from folioworks.config import DEFAULT_REST, METADATA_FIELDS, RestSearch
 from folioworks.functions.binding import computed_once, let
 from folioworks.functions.variants import text_at, type_of, variant_path
 
-# Beyond this magnitude neighbouring whole numbers share one double.
-_EXACT_DOUBLE = 2.0**53
+# Doubles below this magnitude are converted to whole numbers exactly.
+_EXACT_LONG = 9.0e18
 
 _NONE, _NUMBER, _TEXT, _UNUSABLE = 0, 1, 2, 3
 
@@ -26,6 +26,26 @@ def request_state(status: Column, error_class: Column) -> Column:
     )
 
 
+def deciding(responses: DataFrame) -> DataFrame:
+    """One landed row per document: the last attempt; of rows of one attempt, the largest by status and content.
+
+    Ids with several rows are found from narrow columns; all other rows pass untouched, and only the bodies of
+    repeated ids are moved. Rows without an attempt number come before all others.
+    """
+    if "attempt" not in responses.columns:
+        return responses
+    several = (
+        responses.groupBy("document_id").agg(F.count(F.lit(1)).alias("_rows"))
+        .filter("_rows > 1").select(F.col("document_id").alias("_repeated"))
+    )
+    columns = [c for c in responses.columns if c != "attempt"]
+    many = responses.join(several, F.col("document_id").eqNullSafe(F.col("_repeated")), "left_semi")
+    last = many.groupBy("document_id").agg(
+        F.max(F.struct("attempt", *(c for c in columns if c != "document_id"))).alias("_last"))
+    single = responses.join(several, F.col("document_id").eqNullSafe(F.col("_repeated")), "left_anti")
+    return single.select(columns).unionByName(last.select("document_id", "_last.*").select(columns))
+
+
 def rest_metadata(responses: DataFrame, search: RestSearch = DEFAULT_REST) -> DataFrame:
     """Document responses to ``document_id, doc_state, doc_parsed`` and ``<field>_kind, <field>`` per field.
 
@@ -66,24 +86,37 @@ def _entries(root: Column, search: RestSearch) -> Column:
 
 
 def _number_key(holder: Column, search: RestSearch) -> Column:
-    """Sort key of one entry: its group, and a number or a text. A missing number is one key like any other."""
+    """Sort key of one entry: its group, and a number or a text. A missing number is one key like any other.
+
+    A number is its whole part, exact up to 38 digits, and a fraction between 0 and 1: no two numbers share a key. A
+    whole number of more digits cannot be told from its neighbours once it is parsed, so it is unusable.
+    """
     at = variant_path((search.page_number_item,))
 
     def key(leaf_type: Column) -> Column:
-        number = F.try_variant_get(holder, at, "double")
         letter = F.substring(F.try_variant_get(holder, "$", "string"), search.page_number_item + 1, 1)
-        is_number = leaf_type.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | leaf_type.startswith("DECIMAL")
         nothing = F.lit(None)
 
-        def made(group: int, number: Column = nothing, text: Column = nothing) -> Column:
+        def made(group: int | Column, whole: Column = nothing, fraction: Column = nothing, text: Column = nothing) -> Column:
             return F.struct(
-                number.cast("double").alias("page_number"),
+                whole.cast("decimal(38,0)").alias("page_number"),
+                fraction.cast("double").alias("page_fraction"),
                 text.cast("string").alias("page_text"),
-                F.lit(group).alias("group"),
+                (group if isinstance(group, Column) else F.lit(group)).alias("group"),
             )
 
+        def from_double(number: Column) -> Column:
+            whole = F.when(F.abs(number) < _EXACT_LONG, F.floor(number).cast("decimal(38,0)")).otherwise(
+                number.try_cast("decimal(38,0)"))
+            fraction = F.when(F.abs(number) < _EXACT_LONG, number - F.floor(number)).otherwise(0.0)
+            group = F.when(whole.isNull(), _UNUSABLE).otherwise(_NUMBER)
+            return made(group, whole, fraction)
+
+        is_whole = (leaf_type == "BIGINT") | leaf_type.rlike(r"^DECIMAL\([0-9]+,0\)$")
+        is_number = leaf_type.isin("DOUBLE", "FLOAT", "BOOLEAN") | leaf_type.startswith("DECIMAL")
         return (
-            F.when(is_number, F.when(F.abs(number) <= _EXACT_DOUBLE, made(_NUMBER, number)).otherwise(made(_UNUSABLE)))
+            F.when(is_whole, made(_NUMBER, F.try_variant_get(holder, at, "decimal(38,0)"), F.lit(0.0)))
+            .when(is_number, let(F.try_variant_get(holder, at, "double"), from_double))
             .when(leaf_type == "STRING", made(_TEXT, text=F.try_variant_get(holder, at, "string")))
             .when(leaf_type == "VOID", made(_NONE))
             .when(leaf_type.isNotNull(), made(_UNUSABLE))
@@ -102,6 +135,7 @@ def _page(entry: Column, pos: Column, search: RestSearch) -> Column:
         _number_key(entry[search.page_number_key], search),
         lambda key: F.struct(
             key["page_number"].alias("page_number"),
+            key["page_fraction"].alias("page_fraction"),
             key["page_text"].alias("page_text"),
             pos.alias("pos"),
             page_id.alias("page_id"),
@@ -116,7 +150,8 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
     Output: ``document_id, page_state, page_parsed, rest_pages_kind, rest_pages, maybe_truncated``. A response is
     one bounded answer of the catalogue, so last-wins and order are settled inside its row: the kind is ``error``
     when the list is no array, an id is no string, or page numbers cannot be put in one order; ``empty`` is not an
-    error. The list holds ``(page_number, page_text, page_id)`` with ascending keys.
+    error. The list holds ``(page_number, page_fraction, page_text, page_id)`` with ascending
+    keys; a page's number is the sum of the first two.
     """
     parsed = responses.select(
         "document_id",
@@ -139,8 +174,9 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
         lambda page, after: F.when(
             after.isNull()
             | ~page["page_number"].eqNullSafe(after["page_number"])
+            | ~page["page_fraction"].eqNullSafe(after["page_fraction"])
             | ~page["page_text"].eqNullSafe(after["page_text"]),
-            F.struct(page["page_number"], page["page_text"], page["page_id"]),
+            F.struct(page["page_number"], page["page_fraction"], page["page_text"], page["page_id"]),
         ),
     )
     groups = F.array_distinct(F.transform("_ranked", lambda page: page["group"]))
@@ -157,7 +193,7 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
         "page_parsed",
         kind.alias("rest_pages_kind"),
         F.filter(last_of_key, lambda page: page.isNotNull()).alias("_pages"),
-        (F.size("_ranked") == PAGES_PER_RESPONSE).alias("maybe_truncated"),
+        (F.size("_ranked") == search.page_limit).alias("maybe_truncated"),
     ).select(
         "document_id",
         "page_state",
@@ -169,12 +205,16 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
 
 
 def rest_pages(page_lists: DataFrame) -> DataFrame:
-    """One row per page: ``document_id, page_number, page_text, page_index, page_id``; ``page_index`` is 1-based."""
+    """One row per page: ``document_id, page_number, page_fraction, page_text, page_index, page_id``.
+
+    ``page_index`` is 1-based.
+    """
     # The outer form keeps Catalyst from testing the size of the list, and so building it, a second time.
     exploded = page_lists.select("document_id", F.posexplode_outer("rest_pages").alias("_pos", "_page"))
     return exploded.filter(F.col("_pos").isNotNull()).select(
         "document_id",
         "_page.page_number",
+        "_page.page_fraction",
         "_page.page_text",
         (F.col("_pos") + 1).alias("page_index"),
         "_page.page_id",

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from folioworks.config import DEFAULT_API, DOCUMENT_ID_PATTERN, ApiTemplates, Library
 from folioworks.functions.text import strip, url_path
 
-# Up to here a chain of prefix tests beats filtering a constant array.
-_CHAIN_LIMIT = 64
-
 
 def url_manifest(lines: DataFrame) -> DataFrame:
     """``(pos, line)`` to ``(pos, url)``: trimmed lines that are neither blank nor comments, duplicates kept."""
@@ -31,18 +28,14 @@ def _owner(url: Column, libraries: Sequence[Library]) -> Column:
             F.lit(library.page_detail_url).alias("page_detail_url"),
         )
 
-    entries = [
-        (prefix, entry(position, library, prefix))
-        for position, library in enumerate(libraries)
-        for prefix in library.prefixes
-    ]
-    if len(entries) > _CHAIN_LIMIT:
-        registry = F.array(*(value for _, value in entries))
-        return F.get(F.filter(registry, lambda e: url.startswith(e["base_url"])), F.lit(0))
-    owner = F
-    for prefix, value in entries:
-        owner = owner.when(url.startswith(prefix), value)
-    return owner
+    registry = F.array(
+        *(
+            entry(position, library, prefix)
+            for position, library in enumerate(libraries)
+            for prefix in library.prefixes
+        )
+    )
+    return F.get(F.filter(registry, lambda e: url.startswith(e["base_url"])), F.lit(0))
 
 
 def assign_library(urls: DataFrame, libraries: Sequence[Library]) -> DataFrame:

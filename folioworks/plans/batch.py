@@ -16,7 +16,7 @@ from folioworks.operators.attempts import attempt_outcomes
 from folioworks.operators.options import effective_options, work_orders
 from folioworks.operators.output import dir_conflicts, output_dirs
 from folioworks.operators.resolve import needs_dom, resolve_documents, resolved_page_lists
-from folioworks.operators.rest import admit_responses, rest_metadata, rest_page_lists
+from folioworks.operators.rest import admit_responses, deciding, rest_metadata, rest_page_lists
 from folioworks.operators.rollup import (
     document_outcomes,
     failed_documents,
@@ -25,6 +25,7 @@ from folioworks.operators.rollup import (
     run_summary,
 )
 from folioworks.operators.urls import assign_library, document_ids, url_manifest
+from folioworks.session import drop_folder
 from folioworks.sources.landing import write_table
 
 
@@ -51,7 +52,7 @@ class Report:
 
 def wants_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFrame) -> DataFrame:
     """Ids of the documents whose REST answer leaves something open."""
-    scalars = page_facts.drop("rest_pages", "maybe_truncated")
+    scalars = page_facts.drop("rest_pages", "rest_page_count", "maybe_truncated")
     return admit_responses(ids, document_facts, scalars).filter(needs_dom()).select("document_id")
 
 
@@ -97,28 +98,40 @@ class ArchiveRun:
         known = F.col("library_name").isNotNull() & F.col("document_id").isNotNull()
         return self.urls.filter(known).select("document_id").distinct()
 
+    def _landed(self, responses: DataFrame, ids: DataFrame) -> DataFrame:
+        """The deciding responses of the given documents; nothing else is parsed."""
+        return deciding(responses.join(ids, "document_id", "left_semi"))
+
+    @cached_property
+    def _wanted(self) -> DataFrame:
+        # As a table the ids have a known size: few of them are broadcast, and no body is shuffled.
+        return self._stage(self.ids, "ids")
+
     @cached_property
     def document_facts(self) -> DataFrame:
-        return self._stage(rest_metadata(self.landing.document_responses, self.rest), "document_facts")
+        landed = self._landed(self.landing.document_responses, self._wanted)
+        return self._stage(rest_metadata(landed, self.rest), "document_facts")
 
     @cached_property
     def page_facts(self) -> DataFrame:
-        return self._stage(rest_page_lists(self.landing.page_responses, self.rest), "page_facts")
+        landed = self._landed(self.landing.page_responses, self._wanted)
+        counted = rest_page_lists(landed, self.rest).withColumn(
+            "rest_page_count", F.coalesce(F.size("rest_pages"), F.lit(0)))
+        return self._stage(counted, "page_facts")
 
     @cached_property
     def html_facts(self) -> DataFrame:
-        html = self.landing.html_pages
+        wanted = self._wanted
         if self.explicit_pages is None:
-            # As a table the ids have a known size: few of them are broadcast, and no page is shuffled.
             wanted = self._stage(wants_html(self.ids, self.document_facts, self.page_facts), "wanted_html")
-            html = html.join(wanted, "document_id", "left_semi")
-        return self._stage(dom_facts(html, self.dom), "html_facts")
+        found = dom_facts(self._landed(self.landing.html_pages, wanted), self.dom)
+        return self._stage(found.withColumn("dom_page_count", F.coalesce(F.size("dom_pages"), F.lit(0))), "html_facts")
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return resolve_documents(
-            self.ids, self.document_facts, self.page_facts, self.html_facts, self.explicit_pages
-        )
+        if self.explicit_pages is not None:
+            return resolve_documents(self.ids, None, None, self.html_facts, self.explicit_pages)
+        return resolve_documents(self.ids, self.document_facts, self.page_facts, self.html_facts)
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -136,9 +149,10 @@ class ArchiveRun:
     @cached_property
     def granted(self) -> DataFrame:
         """Documents that got their folder, with their page lists."""
-        return resolved_page_lists(
-            self.documents.filter("dir_granted"), self.page_facts, self.html_facts, self.explicit_pages
-        )
+        granted = self.documents.filter("dir_granted")
+        if self.explicit_pages is not None:
+            return resolved_page_lists(granted, None, None, self.explicit_pages)
+        return resolved_page_lists(granted, self.page_facts, self.html_facts)
 
     @property
     def pages(self) -> DataFrame:
@@ -152,6 +166,11 @@ class ArchiveRun:
     def manifest(self) -> DataFrame:
         return document_manifest(self.granted, self.options.tool_path, self.written_at)
 
+    def close(self) -> None:
+        """Remove the tables of the run. Its results must have been written before."""
+        if self.work_dir is not None:
+            drop_folder(self.landing.url_lines.sparkSession, self.work_dir)
+
     def report(self, attempts: DataFrame) -> Report:
         """From the attempt log to the failure list and the verdict."""
         judged = self._stage(attempt_outcomes(attempts).select("doc_key", "page_index", "outcome"), "judged")

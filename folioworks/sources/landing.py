@@ -1,6 +1,7 @@
 """Shapes of the landed tables, readers that prune to them, and the result sinks.
 
-Landed tables hold one row per document (and, for attempts, per page). Bucketing them by their key when they are
+Landed responses hold a row per request: ``attempt`` counts the tries for one document, and the last one decides (a
+table without it holds one row per document). Attempt logs hold one row per document and page. Bucketing them by their key when they are
 written lets the joins of the jobs start without an exchange; ``write_bucketed`` does that.
 """
 
@@ -8,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-DOCUMENT_RESPONSES = "document_id string, status int, error_class string, body string"
+DOCUMENT_RESPONSES = "document_id string, attempt int, status int, error_class string, body string"
 PAGE_RESPONSES = DOCUMENT_RESPONSES
-HTML_PAGES = "document_id string, status int, error_class string, html string"
+HTML_PAGES = "document_id string, attempt int, status int, error_class string, html string"
 ATTEMPTS = (
     "doc_key bigint, page_index bigint, tool_found boolean, timed_out boolean, returncode int, stdout string, "
     "stderr string, exception boolean"

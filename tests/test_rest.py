@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from folioworks.operators.rest import admit_responses, rest_metadata, rest_page_lists, rest_pages
+from folioworks.operators.rest import admit_responses, deciding, rest_metadata, rest_page_lists, rest_pages
 
 SCHEMA = "document_id string, status int, error_class string, body string"
 
@@ -65,7 +65,11 @@ PAGE_CASES = [
     (_pages(_page("a", 1), {"PID": "b"}), "error", None),
     (_pages(_page("a", 1), _page("b", "2")), "error", None),
     (_pages(_page("a", [1])), "error", None),
-    (_pages(_page("a", 2**60)), "error", None),
+    (_pages(_page("a", 2**60)), "ok", ["a"]),
+    (_pages(_page("c", 2**53 + 1), _page("b", 2**53), _page("a", 2**53 - 1)), "ok", ["a", "b", "c"]),
+    (_pages(_page("b", 10**37 + 1), _page("a", 10**37), _page("c", 10**37 + 1)), "ok", ["a", "c"]),
+    (_pages(_page("b", 2**53 + 1), _page("a", 2.0**53), _page("c", 0.5), _page("d", -0.5)), "ok", ["d", "c", "a", "b"]),
+    (_pages(_page("a", 10**40)), "error", None),
     ('{"response":{"docs":{}}}', "error", None),
     ('{"response":{}}', "error", None),
     ("[]", "error", None),
@@ -95,6 +99,17 @@ def test_a_full_response_may_be_truncated(spark):
     assert rows["0"].rest_pages[0].page_id == "p3999" and len(rows["1"].rest_pages) == 3999
 
 
+def test_the_last_attempt_decides(spark):
+    good = _doc(dc_title="T")
+    rows = [("a", 1, 500, None, None), ("a", 2, 200, None, good), ("b", 1, 200, None, good), ("b", None, 500, None, None),
+            ("c", 2, None, "cert", None), ("c", 1, 200, None, good), ("d", 7, 200, None, good), ("d", 7, 200, None, good),
+            (None, 1, 500, None, None), (None, 2, 200, None, good)]
+    landed = spark.createDataFrame(rows, "document_id string, attempt int, status int, error_class string, body string")
+    found = sorted((str(r.document_id), r.doc_state) for r in rest_metadata(deciding(landed)).collect())
+    assert found == [("None", "ok"), ("a", "ok"), ("b", "ok"), ("c", "cert"), ("d", "ok")]
+    assert deciding(landed.drop("attempt")).count() == len(rows)
+
+
 def test_page_lists_do_not_shuffle(spark):
     plan = rest_pages(rest_page_lists(_responses(spark, ["{}"])))._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Python" not in plan

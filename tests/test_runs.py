@@ -18,12 +18,13 @@ def _landing(spark):
     return Landing(
         url_lines=spark.createDataFrame(list(enumerate(lines)), "pos long, line string"),
         document_responses=spark.createDataFrame(
-            [("uuid:1", 200, None, '{"response":{"docs":[{"dc.title":"One"}]}}'), ("uuid:2", None, "cert", None)],
+            [("uuid:1", 2, 200, None, '{"response":{"docs":[{"dc.title":"One"}]}}'), ("uuid:1", 1, 500, None, None),
+             ("uuid:2", 1, None, "cert", None), ("uuid:77", 1, 200, None, "{not wanted")],
             landed.DOCUMENT_RESPONSES,
         ),
-        page_responses=spark.createDataFrame([("uuid:1", 200, None, body)], landed.PAGE_RESPONSES),
+        page_responses=spark.createDataFrame([("uuid:1", 1, 200, None, body)], landed.PAGE_RESPONSES),
         html_pages=spark.createDataFrame(
-            [("uuid:1", 200, None, '<div id="page-id-uuid:no">'), ("uuid:2", 404, None, "")], landed.HTML_PAGES
+            [("uuid:1", 1, 200, None, '<div id="page-id-uuid:no">'), ("uuid:2", 1, 404, None, "")], landed.HTML_PAGES
         ),
     )
 
@@ -49,6 +50,21 @@ def test_batch_run(spark, tmp_path, staged):
     assert [d for d in os.listdir(tmp_path / "manifest") if d.startswith("library")] == ["library_name=B"]
 
 
+def test_an_explicit_run_parses_no_rest_answer_and_leaves_nothing(spark, tmp_path):
+    work = tmp_path / "work"
+    run = ArchiveRun(_landing(spark), LIBRARIES, Options(), "now", explicit_pages=["x"], work_dir=str(work))
+    assert run.pages.count() == 3
+    assert not {"document_facts", "page_facts"} & set(os.listdir(work))
+    run.close()
+    assert not work.exists()
+
+
+def test_counts_read_no_page_lists(spark, tmp_path):
+    run = ArchiveRun(_landing(spark), LIBRARIES, Options(), "now", work_dir=str(tmp_path / "work"))
+    plan = run.resolved.select("document_id", "page_count")._jdf.queryExecution().executedPlan().toString()
+    assert "rest_pages:array" not in plan and "dom_pages:array" not in plan
+
+
 def test_explicit_pages_go_to_every_document(spark):
     run = ArchiveRun(_landing(spark), LIBRARIES, Options(), "now", explicit_pages=["x", "y"])
     found = {(r.doc_key, r.page_index): r.page_id for r in run.pages.collect()}
