@@ -14,7 +14,8 @@ def number_in_groups(
 
     ``bucket`` must rise with ``order`` (an hour for a timestamp, a block for a number). Rows are numbered inside
     (keys, bucket); the start of each bucket comes from a running sum over bucket sizes, which are pre-aggregated
-    before their shuffle. A hot group is thereby spread over as many tasks as it has buckets.
+    before their shuffle. A hot group is thereby spread over as many tasks as it has buckets. Null keys and buckets
+    are values like others.
     """
     keyed = df.withColumn("_bucket", bucket)
     cell = [*keys, "_bucket"]
@@ -26,9 +27,14 @@ def number_in_groups(
         .drop("_size")
     )
     inside = Window.partitionBy(*cell).orderBy(*order)
+    starts = starts.withColumnsRenamed({column: f"_of_{column}" for column in cell})
+    same = F.lit(True)
+    for column in cell:
+        same = same & F.col(column).eqNullSafe(F.col(f"_of_{column}"))
     return (
         keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(starts, cell)
+        .join(starts, same)
+        .drop(*(f"_of_{column}" for column in cell))
         .withColumn(name, F.col("_inside") + F.col("_start"))
         .drop("_inside", "_start", "_bucket")
     )

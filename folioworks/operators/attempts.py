@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from folioworks.functions.binding import let
 from folioworks.functions.text import is_blank
 
 # ---- fixed values -------------------------------------------------------------------------------------------
@@ -54,8 +55,8 @@ def certificate_only(stderr: Column) -> Column:
         .when(_is_mismatch_reason(reason), 2)
         .otherwise(3),
     )
-    seen = F.array_distinct(codes)
-    verdict = F.when(stderr.contains(_DISCOVERY_FAILED), F.array_contains(seen, 1) & ~F.array_contains(seen, 3))
+    listed = let(F.array_distinct(codes), lambda seen: F.array_contains(seen, 1) & ~F.array_contains(seen, 3))
+    verdict = F.when(stderr.contains(_DISCOVERY_FAILED), listed)
     return F.coalesce(verdict, F.lit(False))
 
 

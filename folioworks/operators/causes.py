@@ -17,20 +17,21 @@ def cert_causes(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFra
     """Add ``is_certificate`` to ``roots(error_id)``: is a certificate error reachable over ``edges``?
 
     The walk goes backwards from the certificate errors, level by level, and keeps each node once. So it costs one
-    join per level of wrapping, cycles end by themselves, and no root-node pairs are ever built.
+    join per level of wrapping, cycles end by themselves, and no root-node pairs are ever built. An edge is read no
+    more once its source is reached: what is left of the edges is written anew every few levels.
     """
     frontier = cut_lineage(
         nodes.filter(F.col("error_class") == _CERTIFICATE_ERROR).select("error_id").distinct()
     )
-    reached = frontier
+    reached, left = frontier, edges.select("from_id", "to_id")
     level = 0
     while not frontier.isEmpty():
-        callers = (
-            edges.join(frontier, edges["to_id"] == frontier["error_id"], "left_semi")
-            .select(F.col("from_id").alias("error_id"))
-            .distinct()
-        )
-        frontier = cut_lineage(callers.join(reached, "error_id", "left_anti"))
+        left = left.join(frontier, left["from_id"] == frontier["error_id"], "left_anti")
+        if level % _MERGE_EVERY == 0:
+            left = cut_lineage(left)
+        callers = left.join(frontier, left["to_id"] == frontier["error_id"], "left_semi")
+        # What is reached has lost its edges, so callers are new.
+        frontier = cut_lineage(callers.select(F.col("from_id").alias("error_id")).distinct())
         reached = reached.union(frontier)
         level += 1
         if level % _MERGE_EVERY == 0:

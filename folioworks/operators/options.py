@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioworks.config import ACCEPT_INVALID_CERTS, OptionLayer, Options
 
@@ -53,6 +53,26 @@ def effective_options(documents: DataFrame, options: Options) -> DataFrame:
     )
 
 
+def option_warnings(spark: SparkSession, options: Options) -> DataFrame:
+    """``scope, insecure, contradiction``: what to warn about, once for everything and once per library.
+
+    The scope is null for what holds everywhere. A library has a row of its own only if its layer says something about
+    arguments or certificates. Rows without a warning are left out.
+    """
+    scopes: list[tuple[str | None, OptionLayer]] = [(None, OptionLayer())]
+    scopes += [(name, layer) for name, layer in options.libraries.items()
+               if layer.args is not None or layer.allow_insecure is not None]
+    rows = []
+    for scope, library in scopes:
+        named = [options.run, library, options.shared]
+        args = next((layer.args for layer in named if layer.args is not None), ())
+        allow = next((layer.allow_insecure for layer in named if layer.allow_insecure is not None), False)
+        contradiction = not allow and ACCEPT_INVALID_CERTS in args
+        if allow or contradiction:
+            rows.append((scope, allow, contradiction))
+    return spark.createDataFrame(rows, "scope string, insecure boolean, contradiction boolean")
+
+
 def work_orders(pages: DataFrame, tool_path: str = Options.tool_path) -> DataFrame:
     """One download order per page: ``command`` (tool, arguments, source, target) and ``page_url``.
 

@@ -26,9 +26,11 @@ def document_outcomes(outcomes: DataFrame, page_counts: DataFrame | None = None)
         F.min(F.when(is_exception, F.col("page_index"))).alias("_stop"),
     )
     block = F.floor((F.col("page_index") - 1) / _BLOCK)
-    # Blocks up to the stop; everything later is unattempted without being looked at.
-    reach = whole.filter(F.col("_stop").isNotNull()).select(
-        "doc_key", "_stop", F.explode(F.sequence(F.lit(0), F.floor((F.col("_stop") - 1) / _BLOCK))).alias("_block")
+    # Blocks of the log up to the stop; everything later is unattempted without being looked at.
+    stops = whole.filter(F.col("_stop").isNotNull()).select("doc_key", "_stop")
+    reach = (
+        outcomes.select("doc_key", block.alias("_block")).distinct().join(stops, "doc_key")
+        .filter(F.col("_block") <= F.floor((F.col("_stop") - 1) / _BLOCK))
     )
     before = (
         outcomes.withColumn("_block", block)
@@ -92,7 +94,7 @@ def failed_documents(
     processed = documents.join(outcomes, "doc_key", "left")
     processed = processed.filter(
         ~F.col("dir_granted") | (F.col("failed") > 0) | (F.col("unattempted") > 0)
-    ).join(F.broadcast(libraries), "library_name")
+    ).join(libraries, "library_name")
     granted = F.col("dir_granted")
     failed = processed.select(
         F.lit(2).alias("phase"),

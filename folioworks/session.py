@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -13,8 +14,6 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Parsing costs far more per byte than reading, so even small partitions are worth a core each.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A split hot key is worth an extra exchange after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -22,9 +21,10 @@ RUNTIME_CONF = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings and return the session."""
+    """Set the runtime settings that nobody has set yet and return the session; a caller's own choice stays."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -38,6 +38,8 @@ def local_session(app_name: str = "folioworks", cpus: str | None = None) -> Spar
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", cpus)
+        # On little data even small partitions are worth a core each, since parsing costs far more than reading.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -49,7 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        # Only where driver and executors are one process; local-cluster is a cluster.
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="folioworks-")
     if context.getCheckpointDir() is None:
@@ -62,6 +65,12 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4()}"
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a work folder and all in it, wherever it is stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint ``df`` in the shared folder, so that a lost executor costs no replay of what led to it."""
     shared_folder(df.sparkSession)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioworks.config import METADATA_FIELDS, ApiTemplates, DomSearch, Step
+from folioworks.config import DEFAULT_REST, METADATA_FIELDS, ApiTemplates, DomSearch, Step
 from folioworks.operators import (
     attempts as attempt_jobs,
     causes,
@@ -22,6 +23,7 @@ from folioworks.operators import (
 )
 from folioworks.plans.batch import ArchiveRun, Landing, Report
 from folioworks.session import tune, work_folder
+from folioworks.sources.landing import write_table
 from workloads import derived
 
 WRITTEN_AT = "2024-01-02 03:04:05"
@@ -71,12 +73,22 @@ def admit_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admitted.select("document_id", "rest_status")
 
 
+def admit_responses_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where failed attempts were landed before the deciding ones."""
+    landed = (derived.document_responses(spark, sf_dir), derived.page_responses(spark, sf_dir))
+    documents, pages = (rest.deciding(derived.with_retries(side)) for side in landed)
+    admitted = rest.admit_responses(
+        _ids(spark, sf_dir), rest.rest_metadata(documents), rest.rest_page_lists(pages))
+    return admitted.select("document_id", "rest_status")
+
+
 def rest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.rest_metadata(derived.document_responses(spark, sf_dir)).drop("doc_parsed")
 
 
 def rest_page_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rest.rest_page_lists(derived.page_responses(spark, sf_dir)).select(
+    search = replace(DEFAULT_REST, page_limit=4)
+    return rest.rest_page_lists(derived.page_responses(spark, sf_dir), search).select(
         "document_id", "rest_pages_kind", F.size("rest_pages").cast("bigint").alias("pages"), "maybe_truncated"
     )
 
@@ -86,10 +98,22 @@ def rest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("document_id", F.col("page_number").cast("int").alias("page_number"), "page_index", "page_id")
 
 
+def rest_pages_large_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page numbers around 2^53, where neighbours share one double."""
+    lists = rest.rest_page_lists(derived.page_responses(spark, sf_dir, first_number=2**53 - 3))
+    rows = rest.rest_pages(lists)
+    return rows.select("document_id", F.col("page_number").cast("bigint").alias("page_number"), "page_index", "page_id")
+
+
 def dom_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages_exploded(dom.dom_pages(derived.web_pages(spark, sf_dir), LINKS), "dom_pages")
 
 
+def dom_pages_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages with comment marks in scripts and scripts in comments."""
+    return _pages_exploded(dom.dom_pages(derived.pages_with_scripts(spark, sf_dir), LINKS), "dom_pages")
+
+
 def dom_page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages_exploded(dom.dom_pages(derived.html_pages(spark, sf_dir)), "dom_pages")
 
@@ -102,6 +126,11 @@ def dom_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom.dom_text(derived.web_pages(spark, sf_dir), HEADLINE)
 
 
+def dom_text_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headlines behind nesting that grows with the row."""
+    return dom.dom_text(derived.deep_pages(spark, sf_dir), HEADLINE)
+
+
 def dom_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = dom.dom_facts(derived.html_pages(spark, sf_dir))
     return facts.select("document_id", *(f"dom_{name}" for name in METADATA_FIELDS))
@@ -113,7 +142,7 @@ def _run(spark: SparkSession, sf_dir: str, urls_of=derived.doc_urls_with_copies,
         url_lines=urls_of(spark, sf_dir).withColumnRenamed("url", "line"),
         document_responses=derived.document_responses(spark, sf_dir),
         page_responses=derived.page_responses(spark, sf_dir),
-        html_pages=derived.html_pages(spark, sf_dir),
+        html_pages=derived.never_landed(derived.html_pages(spark, sf_dir), spark, sf_dir),
         existing_dirs=derived.existing_dirs(spark, sf_dir),
     )
     return ArchiveRun(
@@ -185,9 +214,9 @@ def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From landed page lists straight to numbered pages with file names."""
     lists = rest.rest_page_lists(derived.page_responses(spark, sf_dir))
-    keys = derived.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("doc_key"),
-        derived.document_id(F.col("o_orderkey")).alias("document_id"),
+    keys = derived.landed_orders(spark, sf_dir).select(
+        F.col("doc").alias("doc_key"),
+        derived.document_id(F.col("doc")).alias("document_id"),
         F.lit("https://lib0.example.org/view/").alias("source_url"),
         F.lit("https://img0.example.org/").alias("page_detail_url"),
     )
@@ -244,6 +273,20 @@ def effective_options_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_options(spark, sf_dir, derived.RUN_OPTIONS)
 
 
+def effective_options_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_options(spark, sf_dir, derived.CLASHING_OPTIONS)
+
+
+def option_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warnings of the clashing layers, with the documents each is about."""
+    assigned = urls.assign_library(derived.doc_urls(spark, sf_dir), derived.order_libraries((0, 1, 2)))
+    warned = options.option_warnings(spark, derived.CLASHING_OPTIONS)
+    # A document stands in two scopes: everything, and its library.
+    scopes = F.array(F.lit(None).cast("string"), F.col("library_name"))
+    counted = assigned.select(F.explode(scopes).alias("of")).groupBy("of").agg(F.count(F.lit(1)).alias("documents"))
+    return warned.join(counted, F.col("scope").eqNullSafe(F.col("of"))).drop("of")
+
+
 def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _run(spark, sf_dir).orders
     return orders.select("doc_key", "page_index", "page_url", _joined("command", " "))
@@ -272,7 +315,9 @@ def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.document_outcomes(attempt_jobs.attempt_outcomes(derived.attempts(spark, sf_dir)))
+    """Outcomes per user; the judged log is written once, since its rows are read for stops and for counts."""
+    judged = attempt_jobs.attempt_outcomes(derived.attempts(spark, sf_dir)).select("doc_key", "page_index", "outcome")
+    return rollup.document_outcomes(write_table(judged, work_folder(spark)))
 
 
 def _reported(spark: SparkSession, sf_dir: str) -> Report:
@@ -297,13 +342,17 @@ _QUERIES = (
     assign_library,
     document_ids,
     admit_responses,
+    admit_responses_retries,
     rest_metadata,
     rest_page_kinds,
     rest_pages,
+    rest_pages_large_numbers,
     dom_pages,
+    dom_pages_scripts,
     dom_page_elements,
     dom_kinds,
     dom_text,
+    dom_text_deep,
     dom_metadata,
     resolve_pages,
     resolve_pages_explicit,
@@ -318,6 +367,8 @@ _QUERIES = (
     dir_conflicts,
     effective_options,
     effective_options_run,
+    effective_options_clashing,
+    option_warnings,
     work_orders,
     attempt_outcomes,
     page_lists,

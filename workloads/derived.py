@@ -1,7 +1,7 @@
 """Inputs of the jobs derived by Spark from the given tables.
 
-Everything grows with the tables and reads them whole. No builder gathers an open-ended group: lists in a landed
-body are first reduced to the first and last entry per page number (or page id), of which an order has few.
+Everything grows with the tables and reads them whole. No builder gathers an open-ended group: the lines of an order
+are ranked and cut into blocks, and each block is a landed document of its own. The first has the order's own key.
 """
 
 from __future__ import annotations
@@ -43,11 +43,25 @@ RUN_OPTIONS = Options(
     shared=OPTIONS.shared,
 )
 
+# Layers that contradict themselves, for everything and for one library.
+CLASHING_OPTIONS = Options(
+    libraries={
+        "lib0": OptionLayer(allow_insecure=True),
+        "lib1": OptionLayer(args=("--accept-invalid-certs", "--largest"), allow_insecure=False),
+        "lib2": OptionLayer(subfolder="scans"),
+    },
+    shared=OptionLayer(args=("--accept-invalid-certs",), allow_insecure=False),
+)
+
 _PAGE_KEY = ("l_partkey", "l_suppkey", "l_linenumber")
 
 # Positions of repeated URLs start here.
 COPY_OFFSET = 1_000_000_000
 
+# Lines in one landed body, and how far apart the keys of an order's blocks are.
+BLOCK = 1000
+BLOCK_OFFSET = 1_000_000_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -129,33 +143,31 @@ def _order_of_line() -> Column:
     return F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
 
 
-def _line_ends(spark: SparkSession, sf_dir: str, group: Column) -> DataFrame:
-    """First and last line, in landing order, per order and ``group``; at most two per pair."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey", group.alias("_group"))
-        .agg(F.min(_order_of_line()).alias("_first"), F.max(_order_of_line()).alias("_last"))
-        .select("l_orderkey", F.array_distinct(F.array("_first", "_last")).alias("_ends"))
-    )
+def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with ``doc`` (a key) and ``_lines`` per block of at most ``BLOCK`` of their lines; no lines, one block."""
+    order = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
+    lines = number_in_groups(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", *order), ["l_orderkey"], order,
+        F.floor(F.col("l_partkey") / 256), "_rank")
+    blocks = lines.groupBy("l_orderkey", F.floor((F.col("_rank") - 1) / BLOCK).alias("_block")).agg(
+        F.array_sort(F.collect_list(_order_of_line())).alias("_lines"))
+    orders = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    # Spread by order before the join, which needs it anyway: bodies are then built and parsed by all cores.
+    joined = orders.repartition("o_orderkey").join(blocks, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.withColumn("doc", F.col("o_orderkey") + F.coalesce("_block", F.lit(0)) * BLOCK_OFFSET)
 
 
-def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_responses(spark: SparkSession, sf_dir: str, first_number: int = 0) -> DataFrame:
     """Landed page lists per order; repeated page numbers, lists without numbers, and several ways to be broken."""
-    lists = (
-        _line_ends(spark, sf_dir, F.col("l_linenumber"))
-        .groupBy("l_orderkey")
-        .agg(F.array_sort(F.flatten(F.collect_list("_ends"))).alias("_lines"))
-    )
-    # Spread by order before the join, which needs it anyway: bodies are then built and parsed by all cores.
-    orders = table(spark, sf_dir, "orders").select("o_orderkey").repartition("o_orderkey")
-    joined = orders.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    key = F.col("o_orderkey")
+    joined = landed_orders(spark, sf_dir)
+    key = F.col("doc")
 
     def entry(line, pos):
         page = document_id(F.concat_ws("-", *(line[c].cast("string") for c in _PAGE_KEY)))
         identifier = F.when((key % 31 == 0) & (pos == 0), "7").otherwise(F.concat(F.lit('"'), page, F.lit('"')))
         number = F.when(key % 41 == 0, "").otherwise(
-            F.concat(F.lit(',"rels_ext_index":['), line["l_linenumber"].cast("string"), F.lit("]"))
+            F.concat(F.lit(',"rels_ext_index":['), (line["l_linenumber"].cast("bigint") + first_number).cast("string"), F.lit("]"))
         )
         return F.concat(F.lit('{"PID":'), identifier, number, F.lit("}"))
 
@@ -174,19 +186,9 @@ def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed HTML per order: page elements with repeated ids, metadata, missing and failed pages."""
-    part = F.col("l_partkey") % 50
-    lists = (
-        _line_ends(spark, sf_dir, part)
-        .groupBy("l_orderkey")
-        .agg(F.array_sort(F.flatten(F.collect_list("_ends"))).alias("_lines"))
-    )
-    orders = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    )
-    spread = orders.repartition("o_orderkey")
-    joined = spread.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    key = F.col("o_orderkey")
+    """Landed HTML per order: page elements with repeated ids, metadata, failed pages."""
+    joined = landed_orders(spark, sf_dir)
+    key = F.col("doc")
     divs = F.coalesce(
         F.array_join(
             F.transform(
@@ -220,7 +222,7 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 == 0, "").otherwise(divs),
         F.lit('<div id="non-page-id"></div></div></app-book></main></app-root></body></html>'),
     )
-    return joined.filter(key % 5 != 2).select(
+    return joined.select(
         document_id(key).alias("document_id"),
         F.when(key % 47 == 0, 404).otherwise(200).alias("status"),
         F.when(key % 43 == 0, "cert").when(key % 53 == 0, "tls").alias("error_class"),
@@ -228,6 +230,40 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def never_landed(pages: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` without those of some orders, whose HTML was never fetched."""
+    missing = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 == 2)
+    return pages.join(missing.select(document_id(F.col("o_orderkey")).alias("document_id")), "document_id", "left_anti")
+
+
+def with_retries(responses: DataFrame) -> DataFrame:
+    """``responses`` with attempt numbers, and failed attempts before those of about every third document."""
+    again = F.substring("document_id", -1, 1).isin("0", "3", "6", "9", "c")
+    good = responses.withColumn("attempt", F.when(again, 3).otherwise(1))
+    broken = {c: F.lit(None).cast(t) for c, t in responses.dtypes if c not in ("document_id", "status")}
+    failed = responses.filter(again).select("document_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"))
+    failed = failed.withColumns(broken | {"status": F.when(F.col("attempt") == 1, 500)})
+    failed = failed.withColumn("error_class", F.when(F.col("attempt") == 2, "cert"))
+    return good.unionByName(failed.select(good.columns))
+
+
+def pages_with_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given web pages with scripts that hold comment marks, and comments that hold script tags."""
+    script = F.lit("<script>var a = '<!--', b = '<a href=\"/x\">';</script>")
+    comment = F.lit("<!-- <script> <a href='/y'> -->")
+    pages = web_pages(spark, sf_dir)
+    return pages.withColumn("html", F.concat(script, comment, F.replace("html", F.lit("</p>"), F.concat(comment, script, F.lit("</p>")))))
+
+
+def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles whose headline lies behind as many nested elements as the row number, up to hundreds."""
+    depth = (F.col("document_id") % 400).cast("int")
+    inner = F.concat(F.repeat(F.lit("<article>x"), depth), F.repeat(F.lit("</article>"), depth))
+    return web_pages(spark, sf_dir).withColumn(
+        "html", F.concat(F.lit("<article>"), inner, F.lit("<h1>deep "), F.col("document_id").cast("string"),
+                         F.lit("</h1></article><h1>outside</h1>")))
+
+
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given web pages as landed HTML."""
     return table(spark, sf_dir, "pages").select(
@@ -249,22 +285,22 @@ def existing_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _error_text() -> Column:
     """Error text of a failed event: a mismatch, and by event a certificate failure or another failure."""
     certificate = (
-        "     - zoomify: error sending request for url (https://e/i): "
-        "error:0A000086:SSL routines:certificate verify failed:ssl\n"
+        " - tiles: error sending request for url (https://scans.test/1): "
+        "error:140:SSL routines:certificate verify failed:unable to get issuer\n"
     )
-    timeout = "     - deepzoom: error sending request for url (x): connection timed out\n"
+    refused = " - plain: error sending request for url (https://scans.test/2): connection refused\n"
     return F.concat(
         F.lit("[ERROR] Dezoomer error: discovery failed: no discovery candidate accepted the input\n"),
-        F.lit("     - custom: not a tiles.yaml file\n"),
+        F.lit(" - manifest: not a manifest file\n"),
         F.when(F.col("event_id") % 3 == 0, certificate).otherwise(""),
-        F.when(F.col("event_id") % 5 == 0, timeout).otherwise(""),
+        F.when(F.col("event_id") % 5 == 0, refused).otherwise(""),
     )
 
 
 def error_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error text per failed event."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
-    return events.select("event_id", _error_text().alias("stderr"))
+    """Error text per event, empty where nothing failed."""
+    text = F.when(F.col("event_type") == "error", _error_text()).otherwise("")
+    return table(spark, sf_dir, "events").select("event_id", text.alias("stderr"))
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,21 @@ _MD5_KEY = "concat('uuid:', md5(CAST({0} AS VARCHAR)))"
 
 # One row per order: what its landed responses amount to, by the rules of the derived inputs.
 _FACTS = """
+ranked AS (
+  SELECT *, row(l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_shipdate) AS ord,
+    (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_extendedprice,
+      l_shipdate) - 1) // 1000 * 1000000000000 AS block
+  FROM lineitem),
+landed_orders AS (
+  SELECT orders.* REPLACE (o_orderkey + coalesce(block, 0) AS o_orderkey), o_orderkey AS base
+  FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, block FROM ranked) ON o_orderkey = l_orderkey),
 lines AS (
-  SELECT l_orderkey AS k, l_linenumber AS num,
+  SELECT l_orderkey + block AS k, l_linenumber AS num,
     concat('uuid:', md5(concat_ws('-', CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR),
       CAST(l_linenumber AS VARCHAR)))) AS page,
     concat('uuid:', md5(CAST(l_partkey % 50 AS VARCHAR))) AS dom_page,
-    row(l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_shipdate) AS ord
-  FROM lineitem),
+    ord
+  FROM ranked),
 rest_rows AS (
   SELECT k, CASE WHEN k % 41 = 0 THEN NULL ELSE num END AS page_number, arg_max(page, ord) AS page_id
   FROM lines GROUP BY ALL),
@@ -31,12 +39,13 @@ facts AS (
       ELSE 'ok' END AS rest_status,
     CASE WHEN o_orderkey % 29 = 0 OR o_orderkey % 37 = 0 THEN 'error' WHEN rest_count IS NULL THEN 'empty'
       WHEN o_orderkey % 31 = 0 THEN 'error' ELSE 'ok' END AS rest_kind,
-    o_orderkey % 5 <> 2 AS landed,
-    landed AND o_orderkey % 43 <> 0 AND o_orderkey % 53 <> 0 AND o_orderkey % 47 <> 0 AS loaded,
-    CASE WHEN NOT landed THEN 'empty' WHEN o_orderkey % 43 = 0 THEN 'cert' WHEN o_orderkey % 53 = 0 THEN 'error'
-      WHEN o_orderkey % 47 = 0 OR dom_count IS NULL THEN 'empty' ELSE 'ok' END AS dom_kind,
+    base % 5 <> 2 AS landed,
+    o_orderkey % 43 <> 0 AND o_orderkey % 53 <> 0 AND o_orderkey % 47 <> 0 AS page_loaded,
+    CASE WHEN o_orderkey % 43 = 0 THEN 'cert' WHEN o_orderkey % 53 = 0 THEN 'error'
+      WHEN o_orderkey % 47 = 0 OR dom_count IS NULL THEN 'empty' ELSE 'ok' END AS page_kind,
+    landed AND page_loaded AS loaded, CASE WHEN landed THEN page_kind ELSE 'empty' END AS dom_kind,
     CASE WHEN dom_kind = 'ok' THEN dom_count ELSE 0 END AS dom_count
-  FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN counts ON o_orderkey = counts.k
+  FROM landed_orders JOIN customer ON o_custkey = c_custkey LEFT JOIN counts ON o_orderkey = counts.k
     LEFT JOIN dom_counts ON o_orderkey = dom_counts.k),
 pages_decided AS (
   SELECT *, CASE WHEN rest_status = 'ok' THEN rest_kind ELSE rest_status END AS rest,
@@ -182,8 +191,8 @@ owners AS (
 
 _CLEAN_HTML = r"""
 cleaned AS (
-  SELECT page_id AS document_id, regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
-    '(?is)<script\b.*?</script\s*>', '', 'g'), '(?is)<style\b.*?</style\s*>', '', 'g') AS html
+  SELECT page_id AS document_id, regexp_replace(html,
+    '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g') AS html
   FROM pages)"""
 
 _OPTION_COLUMNS = """
@@ -202,7 +211,8 @@ ORACLES: dict[str, str] = {
       concat('https://api.example.org/', 'pages?q="', id, '"&rows=4000') AS pages_request_url
     FROM (SELECT pos, url, concat('uuid:', md5(CAST(k AS VARCHAR))) AS id FROM base_urls WHERE k % 13 <> 0)
     UNION ALL SELECT pos, url, NULL, NULL, NULL FROM base_urls WHERE k % 13 = 0""",
-    "admit_responses": _with(_FACTS) + "SELECT document_id, rest_status FROM facts WHERE k % 13 <> 0",
+    "admit_responses": _with(_FACTS) + "SELECT document_id, rest_status FROM facts WHERE k < 1000000000000 "
+    "AND k % 13 <> 0",
     "rest_metadata": """
     SELECT document_id, CASE WHEN k % 17 = 0 THEN 'cert' WHEN k % 11 IN (0, 1) THEN 'error' ELSE 'ok' END AS doc_state,
       title_kind, title, subtitle_kind, subtitle, title_kind AS part_title_kind, title AS part_title,
@@ -215,9 +225,13 @@ ORACLES: dict[str, str] = {
       CASE o_orderkey % 7 WHEN 3 THEN '' WHEN 4 THEN '' ELSE o_orderpriority END AS subtitle
       FROM orders JOIN customer ON o_custkey = c_custkey)""",
     "rest_page_kinds": _with(_FACTS) + "SELECT document_id, rest_kind AS rest_pages_kind, "
-    "CASE WHEN rest_kind = 'ok' THEN rest_count END AS pages, false AS maybe_truncated FROM facts",
+    "CASE WHEN rest_kind = 'ok' THEN rest_count END AS pages, rest_kind <> 'empty' AND k % 37 <> 0 AND k % 29 <> 0 "
+    "AND k IN (SELECT k FROM lines GROUP BY k HAVING count(*) = 4) AS maybe_truncated FROM facts",
     "rest_pages": _with(_FACTS) + "SELECT document_id, page_number, row_number() OVER (PARTITION BY k "
     "ORDER BY page_number) AS page_index, page_id FROM rest_rows JOIN facts USING (k) WHERE rest_kind = 'ok'",
+    "rest_pages_large_numbers": _with(_FACTS) + "SELECT document_id, page_number + 9007199254740989 AS page_number, "
+    "row_number() OVER (PARTITION BY k ORDER BY page_number) AS page_index, page_id FROM rest_rows JOIN facts USING (k) "
+    "WHERE rest_kind = 'ok'",
     "dom_pages": _with(_CLEAN_HTML)
     + r""", tags AS (
       SELECT document_id, unnest(found) AS tag, generate_subscripts(found, 1) AS place
@@ -229,25 +243,27 @@ ORACLES: dict[str, str] = {
     SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY min(place)) AS page_index, page_id
     FROM targets WHERE page_id <> '' GROUP BY document_id, page_id""",
     "dom_page_elements": _with(_FACTS) + "SELECT document_id, page_index, page_id FROM dom_rows "
-    "JOIN facts USING (k) WHERE loaded",
-    "dom_kinds": _with(_FACTS) + "SELECT document_id, dom_kind FROM facts WHERE landed",
+    "JOIN facts USING (k) WHERE page_loaded",
+    "dom_kinds": _with(_FACTS) + "SELECT document_id, page_kind AS dom_kind FROM facts",
     "dom_text": _with(_CLEAN_HTML)
     + r"""SELECT document_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
       regexp_replace(regexp_extract(html, '(?is)<article\b[^>]*>.*?<h1\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
       '&quot(;|\b)', '"', 'g'), '&copy(;|\b)', '©', 'g'), '&middot(;|\b)', '·', 'g'), '&lt(;|\b)', '<', 'g'),
       '&amp(;|\b)', '&', 'g')) AS headline
     FROM cleaned""",
-    "dom_metadata": _with(_FACTS) + "SELECT document_id, dom_title, dom_subtitle, dom_part_title, "
-    "'' AS dom_part_subtitle FROM texts WHERE landed",
+    "dom_text_deep": "SELECT page_id AS document_id, concat('deep ', CAST(page_id AS VARCHAR)) AS headline FROM pages",
+    "dom_metadata": _with(_FACTS) + "SELECT document_id, CASE WHEN page_loaded THEN concat(c_name, ' & more') ELSE '' END "
+    "AS dom_title, CASE WHEN page_loaded THEN priority ELSE '' END AS dom_subtitle, CASE WHEN page_loaded AND k % 2 = 0 "
+    "THEN concat('part ', CAST(k AS VARCHAR)) ELSE '' END AS dom_part_title, '' AS dom_part_subtitle FROM facts",
     "resolve_pages": _with(_FACTS) + "SELECT document_id, pages_source, failure_class, page_count FROM resolved "
-    "WHERE k % 13 <> 0",
+    "WHERE k < 1000000000000 AND k % 13 <> 0",
     "resolve_pages_explicit": _with(_FACTS) + "SELECT document_id, 'explicit' AS pages_source, "
     "CAST(NULL AS VARCHAR) AS failure_class, CAST(3 AS BIGINT) AS page_count, dom_title AS title FROM texts "
-    "WHERE k % 13 <> 0",
+    "WHERE k < 1000000000000 AND k % 13 <> 0",
     "resolved_page_rows": _with(_FACTS) + "SELECT document_id, page_index, page_id FROM page_rows "
-    "JOIN resolved USING (k) WHERE k % 13 <> 0",
+    "JOIN resolved USING (k) WHERE k < 1000000000000 AND k % 13 <> 0",
     "resolve_metadata": _with(_FACTS) + "SELECT document_id, title, subtitle, part_title, part_subtitle, "
-    "field_source AS title_source, field_source AS part_subtitle_source FROM resolved WHERE k % 13 <> 0 "
+    "field_source AS title_source, field_source AS part_subtitle_source FROM resolved WHERE k < 1000000000000 AND k % 13 <> 0 "
     "AND pages_source IS NOT NULL",
     "assemble_documents": _with(_FACTS, _URLS, _LABELLED) + "SELECT pos AS doc_key, url AS source_url, library_name, "
     "document_id, pages_source, page_count, title, subtitle, part_title, part_subtitle FROM documents_in",
@@ -276,13 +292,19 @@ ORACLES: dict[str, str] = {
     "effective_options_run": _with(_URLS) + "SELECT pos,"
     + _OPTION_COLUMNS.format(args="'--max-width 4000'", insecure="false", contradiction="false")
     + " FROM base_urls",
+    "effective_options_clashing": _with(_URLS) + """SELECT pos, CASE lib WHEN 1 THEN '--accept-invalid-certs --largest'
+      ELSE '--accept-invalid-certs' END AS args, lib = 0 AS allow_insecure, CASE lib WHEN 2 THEN 'scans' END AS subfolder,
+      lib = 0 AS insecure, lib <> 0 AS contradiction FROM base_urls""",
+    "option_warnings": _with(_URLS) + """SELECT scope, insecure, contradiction, count(*) AS documents FROM base_urls
+      JOIN (VALUES (NULL, false, true), ('lib0', true, false), ('lib1', false, true)) w(scope, insecure, contradiction)
+      ON scope IS NULL OR scope = concat('lib', CAST(lib AS VARCHAR)) GROUP BY ALL""",
     "work_orders": _with(_FACTS, _URLS, _LABELLED) + "SELECT pos AS doc_key, page_index, page_url, concat_ws(' ', "
     "'dezoomify-rs', nullif(args, ''), download_url, concat(output_dir, '/', subfolder, '/', file_name)) AS command "
     "FROM (SELECT documents_out.*, page_index, " + _PAGE_COLUMNS
     + " FROM documents_out JOIN page_rows USING (k) WHERE dir_granted)",
     "attempt_outcomes": _with(_ATTEMPTS) + "SELECT doc_key, page_index, event_id, outcome, reason FROM attempts",
-    "cert_logs": "SELECT event_id, event_id % 3 = 0 AND event_id % 5 <> 0 AS certificate_only FROM events "
-    "WHERE event_type = 'error'",
+    "cert_logs": "SELECT event_id, event_type = 'error' AND event_id % 3 = 0 AND event_id % 5 <> 0 AS certificate_only "
+    "FROM events",
     "cert_causes": _with(
         """
     edges AS (
@@ -319,3 +341,7 @@ ORACLES: dict[str, str] = {
     + "SELECT library_name, library_first, (SELECT count(*) FROM documents_in d WHERE d.library_name = "
     "library_order.library_name) AS documents FROM library_order",
 }
+
+# Retries and scripts change the input, not what comes out.
+ORACLES["admit_responses_retries"] = ORACLES["admit_responses"]
+ORACLES["dom_pages_scripts"] = ORACLES["dom_pages"]
