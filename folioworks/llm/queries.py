@@ -15,6 +15,7 @@ from folioworks.llm.language import identified, learned
 from folioworks.llm.lines import without_repeated_lines
 from folioworks.llm.minhash import near_documents
 from folioworks.llm.mixing import mixed
+from folioworks.llm.oracles import ORACLES
 from folioworks.llm.passages import passage_report
 from folioworks.llm.suffixes import string_report
 
@@ -75,7 +76,7 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by source along the curriculum."""
-    return mixed(read(spark, sf_dir, "documents"))
+    return mixed(read(spark, sf_dir, "documents")).drop("positions")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -91,4 +92,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
