@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))

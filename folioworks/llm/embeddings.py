@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from folioworks.llm.blocks import lists, local_roots, sorted_groups
 from folioworks.llm.common import for_workers, partitions, staged
 from folioworks.llm.components import components
 
@@ -97,14 +98,7 @@ def compared(keys: np.ndarray, unit: np.ndarray, ids: np.ndarray, rows: np.ndarr
         here = first == bucket
         np.add.at(counted, a[here], rows[b[here]])
         np.add.at(counted, b[here], rows[a[here]])
-    root = ids.copy()
-    while True:
-        before = root.copy()
-        least = np.minimum(root[i], root[j])
-        np.minimum.at(root, i, least)
-        np.minimum.at(root, j, least)
-        if (before == root).all():
-            break
+    root = local_roots(ids, i, j)
     return np.unique(np.concatenate((i, j))), counted, root
 
 
@@ -187,47 +181,21 @@ def near_embeddings(vectors: DataFrame, how: Polytopes = Polytopes(), id_column:
     group = ["label", "width", "bucket", "low", "high"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def links(table: pa.Table) -> pa.RecordBatch:
-            table = table.combine_chunks()
-            unit, keys = (np.asarray(table.column(c).combine_chunks().flatten()) for c in ("unit", "keys"))
+        for table, bounds in sorted_groups(batches, group):
+            (unit, at), (keys, _) = lists(table, "unit"), lists(table, "keys")
             ids, rows_, side, bucket, low, high, width = (
                 table.column(c).to_numpy() for c in ("class", "copies", "block", "bucket", "low", "high", "width"))
-            label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-            new = np.flatnonzero(
-                np.r_[True, (label[1:] != label[:-1]) | (width[1:] != width[:-1]) | (bucket[1:] != bucket[:-1])
-                      | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            at = np.cumsum(width) - width
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for a, b in zip(new, np.r_[new[1:], len(ids)], strict=True):
+            for a, b in zip(bounds, np.append(bounds[1:], len(ids)), strict=True):
                 if b - a < 2:
                     continue
-                x = unit[at[a] : at[a] + (b - a) * width[a]].reshape(b - a, width[a])
+                x = unit[at[a] : at[b]].reshape(b - a, width[a])
                 k = keys[a * 3 * tables : b * 3 * tables].reshape(b - a, tables, 3)
-                who, counted, root = compared(k, x, ids[a:b], rows_[a:b], side[a:b],
-                                              bool(low[a] != high[a]), int(bucket[a]), how.cosine)
+                who, counted, root = compared(k, x, ids[a:b], rows_[a:b], side[a:b], bool(low[a] != high[a]),
+                                              int(bucket[a]), how.cosine)
                 if len(who):
-                    found.append((ids[a:b][who], counted[who], root[who]))
-            columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 3
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "links", "root"])
-
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if rest is not None:
-                table = pa.concat_tables([rest, table])
-            if table.num_rows == 0:
-                continue
-            last = table.slice(table.num_rows - 1).select(group).to_pylist()[0]
-            same = np.ones(table.num_rows, bool)
-            for c in group:
-                same &= np.asarray(pa.compute.fill_null(pa.compute.equal(table.column(c), last[c]), False))
-            keep = int(np.flatnonzero(~same)[-1]) + 1 if (~same).any() else 0
-            rest = table.slice(keep)
-            if keep:
-                yield links(table.slice(0, keep))
-        if rest is not None and rest.num_rows:
-            yield links(rest)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[a:b][who]), pa.array(counted[who]), pa.array(root[who])],
+                        ["class", "links", "root"])
 
     found = staged(
         dealt.repartition(partitions(spark), *group).sortWithinPartitions(*group)

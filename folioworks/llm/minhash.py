@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from folioworks.llm.common import for_workers, no_null, small, staged
+from folioworks.llm.blocks import intersections, lists, local_roots, sorted_groups
+from folioworks.llm.common import for_workers, no_null, partitions, small, staged
 from folioworks.llm.components import components
 from folioworks.llm.tokens import mix, pieces, shingles, word_hashes, words
 
@@ -20,12 +21,13 @@ _EMPTY = np.iinfo(np.uint64).max
 @dataclass(frozen=True)
 class Near:
     """Linked are sets with 100 * intersection >= ``percent`` * union. ``bands`` of ``rows`` slots each: at 85 a pair
-    shares no band once in two million, at 80 once in twenty thousand."""
+    shares no band once in two million, at 80 once in twenty thousand. Blocks hold about ``block`` sets."""
 
     percent: int = 85
     words: int = 5
     bands: int = 25
     rows: int = 5
+    block: int = 160
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray, slots: int) -> np.ndarray:
@@ -124,13 +126,8 @@ def set_hashes(docs: DataFrame, how: Near) -> DataFrame:
     return docs.select("class", "text").mapInArrow(hashed, "class bigint, hashes array<bigint>")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, how: Near) -> DataFrame:
-    """(a, b, both, either, linked) for pairs of classes, from the full sets of their representatives."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    names = staged(classes.join(wanted, "class", "left_semi").select("class", "key", "text_key"))
-    # A representative that is repeated as a row is read once.
-    texts = docs.join(small(names), ["key", "text_key"]).select("class", "text").dropDuplicates(["class"])
-    sets = staged(set_hashes(texts, how))
+def _verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
+    """(a, b, both, either, linked) for pairs of classes, from their full sets."""
     one = lambda c: sets.select(F.col("class").alias(c), F.col("hashes").alias(f"_{c}"))
     both = F.size(F.array_intersect("_a", "_b"))
     return staged(
@@ -146,10 +143,9 @@ def near_documents(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Words are lower-cased in A-Z only. Equal sets are one class: copies cost nothing beyond their sketch. Classes that
-    share a band are candidates. In each band bucket all members are held against its first and its last member; the
-    links found so far are grouped, and what remains is every pair of a bucket whose members are still apart, whose
-    sizes allow a link and whose distances to both of these do: similarity distance obeys the triangle inequality, so
-    a pair left out cannot be linked. Every candidate's similarity is taken from the full sets.
+    share a band are candidates. In each band bucket all members are held against a pivot, the one of the smallest id; the
+    links found are grouped, and buckets whose members are still apart are compared in blocks. Similarities
+    are always those of the full sets.
 
     Null and empty texts have no shingles and link with nothing; so does a text without words. Rows with a null id are
     kept as they are and give their component no name. Repeated ids are rows of their own. Other columns are not read.
@@ -168,26 +164,28 @@ def near_documents(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id
         .withColumn("class", F.monotonically_increasing_id())
     )
     banded = (
-        rows.join(classes.select("class", "key", "text_key"), ["key", "text_key"])
-        .select("class", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+        rows.join(classes.select("class", "least", "key", "text_key"), ["key", "text_key"])
+        .select("class", "least", F.posexplode("bands").alias("band", "bucket"))
     )
+    # Copies are mostly younger than what they were made from, so the oldest member of a bucket is a good pivot.
     shared = small(staged(
         banded.groupBy("band", "bucket")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("members"))
-        .filter("low < high")
+        .agg(F.min(F.struct("least", "class")).alias("oldest"), F.min("class").alias("low"), F.max("class").alias("high"))
+        .filter("low < high").select("band", "bucket", F.col("oldest.class").alias("pivot"))
     ))
-    members = staged(banded.join(shared, ["band", "bucket"]).distinct())
-    ends = F.array(F.struct(F.col("low").alias("a"), F.col("class").alias("b")),
-                   F.struct(F.col("class").alias("a"), F.col("high").alias("b")))
-    stars = staged(members.select(F.inline(ends)).filter("a < b").distinct())
-    tested = _verified(stars, classes, given, how)
+    members = staged(banded.drop("least").join(shared, ["band", "bucket"]).distinct())
+    stars = staged(members.filter("class != pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct())
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    names = staged(classes.join(wanted, "class", "left_semi").select("class", "key", "text_key"))
+    # A representative that is repeated as a row is read once.
+    texts = given.join(small(names), ["key", "text_key"]).select("class", "text").dropDuplicates(["class"])
+    whole = staged(set_hashes(texts, how))
+    tested = _verified(stars, whole, how)
     links = tested.filter("linked").select("a", "b")
     roots = components(links)
-    apart = _still_apart(members, roots, tested, how)
-    more = staged(apart)
+    more = staged(_links_apart(members, roots, tested, whole, how))
     if not more.isEmpty():
-        links = links.union(_verified(more, classes, given, how).filter("linked").select("a", "b"))
-        roots = components(links)
+        roots = components(links.union(more))
     grouped = (
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
@@ -202,36 +200,73 @@ def near_documents(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id
     )
 
 
-def _still_apart(members: DataFrame, roots: DataFrame, tested: DataFrame, how: Near) -> DataFrame:
-    """Pairs of a bucket that are in two components and that no distance known so far rules out."""
-    far = 1 - F.col("both") / F.col("either")
-    known = tested.select("a", "b", far.alias("far"))
-    low = known.select(F.col("a").alias("low"), F.col("b").alias("class"), F.col("far").alias("from_low"))
-    high = known.select(F.col("a").alias("class"), F.col("b").alias("high"), F.col("far").alias("from_high"))
+def _links_apart(members: DataFrame, roots: DataFrame, tested: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
+    """Links that join components within buckets whose members are still apart.
+
+    Members of a bucket are put into bins by their distance from the pivot, as wide as a link reaches: by the triangle
+    inequality links join members of one bin or of neighbouring bins. Bins are cut into blocks, and each pair of blocks
+    is a small group whose sets are held against each other; only links that a block needs to hang together come out.
+    """
+    reach = 1 - how.percent / 100 + 1e-9
     placed = (
         members.join(roots.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
     )
     split = (
-        placed.groupBy("band", "bucket")
-        .agg(F.min("root").alias("r"), F.max("root").alias("s"))
+        placed.groupBy("band", "bucket").agg(F.min("root").alias("r"), F.max("root").alias("s"))
         .filter("r < s").select("band", "bucket")
     )
-    rest = (
-        placed.filter("class != low and class != high").join(split, ["band", "bucket"], "left_semi")
-        .join(low, ["low", "class"]).join(high, ["class", "high"])
-        .select("band", "bucket", "class", "root", "n_shingles", "from_low", "from_high")
+    away = tested.select(F.col("a").alias("pivot"), F.col("b").alias("class"),
+                         F.floor((1 - F.col("both") / F.col("either")) / reach).cast("int").alias("bin"))
+    rest = staged(
+        placed.filter("class != pivot").join(split, ["band", "bucket"], "left_semi").join(away, ["pivot", "class"])
+        .select("band", "bucket", "bin", "class", "root")
     )
-    reach = 1 - how.percent / 100 + 1e-9
-    a, b = rest.alias("a"), rest.alias("b")
-    size = lambda x, y: F.col(f"{x}.n_shingles") * 100 >= F.col(f"{y}.n_shingles") * how.percent
+    bins = rest.groupBy("band", "bucket", "bin").agg(
+        F.ceil(F.count(F.lit(1)) / how.block).cast("int").alias("blocks"))
+    near = bins.select("band", "bucket", F.col("bin").alias("bin2"), F.col("blocks").alias("blocks2"))
+    reached = (
+        bins.withColumn("bin2", F.explode(F.sequence(F.col("bin") - 1, F.col("bin") + 1)))
+        .join(near, ["band", "bucket", "bin2"])
+    )
+    code = lambda b, n: b.cast("bigint") * (1 << 32) + n
+    own = code(F.col("bin"), F.pmod(F.xxhash64("class", "band"), F.col("blocks")))
+    dealt = (
+        rest.join(reached, ["band", "bucket", "bin"])
+        .withColumn("block", own)
+        .withColumn("number", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1)))
+        .withColumn("other", code(F.col("bin2"), F.col("number")))
+        .select("band", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                "block", "class", "root")
+    )
+    group = ["band", "bucket", "low", "high"]
+    # Groups that have nothing to compare are not given any sets.
+    busy = dealt.groupBy(*group).agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select(*group)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in sorted_groups(batches, group):
+            hashes, where = lists(table, "hashes")
+            ids, roots_, block, low, high = (table.column(c).to_numpy() for c in ("class", "root", "block", "low", "high"))
+            for a, b in zip(bounds, np.append(bounds[1:], len(ids)), strict=True):
+                if b - a < 2:
+                    continue
+                at = where[a : b + 1]
+                both = intersections(hashes[at[0] : at[-1]], at - at[0])
+                size = np.diff(at)
+                either = size[:, None] + size[None, :] - both
+                linked = np.triu(both * 100 >= either * how.percent, 1) & (roots_[a:b, None] != roots_[None, a:b])
+                if low[a] != high[a]:
+                    linked &= block[a:b, None] != block[None, a:b]
+                i, j = np.nonzero(linked)
+                if len(i):
+                    root = local_roots(ids[a:b], i, j)
+                    hit = np.flatnonzero(root != ids[a:b])
+                    yield pa.RecordBatch.from_arrays([pa.array(root[hit]), pa.array(ids[a:b][hit])], ["a", "b"])
+
     return (
-        a.join(b, ["band", "bucket"])
-        .filter(
-            (F.col("a.class") < F.col("b.class")) & (F.col("a.root") != F.col("b.root"))
-            & (F.abs(F.col("a.from_low") - F.col("b.from_low")) <= reach)
-            & (F.abs(F.col("a.from_high") - F.col("b.from_high")) <= reach)
-            & size("a", "b") & size("b", "a"))
-        .select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+        dealt.join(busy, group, "left_semi").join(sets, "class")
+        .repartition(partitions(members.sparkSession), *group).sortWithinPartitions(*group)
+        .select(*group, "block", "class", "root", "hashes")
+        .mapInArrow(compare, "a bigint, b bigint")
         .distinct()
     )

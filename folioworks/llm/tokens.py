@@ -1,6 +1,6 @@
 """Whole texts as numpy arrays: bytes, words, and hashes of runs of them, many documents at a time.
 
-The functions work on one Arrow column cut into pieces of a few megabytes, so memory is bounded by the piece or, where
+The functions work on one Arrow column cut into small pieces, so memory is bounded by the piece or, where
 it is larger, by the longest document.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
