@@ -6,7 +6,7 @@ A page is cut into tags and stretches of text once, by one pattern; elements are
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -52,37 +52,35 @@ def _opening(tag: str, class_part: str | None = None) -> str:
     return rf"<{re.escape(tag)}(?=[\s/>]){guard}{_ATTRIBUTES}>"
 
 
-def tokens(html: Column, tags: Iterable[str]) -> Column:
+def tokens(html: Column, tags: Sequence[str]) -> Column:
     """The page cut once, from left to right: each start and end tag of ``tags`` and each stretch between them.
 
-    Elements are ``(raw, tag)``; ``tag`` is the lower-case name, with a slash for an end tag, and empty for a stretch.
-    Other tags stay inside their stretch, and what stands in their attributes is no tag.
+    Elements are ``(raw, tag, at)``: ``tag`` is the place of the name in ``tags`` from 1, negative for an end tag, 0 for
+    a stretch; ``at`` counts the elements. Other tags stay inside their stretch, and what stands in their attributes is
+    no tag.
     """
-    names = "|".join(re.escape(tag) for tag in sorted(tags))
+    names = "|".join(re.escape(tag) for tag in tags)
     known = rf"</?(?:{names})(?=[\s/>])"
     cut = rf"(?is){known}{_ATTRIBUTES}>|(?:[^<]++|<!---->|(?!{known})</?[A-Za-z]{_ATTRIBUTES}>|(?!{known}{_ATTRIBUTES}>)<)++"
+    listed = F.array(*(F.lit(tag) for tag in tags))
 
-    def token(raw: Column) -> Column:
-        return F.struct(
-            raw.alias("raw"), F.lower(F.regexp_extract(raw, rf"(?i)^<(/?(?:{names}))(?=[\s/>])", 1)).alias("tag"))
-
-    def checked(found: Column) -> Column:
+    def token(raw: Column, at: Column) -> Column:
+        name = F.lower(F.regexp_extract(raw, rf"(?i)^<(/?(?:{names}))(?=[\s/>])", 1))
+        place = F.array_position(listed, F.ltrim(name, F.lit("/"))).cast("int")
         # A stretch may begin with the name of a tag that never ends.
-        return F.struct(
-            found["raw"].alias("raw"), F.when(found["raw"].endswith(">"), found["tag"]).otherwise("").alias("tag"))
+        tag = F.when(raw.startswith("<") & raw.endswith(">"), F.when(raw.startswith("</"), -place).otherwise(place))
+        return F.struct(raw.alias("raw"), F.coalesce(tag, F.lit(0)).alias("tag"), at.alias("at"))
 
-    return F.transform(F.transform(F.regexp_extract_all(html, F.lit(cut), F.lit(0)), token), checked)
+    return F.transform(F.regexp_extract_all(html, F.lit(cut), F.lit(0)), token)
 
 
-def _elements(scope: Column, step_tag: str, wanted: Callable[[Column], Column], closed: bool) -> Column:
-    """``(start, end)`` of the content of the outermost elements of a tag, as token positions.
+def _elements(scope: Column, tag: int, wanted: Callable[[Column], Column], closed: bool) -> Column:
+    """``(start, end)`` of the outermost elements of a tag: where their start and end tags stand.
 
     One walk over the tags of that name keeps the depth; an element counts when the depth is back at nothing. An
-    element that is never closed reaches to the end, or does not count if only ``closed`` ones do.
+    element that is never closed has no end, or does not count if only ``closed`` ones do.
     """
-    tags = F.filter(
-        F.transform(scope, lambda token, i: F.struct(token["tag"].alias("tag"), i.alias("at"), token["raw"].alias("raw"))),
-        lambda token: token["tag"].isin(step_tag, "/" + step_tag))
+    tags = F.filter(scope, lambda token: F.abs(token["tag"]) == tag)
     empty = F.array().cast("array<struct<start:int,end:int>>")
 
     def state(depth: Column, start: Column, want: Column, spans: Column) -> Column:
@@ -93,10 +91,10 @@ def _elements(scope: Column, step_tag: str, wanted: Callable[[Column], Column],
         return F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
 
     def walk(now: Column, token: Column) -> Column:
-        opens, depth = token["tag"] == step_tag, now["depth"]
+        opens, depth = token["tag"] > 0, now["depth"]
         ended = F.when(now["want"], F.concat(now["spans"], span(now["start"], token["at"]))).otherwise(now["spans"])
         return (
-            F.when(opens & (depth == 0), state(F.lit(1), token["at"] + 1, wanted(token["raw"]), now["spans"]))
+            F.when(opens & (depth == 0), state(F.lit(1), token["at"], wanted(token["raw"]), now["spans"]))
             .when(opens, state(depth + 1, now["start"], now["want"], now["spans"]))
             .when(depth == 1, state(F.lit(0), F.lit(0), F.lit(False), ended))
             .when(depth > 1, state(depth - 1, now["start"], now["want"], now["spans"]))
@@ -106,16 +104,16 @@ def _elements(scope: Column, step_tag: str, wanted: Callable[[Column], Column],
     def finish(now: Column) -> Column:
         if closed:
             return now["spans"]
-        reaches = F.concat(now["spans"], span(now["start"], F.size(scope)))
-        return F.when((now["depth"] > 0) & now["want"], reaches).otherwise(now["spans"])
+        open_ = F.concat(now["spans"], span(now["start"], F.lit((1 << 31) - 1)))
+        return F.when((now["depth"] > 0) & now["want"], open_).otherwise(now["spans"])
 
     return F.aggregate(tags, state(F.lit(0), F.lit(0), F.lit(False), empty), walk, finish)
 
 
-def contents(scopes: Column, step: Step) -> Column:
+def contents(scopes: Column, step: Step, tags: Sequence[str]) -> Column:
     """Contents of the elements ``step`` picks in each of the given pieces of a page, in page order.
 
-    Pieces are token lists as made by :func:`tokens`, which must know the tags of the step.
+    Pieces are token lists made by :func:`tokens` with the same ``tags``.
     """
     if step.class_part is not None and step.nth is not None:
         raise ValueError("a step picks by class or by place, not both")
@@ -124,17 +122,19 @@ def contents(scopes: Column, step: Step) -> Column:
         return F.lit(True) if step.class_part is None else raw.rlike(f"(?is)^{_opening(step.tag, step.class_part)}")
 
     def without(scope: Column, tag: str) -> Column:
-        return let(
-            _elements(scope, tag, lambda raw: F.lit(True), closed=True),
-            lambda spans: F.filter(
-                scope, lambda token, i: ~F.exists(spans, lambda s: (i >= s["start"] - 1) & (i <= s["end"]))))
+        def kept(spans: Column) -> Column:
+            outside = lambda token: ~F.exists(spans, lambda s: token["at"].between(s["start"], s["end"]))
+            return F.when(F.size(spans) == 0, scope).otherwise(F.filter(scope, outside))
+
+        return let(_elements(scope, tags.index(tag) + 1, lambda raw: F.lit(True), closed=True), kept)
 
     def left(scope: Column, outside: Sequence[str]) -> Column:
         if outside:
             return let(without(scope, outside[0]), lambda rest: left(rest, outside[1:]))
-        spans = _elements(scope, step.tag, wanted, closed=False)
+        spans = _elements(scope, tags.index(step.tag) + 1, wanted, closed=False)
         picked = spans if step.nth is None else F.slice(spans, step.nth, 1)
-        return F.transform(picked, lambda s: F.slice(scope, s["start"] + 1, s["end"] - s["start"]))
+        return F.transform(
+            picked, lambda s: F.filter(scope, lambda t: (t["at"] > s["start"]) & (t["at"] < s["end"])))
 
     return F.flatten(F.transform(scopes, lambda scope: left(scope, step.outside)))
 

@@ -25,7 +25,7 @@ def _with_texts(pages: DataFrame, selectors: Mapping[str, Sequence[Step]]) -> Da
     """
     if not selectors:
         return pages
-    tags = {tag for steps in selectors.values() for step in steps for tag in (step.tag, *step.outside)}
+    tags = sorted({tag for steps in selectors.values() for step in steps for tag in (step.tag, *step.outside)})
     walked = computed_once(pages, _at_=F.array(tokens(F.col("_html"), tags)))
     paths = {tuple(steps): name for name, steps in selectors.items()}
     shared = _shared_starts(list(paths))
@@ -33,29 +33,29 @@ def _with_texts(pages: DataFrame, selectors: Mapping[str, Sequence[Step]]) -> Da
     for start in sorted(shared, key=len):
         at = max((known for known in names if start[: len(known)] == known), key=len)
         names[start] = f"_at_{len(names)}"
-        walked = computed_once(walked, **{names[start]: _walk(F.col(names[at]), start[len(at) :])})
+        walked = computed_once(walked, **{names[start]: _walk(F.col(names[at]), start[len(at) :], tags)})
 
     def text(steps: tuple[Step, ...]) -> Column:
         at = max((known for known in names if steps[: len(known)] == known), key=len)
-        return F.coalesce(text_of(_walk(F.col(names[at]), steps[len(at) :])), F.lit(""))
+        return F.coalesce(text_of(_walk(F.col(names[at]), steps[len(at) :], tags)), F.lit(""))
 
     return walked.select(*pages.columns, *(text(tuple(steps)).alias(name) for name, steps in selectors.items()))
 
 
-def _walk(scopes: Column, steps: Sequence[Step]) -> Column:
+def _walk(scopes: Column, steps: Sequence[Step], tags: Sequence[str]) -> Column:
     """Pieces of a page reached by walking ``steps`` from outer containers inwards."""
     for step in steps:
-        scopes = contents(scopes, step)
+        scopes = contents(scopes, step, tags)
     return scopes
 
 
 def _shared_starts(paths: Sequence[tuple[Step, ...]]) -> set[tuple[Step, ...]]:
-    """The longest common beginning of every two paths, where there is one."""
+    """The longest common beginning of every two paths, where it saves more steps than keeping it costs."""
     shared = set()
     for i, one in enumerate(paths):
         for other in paths[:i]:
             length = next((n for n, (a, b) in enumerate(zip(one, other)) if a != b), min(len(one), len(other)))
-            if length:
+            if length > 2:
                 shared.add(one[:length])
     return shared
 
