@@ -5,7 +5,7 @@ anchors are kept: the anchor of a window is its run of ``gram`` tokens with the
 Equal windows have equal anchors in the same place, so the choice loses nothing. Neighbouring windows mostly share
 their anchor; the stretch of text they cover together is a body. Bodies go through three steps:
 
-1. Bodies are sorted by anchor and content. A body whose whole content occurs earlier is repeated as a whole. An anchor
+1. Bodies are sorted by anchor and content, first within a piece of the input, then in the corpus. A body whose whole content occurs earlier is repeated as a whole. An anchor
    with a single content needs no more; what is left are the first bodies of anchors with several contents.
 2. Those bodies are cut out of the texts, dealt by anchor, and their suffixes are sorted in memory-sized shards by the
    operator that asks; windows with a common prefix of ``length`` tokens are one node, which knows its earliest place.
@@ -81,6 +81,24 @@ def bodies(values: np.ndarray, first: np.ndarray, length: int, gram: int) -> tup
     return doc, start - first[doc], windows, anchor - start, hashes[anchor], content
 
 
+def _seen_before(gram: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.ndarray,
+                 by_document: bool) -> np.ndarray:
+    """Which bodies of a piece of the input have their whole content earlier in the same piece.
+
+    This takes most of a very common or periodic text out of the groups of its anchors before they are shuffled.
+    """
+    again = np.zeros(len(gram), bool)
+    order = np.lexsort((start, doc, content, gram))
+    new = np.ones(len(order), bool)
+    new[1:] = (gram[order][1:] != gram[order][:-1]) | (content[order][1:] != content[order][:-1])
+    lead = order[np.flatnonzero(new)][np.cumsum(new) - 1] if len(order) else order
+    later = doc[order] > doc[lead]
+    if not by_document:
+        later |= (doc[order] == doc[lead]) & (start[order] > start[lead])
+    again[order] = later
+    return again
+
+
 def packed(start: np.ndarray, tag: np.ndarray, windows: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """A place in one number that sorts by start."""
     return (start << 32) | (tag << 14) | (windows << 7) | offset
@@ -139,30 +157,63 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
             for lo, _, raw, offsets in pieces(batch, "text", 1 << 19):
                 values, first = plan.tokens(raw, offsets)
                 doc, start, windows, offset, gram, content = bodies(values, first, plan.length, plan.gram)
-                yield _batch(["gram", "content", "doc", "place"], gram.view(np.int64), content.view(np.int64),
-                             ids[lo + doc], packed(start, tags[lo + doc], windows, offset))
+                who = ids[lo + doc]
+                again = _seen_before(gram, content, who, start, plan.by_document)
+                # What is settled here keeps its way through the shuffle, but under names of its own.
+                gram = np.where(again, mix(content + start.astype(np.uint64)), gram)
+                yield _batch(["gram", "content", "doc", "place", "whole"], gram.view(np.int64), content.view(np.int64),
+                             who, packed(start, tags[lo + doc], windows, offset), again)
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, "gram", 1 << 18):
-            gram, content, doc, place = (table.column(c).to_numpy() for c in ("gram", "content", "doc", "place"))
+        # Of an anchor that goes on in the next batch only this is kept: its content, the earliest place of that, and
+        # the rows that are open should another content follow.
+        gram_, content_, doc_, start_, contents_ = 0, 0, 0, 0, 0
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram, content, doc, place, known_again = (
+                np.asarray(batch.column(batch.schema.get_field_index(c)))
+                for c in ("gram", "content", "doc", "place", "whole"))
+            start = place >> 32
+            goes_on = contents_ > 0 and gram[0] == gram_
             new_gram = np.ones(len(gram), bool)
             new_gram[1:] = gram[1:] != gram[:-1]
             new = new_gram.copy()
             new[1:] |= content[1:] != content[:-1]
             lead = np.flatnonzero(new)
             of = np.cumsum(new) - 1
-            again = doc > doc[lead][of]
+            first_doc, first_start = doc[lead], start[lead]
+            fresh = new.astype(np.int64)
+            if goes_on and content[0] == content_:
+                first_doc[0], first_start[0], fresh[0] = doc_, start_, 0
+            again = (doc > first_doc[of]) | known_again
             if not plan.by_document:
-                again |= (doc == doc[lead][of]) & ((place >> 32) > (place[lead] >> 32)[of])
-            start_gram = np.flatnonzero(new_gram)
-            contents = np.add.reduceat(new.astype(np.int64), start_gram)
-            open_ = (contents > 1)[np.cumsum(new_gram) - 1] & ~again
+                again |= (doc == first_doc[of]) & (start > first_start[of])
+            segment = np.cumsum(new_gram) - 1
+            contents = np.add.reduceat(fresh, np.flatnonzero(new_gram))
+            if goes_on:
+                contents[0] += contents_
+            open_ = (contents > 1)[segment] & ~again
             keep = again | open_
-            yield _batch(["gram", "doc", "place", "whole"], np.where(again, 0, gram)[keep], doc[keep], place[keep], again[keep])
+            yield _batch(["gram", "doc", "place", "whole"], np.where(again, 0, gram)[keep], doc[keep], place[keep],
+                         again[keep])
+            if goes_on and waiting and contents[0] > 1:
+                who, where = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                yield _batch(["gram", "doc", "place", "whole"], np.full(len(who), gram_), who, where,
+                             np.zeros(len(who), bool))
+                waiting = []
+            if not goes_on or len(contents) > 1 or contents[0] > 1:
+                waiting = []
+            if contents[-1] == 1:
+                tail = (segment == segment[-1]) & ~again
+                waiting.append((doc[tail], place[tail]))
+            gram_, content_, contents_ = gram[-1], content[-1], int(contents[-1])
+            doc_, start_ = first_doc[-1], first_start[-1]
 
     sorting = ["gram", "content", "doc", "place"]
     known = staged(
-        texts.mapInArrow(anchored, "gram bigint, content bigint, doc bigint, place bigint")
+        texts.mapInArrow(anchored, "gram bigint, content bigint, doc bigint, place bigint, whole boolean")
         .repartition(partitions(spark), "gram").sortWithinPartitions(*sorting)
         .mapInArrow(settled, "gram bigint, doc bigint, place bigint, whole boolean")
     )

@@ -145,3 +145,22 @@ def test_lines(spark, rule):
            for r in without_repeated_lines(docs.repartition(3), rule).collect()]
     assert sorted(got) == sorted(want)
     assert sum(w[2] for w in want) > 3
+
+
+def test_small_batches_settle_the_same(spark):
+    """Anchors that go on over many batches, in one partition."""
+    rows = awkward(31)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, passage_report(docs).collect()), key=str)
+    bytes_want = sorted(map(tuple, string_report(docs).collect()), key=str)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    try:
+        for batch in (1, 3):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            spark.conf.set("spark.sql.shuffle.partitions", "1")
+            assert sorted(map(tuple, passage_report(docs).collect()), key=str) == want
+            if batch == 3:
+                assert sorted(map(tuple, string_report(docs).collect()), key=str) == bytes_want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
