@@ -10,6 +10,21 @@ from folioworks.config import METADATA_FIELDS
 from folioworks.operators.rest import admit_responses
 
 
+def first_answer(sources: Sequence[tuple[str, Column]]) -> tuple[Column, Column]:
+    """``(source, failure_class)`` from the kinds (``ok``, ``empty``, ``error``, ``cert``) of sources in their order.
+
+    A failed source lets the next one speak; the first that answers ends the search, also with an empty list. Without
+    pages the failure is ``certificate`` if certificates were all that failed on the way, and ``no_pages`` otherwise.
+    """
+    kinds = F.array(*(kind for _, kind in sources))
+    names = F.array(*(F.lit(name) for name, _ in sources))
+    at = F.array_position(F.transform(kinds, lambda kind: kind.isin("error", "cert")), False).cast("int")
+    source = F.when((at > 0) & (F.get(kinds, at - 1) == "ok"), F.get(names, at - 1))
+    failed = F.when(at > 0, F.slice(kinds, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(kinds)
+    certificate = F.array_contains(failed, "cert") & ~F.array_contains(failed, "error")
+    return source, F.when(source.isNull(), F.when(certificate, "certificate").otherwise("no_pages"))
+
+
 def resolve_pages(documents: DataFrame, explicit: Sequence[str] | None = None) -> DataFrame:
     """Add ``pages_source`` (``explicit``, ``rest``, ``dom``) or ``failure_class`` (``certificate``, ``no_pages``).
 
@@ -24,10 +39,7 @@ def resolve_pages(documents: DataFrame, explicit: Sequence[str] | None = None) -
         F.coalesce("rest_status", F.lit("error"))
     )
     dom = F.coalesce("dom_kind", F.lit("empty"))
-    source = F.when(rest == "ok", "rest").when(rest.isin("error", "cert") & (dom == "ok"), "dom")
-    failure = F.when(
-        source.isNull(), F.when((rest == "cert") & dom.isin("empty", "cert"), "certificate").otherwise("no_pages")
-    )
+    source, failure = first_answer([("rest", rest), ("dom", dom)])
     return documents.withColumn("pages_source", source).withColumn("failure_class", failure)
 
 

@@ -166,6 +166,21 @@ def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resolve_three_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third source, asked where both landed ones failed."""
+    lists = rest.rest_page_lists(derived.page_responses(spark, sf_dir)).drop("rest_pages")
+    admitted = rest.admit_responses(
+        _ids(spark, sf_dir), rest.rest_metadata(derived.document_responses(spark, sf_dir)), lists)
+    pages = dom.dom_pages(derived.never_landed(derived.html_pages(spark, sf_dir), spark, sf_dir)).drop("dom_pages")
+    asked = admitted.join(pages, "document_id", "left").join(derived.third_source(spark, sf_dir), "document_id")
+    source, failure = resolve.first_answer([
+        ("rest", F.when(F.col("rest_status") == "ok", F.col("rest_pages_kind")).otherwise(F.col("rest_status"))),
+        ("dom", F.coalesce("dom_kind", F.lit("error"))),
+        ("third", F.col("third_kind")),
+    ])
+    return asked.select("document_id", source.alias("pages_source"), failure.alias("failure_class"))
+
+
 def resolve_pages_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolution(spark, sf_dir, EXPLICIT).resolved.select(
         "document_id", "pages_source", "failure_class", F.col("page_count").cast("bigint").alias("page_count"), "title"
@@ -355,6 +370,7 @@ _QUERIES = (
     dom_text_deep,
     dom_metadata,
     resolve_pages,
+    resolve_three_sources,
     resolve_pages_explicit,
     resolved_page_rows,
     resolve_metadata,

@@ -230,6 +230,13 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def third_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a further source says about each order."""
+    key = F.col("o_orderkey")
+    kind = F.when(key % 4 == 0, "ok").when(key % 4 == 1, "empty").when(key % 4 == 2, "cert").otherwise("error")
+    return table(spark, sf_dir, "orders").select(document_id(key).alias("document_id"), kind.alias("third_kind"))
+
+
 def never_landed(pages: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` without those of some orders, whose HTML was never fetched."""
     missing = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 == 2)

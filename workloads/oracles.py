@@ -257,6 +257,15 @@ ORACLES: dict[str, str] = {
     "THEN concat('part ', CAST(k AS VARCHAR)) ELSE '' END AS dom_part_title, '' AS dom_part_subtitle FROM facts",
     "resolve_pages": _with(_FACTS) + "SELECT document_id, pages_source, failure_class, page_count FROM resolved "
     "WHERE k < 1000000000000 AND k % 13 <> 0",
+    "resolve_three_sources": _with(_FACTS) + """SELECT document_id, pages_source, failure_class FROM (SELECT document_id,
+      CASE WHEN rest IN ('ok', 'empty') THEN nullif(rest, 'empty')
+        WHEN dom IN ('ok', 'empty') THEN CASE dom WHEN 'ok' THEN 'dom' END WHEN third = 'ok' THEN 'third' END AS found,
+      CASE found WHEN 'ok' THEN 'rest' ELSE found END AS pages_source,
+      CASE WHEN found IS NOT NULL THEN NULL WHEN rest <> 'cert' THEN 'no_pages' WHEN dom = 'empty' THEN 'certificate'
+        WHEN dom = 'cert' AND third IN ('empty', 'cert') THEN 'certificate' ELSE 'no_pages' END AS failure_class
+    FROM (SELECT *, CASE WHEN landed THEN page_kind ELSE 'error' END AS dom,
+      CASE k % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' WHEN 2 THEN 'cert' ELSE 'error' END AS third FROM pages_decided)
+    WHERE k < 1000000000000 AND k % 13 <> 0)""",
     "resolve_pages_explicit": _with(_FACTS) + "SELECT document_id, 'explicit' AS pages_source, "
     "CAST(NULL AS VARCHAR) AS failure_class, CAST(3 AS BIGINT) AS page_count, dom_title AS title FROM texts "
     "WHERE k < 1000000000000 AND k % 13 <> 0",
