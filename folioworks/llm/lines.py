@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from folioworks.functions.binding import computed_once
 from folioworks.llm.common import WORD, no_null, partitions, staged
 
 PLACE = ("doc_id", "key", "text_key", "at")
@@ -118,7 +119,8 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
         F.col("removed").alias("lines_repeated"))
     text = F.coalesce(F.col(text_column), F.lit(""))
     same = (no_null(F.col(id_column)) == F.col("key_of_repeats")) & (F.xxhash64(text) == F.col("text_key_of_repeats"))
-    lines = F.split(F.col(text_column), "\n")
+    # A projection of its own, so that no text is split once per mention.
+    lines = F.col("lines_of_text")
     gone = F.col("lines_repeated")
     bounds = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
     kept = F.flatten(F.transform(
@@ -132,8 +134,9 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
         text_column: F.when(gone.isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column)),
     }
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
+    joined = docs.select(*columns).join(removed, same, "left")
     return (
-        docs.select(*columns).join(removed, same, "left")
+        computed_once(joined, lines_of_text=F.split(F.col(text_column), "\n"))
         .select(*(added[c].alias(c) if c in added else F.col(c) for c in columns),
                 *(added[c].alias(c) for c in ("n_lines", "n_removed", "n_runs")))
     )
