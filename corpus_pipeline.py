@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioworks.llm.common import WORD, no_null, read, staged
+from folioworks.llm.common import WORD, read, staged
 from folioworks.llm.decontamination import leak_report
 from folioworks.llm.language import identified, learned
 from folioworks.llm.lines import without_repeated_lines
-from folioworks.llm.minhash import Near, near_documents
+from folioworks.llm.minhash import Near, near_rows, row_key
 from folioworks.llm.mixing import mixed
 
 
@@ -29,12 +29,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the smallest id, of each group of near duplicates; those without an id stay.
+    """Keep of each group of near duplicates what stands under its smallest id; of a group without any id, all.
 
-    Kept are ids, so all rows of one id stay if any does.
+    Rows are judged each by itself: others of the same id, or others without one, go or stay by their own texts.
     """
-    out = near_documents(docs, Near(percent=80)).filter("not kept").select(no_null(F.col("doc_id")).alias("key"))
-    return docs.join(staged(out.distinct()), no_null(docs["doc_id"]) == F.col("key"), "left_anti").select(docs.columns)
+    names = ["key_of_copy", "text_key_of_copy"]
+    out = near_rows(docs, Near(percent=80)).filter("not kept").select("key", "text_key").distinct().toDF(*names)
+    same = [own == F.col(name) for own, name in zip(row_key(), names, strict=True)]
+    return docs.join(staged(out), same, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

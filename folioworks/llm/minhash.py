@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.llm.blocks import intersections, lists, local_roots, sorted_groups
 from folioworks.llm.common import for_workers, no_null, partitions, small, staged
@@ -140,21 +140,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
 
 def near_documents(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept; see :func:`near_rows`."""
+    return near_rows(docs, how, id_column, text_column).drop("key", "text_key")
+
+
+def row_key(id_column: str = "doc_id", text_column: str = "text") -> tuple[Column, Column]:
+    """(key, text_key): the null-safe id and a hash of the text, by which a row is known. Rows alike in both are copies
+    under one id and share their fate."""
+    return (no_null(F.col(id_column)).alias("key"),
+            F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_key"))
+
+
+def near_rows(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per row of ``docs``: key, text_key (as in :func:`row_key`), doc_id, n_shingles, component_id, kept.
 
     Words are lower-cased in A-Z only. Equal sets are one class: copies cost nothing beyond their sketch. Classes that
     share a band are candidates. In each band bucket all members are held against a pivot, the one of the smallest id; the
     links found are grouped, and buckets whose members are still apart are compared in blocks. Similarities
     are always those of the full sets.
 
-    Null and empty texts have no shingles and link with nothing; so does a text without words. Rows with a null id are
-    kept as they are and give their component no name. Repeated ids are rows of their own. Other columns are not read.
+    Null and empty texts have no shingles and link with nothing; so does a text without words. Rows with a null id
+    give their component no name; they are kept if it has none. Repeated ids are rows of their own. Other columns are not read.
     """
     spark = for_workers(docs.sparkSession)
     text = F.coalesce(F.col(text_column), F.lit(""))
     given = docs.select(
-        no_null(F.col(id_column)).alias("key"), F.xxhash64(text).alias("text_key"),
-        F.col(id_column).cast("bigint").alias("doc_id"), text.alias("text"))
+        *row_key(id_column, text_column), F.col(id_column).cast("bigint").alias("doc_id"), text.alias("text"))
     rows = staged(sketched(given, how))
     sets = ["n_shingles", "set_a", "set_b"]
     classes = staged(
@@ -194,7 +205,7 @@ def near_documents(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id
     return (
         rows.join(named.select(*sets, "component"), sets, "left")
         .select(
-            "doc_id", "n_shingles",
+            "key", "text_key", "doc_id", "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

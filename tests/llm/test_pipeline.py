@@ -71,6 +71,17 @@ def test_near_keeps_one_of_each_group(stages):
     assert len(least) < len({r[0] for r in rows})
 
 
+def test_near_judges_each_row_by_its_own_text(spark):
+    say = lambda word: " ".join(f"{word}{i}" for i in range(60))
+    near = say("a").rsplit(" ", 1)[0] + " other"
+    rows = [(5, say("a")), (None, near), (None, say("b")), (None, None), (7, near), (7, say("c")), (9, say("c")), (None, say("d")),
+            (None, say("d"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = sorted(((id_order(r.doc_id), r.text or "") for r in corpus_pipeline.near(spark, docs.repartition(3), SF).collect()))
+    left = [rows[i] for i in (0, 2, 3, 5, 7, 8)]
+    assert got == sorted((id_order(i), t or "") for i, t in left)
+
+
 def test_leaks_go_and_clean_documents_stay(spark, stages):
     before, after = stages["decontamination"]
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
