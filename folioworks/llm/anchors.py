@@ -12,8 +12,8 @@ their anchor; the stretch of text they cover together is a body. Bodies go throu
 3. An anchor with more bodies than fit a shard is split by longer prefixes instead, namely the whole windows: these are
    aggregated to their earliest place before they are shuffled.
 
-Places are (document, start). Rows of one id are told apart by 18 bits of a hash of the text; rows alike in both are
-one document.
+Places are (document, start). Rows of one id are told apart by a 64-bit hash of the text, their tag; rows alike in both
+are one document.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, functions as F
 from folioworks.llm.common import for_workers, partitions, staged
 from folioworks.llm.tokens import Runs, mix, pieces, within
 
-TAG = (1 << 18) - 1
 NULL_ID = -(1 << 63)
 
 
@@ -99,14 +98,14 @@ def _seen_before(gram: np.ndarray, content: np.ndarray, doc: np.ndarray, start:
     return again
 
 
-def packed(start: np.ndarray, tag: np.ndarray, windows: np.ndarray, offset: np.ndarray) -> np.ndarray:
+def packed(start: np.ndarray, windows: np.ndarray, offset: np.ndarray) -> np.ndarray:
     """A place in one number that sorts by start."""
-    return (start << 32) | (tag << 14) | (windows << 7) | offset
+    return (start << 14) | (windows << 7) | offset
 
 
-def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, tag, windows) of a place."""
-    return place >> 32, (place >> 14) & TAG, (place >> 7) & 127
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, windows) of a place."""
+    return place >> 14, (place >> 7) & 127
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
@@ -140,7 +139,7 @@ def given(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.select(
         F.coalesce(F.col(id_column).cast("bigint"), F.lit(NULL_ID)).alias("doc"),
-        F.xxhash64(text).bitwiseAND(F.lit(TAG).cast("bigint")).alias("tag"),
+        F.xxhash64(text).alias("tag"),
         text.alias("text"))
 
 
@@ -161,21 +160,21 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
                 again = _seen_before(gram, content, who, start, plan.by_document)
                 # What is settled here keeps its way through the shuffle, but under names of its own.
                 gram = np.where(again, mix(content + start.astype(np.uint64)), gram)
-                yield _batch(["gram", "content", "doc", "place", "whole"], gram.view(np.int64), content.view(np.int64),
-                             who, packed(start, tags[lo + doc], windows, offset), again)
+                yield _batch(["gram", "content", "doc", "tag", "place", "whole"], gram.view(np.int64),
+                             content.view(np.int64), who, tags[lo + doc], packed(start, windows, offset), again)
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Of an anchor that goes on in the next batch only this is kept: its content, the earliest place of that, and
         # the rows that are open should another content follow.
         gram_, content_, doc_, start_, contents_ = 0, 0, 0, 0, 0
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram, content, doc, place, known_again = (
+            gram, content, doc, tag, place, known_again = (
                 np.asarray(batch.column(batch.schema.get_field_index(c)))
-                for c in ("gram", "content", "doc", "place", "whole"))
-            start = place >> 32
+                for c in ("gram", "content", "doc", "tag", "place", "whole"))
+            start, _ = unpacked(place)
             goes_on = contents_ > 0 and gram[0] == gram_
             new_gram = np.ones(len(gram), bool)
             new_gram[1:] = gram[1:] != gram[:-1]
@@ -196,33 +195,32 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
                 contents[0] += contents_
             open_ = (contents > 1)[segment] & ~again
             keep = again | open_
-            yield _batch(["gram", "doc", "place", "whole"], np.where(again, 0, gram)[keep], doc[keep], place[keep],
-                         again[keep])
+            yield _batch(["gram", "doc", "tag", "place", "whole"], np.where(again, 0, gram)[keep], doc[keep], tag[keep],
+                         place[keep], again[keep])
             if goes_on and waiting and contents[0] > 1:
-                who, where = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                yield _batch(["gram", "doc", "place", "whole"], np.full(len(who), gram_), who, where,
+                who, tags, where = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                yield _batch(["gram", "doc", "tag", "place", "whole"], np.full(len(who), gram_), who, tags, where,
                              np.zeros(len(who), bool))
                 waiting = []
             if not goes_on or len(contents) > 1 or contents[0] > 1:
                 waiting = []
             if contents[-1] == 1:
                 tail = (segment == segment[-1]) & ~again
-                waiting.append((doc[tail], place[tail]))
+                waiting.append((doc[tail], tag[tail], place[tail]))
             gram_, content_, contents_ = gram[-1], content[-1], int(contents[-1])
             doc_, start_ = first_doc[-1], first_start[-1]
 
     sorting = ["gram", "content", "doc", "place"]
     known = staged(
-        texts.mapInArrow(anchored, "gram bigint, content bigint, doc bigint, place bigint, whole boolean")
+        texts.mapInArrow(anchored, "gram bigint, content bigint, doc bigint, tag bigint, place bigint, whole boolean")
         .repartition(partitions(spark), "gram").sortWithinPartitions(*sorting)
-        .mapInArrow(settled, "gram bigint, doc bigint, place bigint, whole boolean")
+        .mapInArrow(settled, "gram bigint, doc bigint, tag bigint, place bigint, whole boolean")
     )
-    lo = F.shiftright("place", 32)
-    tag = F.shiftright("place", 14).bitwiseAND(F.lit(TAG).cast("bigint"))
+    lo = F.shiftright("place", 14)
     n = F.shiftright("place", 7).bitwiseAND(F.lit(127).cast("bigint"))
     span = F.struct(lo.alias("start"), (n + plan.length - 1).alias("size"))
-    whole = known.filter("whole").select("doc", tag.alias("tag"), span.alias("span"))
-    asked = known.filter("not whole").select("gram", "doc", "place")
+    whole = known.filter("whole").select("doc", "tag", span.alias("span"))
+    asked = known.filter("not whole").select("gram", "doc", "tag", "place")
     crowded = staged(asked.groupBy("gram").count().filter(F.col("count") > plan.most).select("gram"))
     has_crowds = not crowded.isEmpty()
 
@@ -232,12 +230,12 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
             where = np.asarray(bodies_.offsets)
             flat = bodies_.flatten()
             gram, place, apart = (np.asarray(flat.field(c)) for c in range(3))
-            docs_ = batch.column(0).to_numpy()
+            docs_, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for row, end, raw, offsets in pieces(batch, "text"):
                 values, first = plan.tokens(raw, offsets)
                 a, b = where[row] - where[0], where[end] - where[0]
                 of = np.repeat(np.arange(end - row), np.diff(where[row : end + 1]))
-                start, _, windows = unpacked(place[a:b])
+                start, windows = unpacked(place[a:b])
                 start = start + first[of]
                 size = windows + plan.length - 1
                 one = ~apart[a:b]
@@ -254,32 +252,32 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.concat_arrays([pa.array(gram[a:b][one]), none]),
                     pa.array(np.concatenate((docs_[row + of[one]], docs_[row + of[~one][split]]))),
+                    pa.array(np.concatenate((tags[row + of[one]], tags[row + of[~one][split]]))),
                     pa.array(np.concatenate((
                         place[a:b][one],
-                        packed(at - first[of[~one][split]], (place[a:b][~one][split] >> 14) & TAG,
-                               np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))),
+                        packed(at - first[of[~one][split]], np.ones(len(at), np.int64), np.zeros(len(at), np.int64))))),
                     pa.concat_arrays([binary, pa.nulls(len(at), pa.binary())]),
                     pa.concat_arrays([pa.nulls(rows - len(at), pa.int64()), pa.array(runs[0])]),
                     pa.concat_arrays([pa.nulls(rows - len(at), pa.int64()), pa.array(runs[1])]),
-                ], ["gram", "doc", "place", "body", "run_a", "run_b"])
+                ], ["gram", "doc", "tag", "place", "body", "run_a", "run_b"])
 
     if has_crowds:
         asked = asked.join(crowded.withColumn("apart", F.lit(True)), "gram", "left")
     else:
         asked = asked.withColumn("apart", F.lit(False))
     asked = asked.withColumn("apart", F.coalesce("apart", F.lit(False)))
-    per_document = asked.groupBy("doc", tag.alias("tag")).agg(
+    per_document = asked.groupBy("doc", "tag").agg(
         F.collect_set(F.struct("gram", "place", "apart")).alias("bodies"))
     pieces_cut = (
-        texts.join(per_document, ["doc", "tag"]).select("doc", "text", "bodies")
-        .mapInArrow(cut, "gram bigint, doc bigint, place bigint, body binary, run_a bigint, run_b bigint")
+        texts.join(per_document, ["doc", "tag"]).select("doc", "tag", "text", "bodies")
+        .mapInArrow(cut, "gram bigint, doc bigint, tag bigint, place bigint, body binary, run_a bigint, run_b bigint")
     )
     if has_crowds:
         pieces_cut = staged(pieces_cut)
 
     def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches, "gram", max(1, plan.shard // (plan.length + width))):
-            doc, place = table.column("doc").to_numpy(), table.column("place").to_numpy()
+            doc, tag, place = (table.column(c).to_numpy() for c in ("doc", "tag", "place"))
             body = table.column("body").combine_chunks()
             if isinstance(body, pa.ChunkedArray):
                 body = pa.concat_arrays(body.chunks)
@@ -290,7 +288,7 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
             values = values if item == 1 else np.frombuffer(values.tobytes(), plan.dtype)
             first = (bounds.astype(np.int64) - bounds[0]) // item
             names = plan.names(values, first)
-            start, tag_, windows = unpacked(place)
+            start, windows = unpacked(place)
             of, at = within(first[:-1], windows)
             inner = at - first[of]
             name, who, where = names[at], doc[of], start[of] + inner
@@ -310,17 +308,17 @@ def repeated(texts: DataFrame, plan: Plan) -> DataFrame:
             gap[1:] = (hit[1:] != hit[:-1] + 1) | (of[hit][1:] != of[hit][:-1])
             lead = hit[gap]
             runs = np.diff(np.append(np.flatnonzero(gap), len(hit)))
-            yield _batch(["doc", "tag", "start", "size"], who[lead], tag_[of[lead]], where[lead], runs + plan.length - 1)
+            yield _batch(["doc", "tag", "start", "size"], who[lead], tag[of[lead]], where[lead], runs + plan.length - 1)
 
     dealt = pieces_cut.filter("body is not null") if has_crowds else pieces_cut
     found = (
-        dealt.select("gram", "doc", "place", "body").repartition(partitions(spark), "gram").sortWithinPartitions("gram")
+        dealt.select("gram", "doc", "tag", "place", "body").repartition(partitions(spark), "gram").sortWithinPartitions("gram")
         .mapInArrow(resolved, "doc bigint, tag bigint, start bigint, size bigint")
         .select("doc", "tag", F.struct("start", "size").alias("span"))
     )
     spans = whole.union(found)
     if has_crowds:
-        single = pieces_cut.filter("body is null").select("run_a", "run_b", "doc", tag.alias("tag"), lo.alias("start"))
+        single = pieces_cut.filter("body is null").select("run_a", "run_b", "doc", "tag", lo.alias("start"))
         earliest = single.groupBy("run_a", "run_b").agg(F.min(F.struct("doc", "start")).alias("e"))
         later = F.col("doc") > F.col("e.doc")
         if not plan.by_document:

@@ -60,6 +60,24 @@ def test_strings(spark, most):
     assert sum(w[2] for w in want) > 5000
 
 
+def test_many_texts_of_one_id_keep_their_own_places(spark):
+    """With 18 bits of a hash, texts of one id would share bodies and spans."""
+    shared = [f"shared{i}" for i in range(60)]
+    passages = [[7, " ".join([f"n{i}w{j}" for j in range(i % 23)] + shared + [f"end{i}"])] for i in range(3000)]
+    passages.append([1, " ".join(shared)])
+    strings = [[None, f"{i} " + "." * (i % 29) + "".join(f"{j:03}" for j in range(50)) + f"{i}"] for i in range(3000)]
+    for rows, seqs, length, report, glue in (
+        (passages, [words(t) for _, t in passages], 50, passage_report, lambda t: " ".join(t).encode()),
+        (strings, [t.encode() for _, t in strings], 100, string_report, bytes),
+    ):
+        gone = removed(rows, seqs, length, report is passage_report)
+        want = sorted((id_order(r[0]), len(t), sum(g), runs(g), sha(glue([b for b, x in zip(t, g, strict=True) if not x])))
+                      for r, t, g in zip(rows, seqs, gone, strict=True))
+        got = report(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+        assert sorted(tuple(-(1 << 63) if v is None else v for v in r) for r in got) == want
+        assert sum(w[2] for w in want) > 3000
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert passage_report(none, Passage()).count() == 0
