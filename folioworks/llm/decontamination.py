@@ -75,14 +75,28 @@ def _tagged(shingles: Column) -> Column:
         s, lambda h, i: F.xxhash64(h, i - F.array_position(s, h).cast("int"))))
 
 
+def _starts(at: Column, m: Column, similarity: float) -> Column:
+    """Starts of all windows of ``m`` shingles with at least the share ``similarity`` of ``m`` among the sorted places.
+
+    Each start is found once, at the first place that its window holds.
+    """
+    least = F.greatest(F.ceil(m * similarity - 1e-9), F.lit(1)).cast("int")
+
+    def from_place(first: Column, i: Column) -> Column:
+        low = F.greatest(F.get(at, i + least - 1) - m + 1, F.coalesce(F.get(at, i - 1) + 1, first - m + 1))
+        return F.when(low <= first, F.sequence(low, first)).otherwise(F.array().cast("array<int>"))
+
+    return F.flatten(F.transform(F.slice(at, 1, F.greatest(F.size(at) - least + 1, F.lit(0))), from_place))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: Leak = Leak(), id_column: str = "doc_id",
           text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
     """(key, text_key, item_id, similarity) for every document and every item it holds.
 
     A document holds an item if a window of the item's length, cut off at the document's ends, has a weighted shingle
-    similarity of at least ``rule.similarity``. Such a window shares shingles with the item, in the same places but
-    for what was put in or left out; so windows are laid at every start that brings a shingle of the document over
-    the same shingle of an item, and all of them are fingerprinted and looked up among the items of their length.
+    similarity of at least ``rule.similarity``. The shingles they have in common are then at least that share of the
+    item's; so windows are laid at every start from which so many places hold a shingle of the item, in any order, and
+    all of them are fingerprinted and looked up among the items of their length. No other window is similar enough.
     Items without words, null or empty texts hold nothing and match nothing; equal items are all reported. Texts are
     read whole. Rows alike in id and text are one document. Other columns are not read.
     """
@@ -107,17 +121,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Leak = Leak(), id_column:
         no_null(F.col(id_column)).alias("key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"),
         F.explode_outer(F.array(every_width)).alias("_shingles"))
     shingled = hashed.select("key", "text_key", "_shingles.*")
-    places = small(staged(
-        items.select("long", "width", F.posexplode("shingles").alias("place", "shingle"))
-        .groupBy("width", "shingle", "long").agg(F.collect_set("place").alias("places"))
-    ))
+    wanted = small(staged(
+        items.select("item_id", "long", "width", F.size("shingles").alias("_m"), F.explode("shingles").alias("shingle"))
+        .distinct()))
     windows = None
     for w in widths:
         met = (
             shingled.select("key", "text_key", F.posexplode(f"_{w}").alias("at", "shingle"))
-            .join(places.filter(F.col("width") == w).drop("width"), "shingle")
+            .join(wanted.filter(F.col("width") == w).drop("width"), "shingle")
+            .groupBy("key", "text_key", "item_id", "long", "_m").agg(F.collect_set("at").alias("at"))
             .select("key", "text_key", F.lit(w).alias("width"), "long",
-                    F.explode(F.transform("places", lambda p: F.col("at") - p)).alias("start"))
+                    F.explode(_starts(F.array_sort("at"), F.col("_m"), rule.similarity)).alias("start"))
         )
         windows = met if windows is None else windows.union(met)
     windows = staged(windows.distinct())

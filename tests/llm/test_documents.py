@@ -151,6 +151,21 @@ def test_leaks(spark):
     assert not leak_report(docs, bench.limit(0)).filter("contaminated").count()
 
 
+def test_leaks_in_another_order(spark):
+    """Halves that stand the other way round: most shingles are there, none in the place it has in the item."""
+    items = [(n, [f"i{n}w{j}" for j in range(n)]) for n in (40, 59)]
+    around = [f"x{j}" for j in range(100)]
+    rows = [(n * 10 + k, " ".join(around[:k] + w[n // 2 :] + w[: n // 2] + around[k:])) for n, w in items for k in (0, 3, 100)]
+    rows.append((7, " ".join(around)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id bigint, text string")
+    got = {x.doc_id: (list(x.item_ids), x.similarity) for x in leak_report(docs, bench).collect()}
+    assert got.pop(7) == ([], 0.0)
+    # 51 of 59 shingles at 59 words, 32 of 40 at 40 words.
+    assert all(got[590 + k][0] == [59] and abs(got[590 + k][1] - 51 / 59) < 1e-9 for k in (0, 3, 100))
+    assert all(got[400 + k] == ([40], 0.8) for k in (0, 3, 100))
+
+
 def test_language(spark):
     r = random.Random(3)
     syllables = {"aa": ["ka", "lo", "mi"], "bb": ["sch", "ung", "ein"], "cc": ["é", "aux", "que"]}
