@@ -144,6 +144,68 @@ reach AS (SELECT vec_id AS a, vec_id AS b FROM unit UNION SELECT reach.a, links.
 SELECT reach.a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(b) AS component_id, reach.a = min(b) AS kept
 FROM reach LEFT JOIN counted ON reach.a = counted.a GROUP BY reach.a"""
 
+_SPELLING = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) ORDER BY b)
+    AS steps FROM (SELECT unnest(range(256)) AS b)),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY doc_id, run),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(
+  flatten(list_transform(string_split(concat(doc_id, ':', run), ''), lambda x: CASE WHEN unicode(x) < 128
+    THEN [CAST(unicode(x) AS BIGINT)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)),
+  lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]), 4294967295)) AS h FROM counted, crc),
+said AS (SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM said WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS cut FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word AS a, c.n AS na, w.word AS b, w.n AS nb FROM cuts c JOIN words w ON w.word = c.cut),
+near AS (
+  SELECT a.word AS a, b.word AS b, b.n AS nb FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT a, b, nb FROM shorter UNION ALL SELECT b, a, na FROM shorter),
+best AS (SELECT a, count(*) AS n_near, arg_min(b, row(-nb, b)) AS b, max(nb) AS nb FROM near GROUP BY a),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN nb >= 2 * n THEN b END AS form,
+  CASE WHEN nb >= 2 * n THEN nb END AS form_n FROM words LEFT JOIN best ON word = a),
+walk AS (SELECT word, word AS node, 0 AS steps FROM formed
+  UNION ALL SELECT walk.word, f.form, steps + 1 FROM walk JOIN formed f ON f.word = walk.node WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(node, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)"""
+
+_COPIES = """
+WITH said AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM said GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM said JOIN groups USING (t)"""
+
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+said AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM said GROUP BY lang),
+f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+    FROM said, range(1, 4) AS r(k) WHERE len(ws) >= k)
+  GROUP BY lang, k, phrase HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, phrase, max(f) AS around FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')])
+      AS phrase FROM f WHERE k = 3) GROUP BY lang, phrase),
+cand AS (
+  SELECT f.lang, f.phrase, f.k, f.f AS a, string_split(f.phrase, ' ') AS ws FROM f LEFT JOIN longer USING (lang, phrase)
+  WHERE f.k = 3 OR f.k = 2 AND NOT coalesce(100 * around >= 50 * f.f, false)),
+cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(ws[1:c], ' ') AS x, array_to_string(ws[c + 1:], ' ') AS y
+  FROM cand, range(1, 3) AS r(c) WHERE c < k),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, c, fl.f AS l, fr.f AS r,
+    CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(fl.f AS HUGEINT) * fr.f) AS BIGINT) AS score
+  FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = x JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 ORACLES: dict[str, str] = {
     "op2_secrets": _SECRETS,
     "op3_suffixes": _STRINGS,
@@ -152,4 +214,7 @@ ORACLES: dict[str, str] = {
     "op8_lines": _LINES,
     "op9_embeddings": _VECTORS,
     "op10_mixing": _MIXING,
+    "op11_spelling": _SPELLING,
+    "op12_copies": _COPIES,
+    "op13_phrases": _PHRASES,
 }

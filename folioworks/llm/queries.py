@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioworks.llm.chat import repaired_turns
 from folioworks.llm.common import read
+from folioworks.llm.copies import exact_copies
 from folioworks.llm.credentials import secret_report
 from folioworks.llm.decontamination import leak_report
 from folioworks.llm.embeddings import near_embeddings
@@ -17,6 +18,8 @@ from folioworks.llm.minhash import near_documents
 from folioworks.llm.mixing import mixed
 from folioworks.llm.oracles import ORACLES
 from folioworks.llm.passages import passage_report
+from folioworks.llm.phrases import collocations
+from folioworks.llm.spelling import spelling_variants
 from folioworks.llm.suffixes import string_report
 
 
@@ -79,6 +82,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(read(spark, sf_dir, "documents")).drop("positions")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent words they are variants of."""
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among all documents."""
+    return exact_copies(read(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_secrets": op2_secrets,
@@ -90,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_embeddings": op9_embeddings,
     "op10_mixing": op10_mixing,
+    "op11_spelling": op11_spelling,
+    "op12_copies": op12_copies,
+    "op13_phrases": op13_phrases,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
