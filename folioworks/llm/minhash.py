@@ -154,7 +154,7 @@ def row_key(id_column: str = "doc_id", text_column: str = "text") -> tuple[Colum
 def near_rows(docs: DataFrame, how: Near = Near(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, text_key (as in :func:`row_key`), doc_id, n_shingles, component_id, kept.
 
-    Words are lower-cased in A-Z only. Equal sets are one class: copies cost nothing beyond their sketch. Classes that
+    Words are lower-cased in A-Z only. Equal sets are one class, known by their size and two sums of 64 bits. Sets hold 64-bit hashes of shingles. Classes that
     share a band are candidates. In each band bucket all members are held against a pivot, the one of the smallest id; the
     links found are grouped, and buckets whose members are still apart are compared in blocks. Similarities
     are always those of the full sets.

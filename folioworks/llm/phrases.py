@@ -13,7 +13,6 @@ With many shards the lowered support is one: every phrase is reported, and the b
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from folioworks.llm.bloom import BLOCK_BYTES, block_of, collected, holds, marked
 from folioworks.llm.common import for_workers, staged
-from folioworks.llm.tokens import mix, pieces
+from folioworks.llm.tokens import mix, pieces, strong_hashes
 
 UNKNOWN = "und"
 _BREAK = np.zeros(256, bool)
@@ -71,11 +70,6 @@ class Shard:
         return h
 
 
-def _strong(texts: list[bytes]) -> np.ndarray:
-    """64-bit hashes without structure, of distinct texts."""
-    return np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=8).digest() for t in texts), np.uint64)
-
-
 def _word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes within words, bytes where a document begins, starts of words)."""
     inner = ~_OUTER[raw]
@@ -117,7 +111,7 @@ def _mined(raw: np.ndarray, offsets: np.ndarray, language: np.ndarray, languages
     first = pair[triple // width]
     found.append((first // (width * width), np.stack((first // width % width, first % width, triple % width), 1), count))
     return Shard(
-        languages, words, _strong([w.encode() for w in words.to_pylist()]), _strong([x.encode() for x in languages]),
+        languages, words, strong_hashes([w.encode() for w in words.to_pylist()]), strong_hashes([x.encode() for x in languages]),
         np.bincount(of, minlength=len(languages)), found)
 
 

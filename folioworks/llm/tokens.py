@@ -6,6 +6,7 @@ it is larger, by the longest document.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-# Random odd numbers: a value for each byte, and the bases of the two polynomials.
+# What fills words of 0 to 8 bytes up to 8.
+_FILL = np.array([(0xFFFFFFFFFFFFFFFF << 8 * n) & 0xFFFFFFFFFFFFFFFF for n in range(9)], np.uint64)
+# Random odd numbers: a value for each byte, and the bases of the polynomials.
 _RANDOM = np.random.default_rng(20240229).integers(1, 2**63, 264, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUES = _RANDOM[:256]
 _BASES = _RANDOM[256:]
@@ -50,7 +53,11 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Runs:
-    """Hashes of any runs of a sequence of 64-bit values, by differences of one running sum."""
+    """Hashes of any runs of a sequence of 64-bit values, by differences of one running sum.
+
+    Only for runs of a few hundred values: two runs of more than a thousand, made of two values in a certain order, have
+    equal hashes whatever the base.
+    """
 
     def __init__(self, values: np.ndarray, base: int) -> None:
         up, self.down = _power(base, len(values) + 1)
@@ -96,8 +103,30 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """A hash of each word, with A-Z lower-cased first if asked for."""
-    return Runs(_VALUES[_LOWER[raw]] if lower else _VALUES[raw], 0).of(starts, ends)
+    """A hash of each word, with A-Z lower-cased first if asked for.
+
+    Words of up to eight bytes are numbers as they are, filled up with a byte that text cannot hold, so no two of them
+    share a hash. Longer ones have 64 bits of BLAKE2b, taken once per distinct word.
+    """
+    if lower:
+        raw = _LOWER[raw]
+    size = ends - starts
+    padded = np.concatenate((raw, np.full(8, 0xFF, np.uint8)))
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))[starts]
+    out = mix(eight | _FILL[np.minimum(size, 8)])
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        _, at = within(starts[long], size[long])
+        bounds = np.concatenate(([0], np.cumsum(size[long]))).astype(np.int64)
+        said = pa.Array.from_buffers(
+            pa.large_binary(), len(long), [None, pa.py_buffer(bounds), pa.py_buffer(raw[at])]).dictionary_encode()
+        out[long] = strong_hashes(said.dictionary.to_pylist())[np.asarray(said.indices)]
+    return out
+
+
+def strong_hashes(texts: list[bytes]) -> np.ndarray:
+    """64-bit hashes without any structure, for texts that are distinct."""
+    return np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=8).digest() for t in texts), np.uint64)
 
 
 def byte_values(raw: np.ndarray) -> np.ndarray:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from folioworks.llm.credentials import secret_report
@@ -11,6 +12,7 @@ from folioworks.llm.decontamination import leak_report
 from folioworks.llm.language import Training, identified, learned, train
 from folioworks.llm.minhash import Near, near_documents
 from folioworks.llm.mixing import Mix, mixed
+from folioworks.llm.tokens import word_hashes
 from tests.llm.brute import SCHEMA, awkward, groups, id_order, sha, shingles, words
 from pyspark.sql import functions as F
 
@@ -73,6 +75,32 @@ def near_rows():
     return rows
 
 
+def morse(length):
+    """A word in which sums of powers of any odd base cancel out against its opposite, and that opposite."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(length))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_that_fool_polynomials_are_not_equal(spark, length):
+    rows = [(i, w, "en", "s", 0, 0, "", "") for i, w in enumerate(morse(length))]
+    got = near_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((x.doc_id, x.component_id, x.kept) for x in got) == [(0, 0, True), (1, 1, True)]
+
+
+def test_word_hashes_tell_words_apart():
+    r = random.Random(6)
+    said = {"".join(r.choice("abAB\u00e9\u00ff\U0001f600\x00\x01") for _ in range(r.randint(1, 14))) for _ in range(30_000)}
+    said |= {w + "\x00" for w in list(said)[:500]}
+    texts = [w.encode() for w in sorted(said)]
+    raw = np.frombuffer(b" ".join(texts), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    starts = ends - [len(t) for t in texts]
+    assert len(np.unique(word_hashes(raw, starts, ends, lower=False))) == len(texts)
+    low = {re.sub(b"[A-Z]", lambda m: m[0].lower(), t) for t in texts}
+    assert len(np.unique(word_hashes(raw, starts, ends, lower=True))) == len(low)
+
+
 @pytest.mark.parametrize("percent", [85, 80])
 def test_near_documents(spark, percent):
     rows = near_rows()

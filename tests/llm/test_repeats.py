@@ -8,6 +8,7 @@ from folioworks.llm.lines import Repeats, without_repeated_lines
 from folioworks.llm.passages import Passage, deep_nodes, passage_report
 from folioworks.llm.suffixes import Strings, equal_windows, induced, string_report
 from folioworks.llm.tokens import mix
+from tests.llm.test_documents import morse
 from tests.llm.brute import SCHEMA, WORD, awkward, id_order, sha, words
 
 
@@ -47,6 +48,15 @@ def test_passages(spark, most):
     assert sum(w[2] for w in want) > 500
 
 
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_passages_of_words_that_fool_polynomials(spark, length):
+    one, other = morse(length)
+    said = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*said[:25], w, *said[26:]])) for i, w in enumerate((one, other))]
+    got = passage_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert [x.n_removed for x in got] == [0, 0]
+
+
 @pytest.mark.parametrize("most", [60_000, 2])
 def test_strings(spark, most):
     rows = awkward(8)
