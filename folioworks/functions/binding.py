@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,6 +16,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def free_names(columns: Sequence[str], *names: str) -> list[str]:
+    """The given names, with underscores in front where ``columns`` have one already, in whatever case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns that stay computed: no later filter on them moves below and computes them again.
 
@@ -23,4 +35,5 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     parsing it once more per mention. It does not push through an outer explode.
     """
     values = F.struct(*(column.alias(name) for name, column in columns.items()))
-    return df.select("*", F.explode_outer(F.array(values)).alias("_values")).select(*df.columns, "_values.*")
+    (holder,) = free_names([*df.columns, *columns], "_values")
+    return df.select("*", F.explode_outer(F.array(values)).alias(holder)).select(*df.columns, f"{holder}.*")
