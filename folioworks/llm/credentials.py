@@ -1,9 +1,9 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
-Three fixed kinds of spans are found by pattern. Long mixed tokens are candidates besides; whether one is reported
-depends on who else has it. Hashes of all candidate values are counted over distinct owners and distinct repositories
-of an owner: a value that many owners hold is an example copied from a manual, one that a single owner holds looks
-like a live credential.
+Three fixed kinds of spans are found by pattern, long mixed tokens besides. Hashes of all values are counted over
+distinct owners and distinct repositories of an owner: a value that several owners hold is an example copied from a
+manual, one that a single owner holds looks like a live credential, however often that owner repeats it. Nothing is
+left out for it; the two classes are told apart.
 """
 
 from __future__ import annotations
@@ -39,10 +39,9 @@ TOKEN = Kind("token", r"[A-Za-z0-9+/_-]{20,}+")
 
 @dataclass(frozen=True)
 class Ownership:
-    """A value held by at most ``live_owners`` owners and ``live_repos`` repositories is owner-specific."""
+    """A value held by at most ``live_owners`` owners is owner-specific. Tokens have that many distinct characters."""
 
     live_owners: int = 1
-    live_repos: int = 3
     distinct_characters: int = 12
 
 
@@ -75,12 +74,12 @@ def _found(text: Column, number: int, kind: Kind, mixed_from: int) -> Column:
 
 def secret_spans(docs: DataFrame, ownership: Ownership = Ownership(), id_column: str = "doc_id",
                  text_column: str = "text", owner_column: str = "source",
-                 repo_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+                 repo_column: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): every row of ``docs`` with a row number, and one row per span kept.
 
     documents: row, doc_id. spans: row, kind (place in BASE, then token), start, end (code points, end exclusive), owners, repos,
-    live. Base spans stay whoever holds them; a token is kept if its value is live and it meets no base span.
-    A null owner is one owner, a null repository one repository. Null text is empty; repeated rows are scanned each.
+    live. Base spans all stay, and so does every token that meets no base span. Without ``repo_column`` each distinct
+    text is a repository, so copies of a text are one. A null owner is one owner, a null repository one repository. Null text is empty; repeated rows are scanned each.
     Other columns are not read.
 
     Positions are running sums over the matches of one text, so no text is too long. A value that most rows hold is
@@ -93,7 +92,7 @@ def secret_spans(docs: DataFrame, ownership: Ownership = Ownership(), id_column:
             F.monotonically_increasing_id().alias("row"),
             F.col(id_column).alias("doc_id"),
             no_null(F.col(owner_column)).alias("owner"),
-            no_null(F.col(repo_column)).alias("repo"),
+            (no_null(F.col(repo_column)) if repo_column else F.xxhash64(text).cast("string")).alias("repo"),
             text.alias("_text"),
         ).select(
             "row", "doc_id", "owner", "repo",
@@ -120,20 +119,20 @@ def secret_spans(docs: DataFrame, ownership: Ownership = Ownership(), id_column:
     right = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
     kept = (
         spans.join(seen, "value")
-        .withColumn("live", (F.col("owners") <= ownership.live_owners) & (F.col("repos") <= ownership.live_repos))
+        .withColumn("live", F.col("owners") <= ownership.live_owners)
         .withColumn("_meets", (F.coalesce(left, F.lit(0)) > F.col("start"))
                     | (F.coalesce(right, F.col("end")) < F.col("end")))
-        .filter(base | (F.col("live") & ~F.col("_meets")))
+        .filter(base | ~F.col("_meets"))
         .select("row", "kind", "start", "end", "owners", "repos", "live")
     )
     return scanned.select("row", "doc_id"), kept
 
 
 def secret_report(docs: DataFrame, ownership: Ownership = Ownership(), **columns: str) -> DataFrame:
-    """One row per row of ``docs``: counts of the base kinds, the digest of the base spans, all spans, and how many
-    of them are held by one owner (``n_live``) or by several (``n_shared``).
+    """One row per row of ``docs``: counts of the kinds, how many spans are held by one owner (``n_live``) or by several
+    (``n_shared``), the digest of the base spans, all spans, and those of them that are live.
 
-    A document without text or spans has zero counts, the digest of the empty string and an empty list.
+    A document without text or spans has zero counts, the digest of the empty string and empty lists.
     """
     documents, spans = secret_spans(docs, ownership, **columns)
     names = F.array(*(F.lit(k.name) for k in (*BASE, TOKEN)))
@@ -145,11 +144,11 @@ def secret_report(docs: DataFrame, ownership: Ownership = Ownership(), **columns
     per_row = spans.groupBy("row").agg(
         *(F.count_if(F.col("kind") == n).alias(f"n_{k.name}") for n, k in enumerate((*BASE, TOKEN))),
         F.count_if("live").alias("n_live"),
-        F.count_if(F.col("owners") > 1).alias("n_shared"),
-        F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("_spans"),
+        F.count_if(~F.col("live")).alias("n_shared"),
+        F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("_spans"),
     )
     counts = [*(f"n_{k.name}" for k in (*BASE, TOKEN)), "n_live", "n_shared"]
-    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
+    empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean>>")
     return (
         documents.join(per_row, "row", "left")
         .withColumn("_spans", F.coalesce("_spans", empty))
@@ -159,5 +158,6 @@ def secret_report(docs: DataFrame, ownership: Ownership = Ownership(), **columns
             F.sha2(listed(F.filter("_spans", lambda s: s["kind"] < len(BASE))).cast("binary"), 256)
             .alias("base_sha256"),
             listed(F.col("_spans")).alias("spans"),
+            listed(F.filter("_spans", lambda s: s["live"])).alias("live_spans"),
         )
     )

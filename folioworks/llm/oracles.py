@@ -29,21 +29,22 @@ spans AS (
   WHERE CASE WHEN kind = 3 THEN regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]')
     AND regexp_matches(hit, '[0-9]') AND len(list_distinct(string_split(hit, ''))) >= 12
     ELSE length(val) >= CASE kind WHEN 0 THEN 6 ELSE 0 END END),
-seen AS (SELECT val, count(DISTINCT owner) AS owners, count(DISTINCT row(owner, doc_id)) AS repos FROM spans GROUP BY val),
+seen AS (SELECT val, count(DISTINCT owner) AS owners FROM spans GROUP BY val),
 kept AS (
-  SELECT spans.*, owners, owners <= 1 AND repos <= 3 AS live FROM spans JOIN seen USING (val)
-  WHERE kind < 3 OR (owners <= 1 AND repos <= 3 AND NOT EXISTS (FROM spans b WHERE b.doc_id = spans.doc_id
-    AND b.kind < 3 AND b.start < spans."end" AND b."end" > spans.start))),
+  SELECT spans.*, owners, owners <= 1 AS live FROM spans JOIN seen USING (val)
+  WHERE kind < 3 OR NOT EXISTS (FROM spans b WHERE b.doc_id = spans.doc_id
+    AND b.kind < 3 AND b.start < spans."end" AND b."end" > spans.start)),
 listed AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
     count(*) FILTER (kind = 2) AS n_hex, count(*) FILTER (kind = 3) AS n_token, count(*) FILTER (live) AS n_live,
     count(*) FILTER (owners > 1) AS n_shared,
     string_agg(concat_ws(':', name, start, "end"), ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
-    string_agg(concat_ws(':', name, start, "end"), ',' ORDER BY start, kind) AS spans
+    string_agg(concat_ws(':', name, start, "end"), ',' ORDER BY start, kind) AS spans,
+    string_agg(concat_ws(':', name, start, "end"), ',' ORDER BY start, kind) FILTER (live) AS live_spans
   FROM kept JOIN kinds USING (kind) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   coalesce(n_token, 0) AS n_token, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(live_spans, '') AS live_spans
 FROM texts LEFT JOIN listed USING (doc_id)"""
 
 _STRINGS = """

@@ -31,7 +31,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document; the source is the owner, the document the repository."""
+    """Secrets of every document; the source is the owner, a distinct text a repository."""
     return secret_report(read(spark, sf_dir, "documents"))
 
 

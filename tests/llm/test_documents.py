@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from folioworks.llm.credentials import secret_report
+from folioworks.llm.credentials import secret_report, secret_spans
 from folioworks.llm.decontamination import leak_report
 from folioworks.llm.language import Training, identified, learned, train
 from folioworks.llm.minhash import Near, near_documents
@@ -52,10 +52,16 @@ def test_secrets(spark):
     assert sorted(seen) == sorted(want)
     assert [x.spans for x in got if x.doc_id == 90] == [f"token:0:{len(live)}"] * 2
     assert all(x.n_shared > 0 for x in got if x.doc_id is not None and x.doc_id < 80 and "assign" in x.spans)
-    # What many owners hold is no live token.
+    # What many owners hold is listed and no live token.
     texts = {row[0]: row[1] for row in rows}
-    assert not any(example in texts[x.doc_id][int(a) : int(b)] for x in got if x.doc_id is not None
-                   for k, a, b in (s.split(":") for s in x.spans.split(",") if s) if k == "token")
+
+    def tokens(column):
+        return [texts[x.doc_id][int(a) : int(b)] for x in got if x.doc_id is not None
+                for k, a, b in (s.split(":") for s in x[column].split(",") if s) if k == "token"]
+
+    assert example in tokens("spans") and example not in tokens("live_spans") and live in tokens("live_spans")
+    assert all(x.n_live == x.live_spans.count(":") // 2 for x in got)
+    assert all(x.n_live + x.n_shared == x.spans.count(":") // 2 for x in got)
     assert secret_report(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
@@ -75,6 +81,25 @@ def near_rows():
     return rows
 
 
+@pytest.mark.parametrize("copies", [3, 4, 400, 4000])
+def test_a_secret_is_found_however_often_its_owner_repeats_it(spark, copies):
+    live, lent = "Zk3vQ9xT1mB7yLw2Rd8sPf", "Ab5cD7eF9gH1iJ3kL5mN7o"
+    rows = [(i, f"{live} in {i % 7}", "en", "one", 0, 0, "", "") for i in range(copies)]
+    rows += [(i + copies, f"{lent} in {i}", "en", f"s{i % 2}", 0, 0, "", "") for i in range(copies)]
+    rows.append((None, f"{live} and {lent}", "en", "one", 0, 0, "", ""))
+    got = secret_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    span = f"token:0:{len(live)}"
+    assert all((x.spans, x.live_spans, x.n_live, x.n_shared) == (span, span, 1, 0)
+               for x in got if x.doc_id is not None and x.doc_id < copies)
+    assert all((x.spans, x.live_spans, x.n_live, x.n_shared) == (span, "", 0, 1)
+               for x in got if x.doc_id is not None and x.doc_id >= copies)
+    both = next(x for x in got if x.doc_id is None)
+    assert (both.n_token, both.n_live, both.n_shared) == (2, 1, 1)
+    _, spans = secret_spans(spark.createDataFrame(rows, SCHEMA))
+    texts = len({r[1] for r in rows if live in r[1]})
+    assert {r.repos for r in spans.filter("owners = 1").collect()} == {texts}
+
+
 def morse(length):
     """A word in which sums of powers of any odd base cancel out against its opposite, and that opposite."""
     word = "".join("ab"[bin(i).count("1") % 2] for i in range(length))
