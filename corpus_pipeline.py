@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from folioworks.functions.binding import free_names
 from folioworks.llm.common import WORD, read, staged
 from folioworks.llm.decontamination import leak_report
 from folioworks.llm.language import identified, learned
@@ -33,7 +34,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are judged each by itself: others of the same id, or others without one, go or stay by their own texts.
     """
-    names = ["key_of_copy", "text_key_of_copy"]
+    names = free_names(docs.columns, "key_of_copy", "text_key_of_copy")
     out = near_rows(docs, Near(percent=80)).filter("not kept").select("key", "text_key").distinct().toDF(*names)
     same = [own == F.col(name) for own, name in zip(row_key(), names, strict=True)]
     return docs.join(staged(out), same, "left_anti").select(docs.columns)
