@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioworks.functions.binding import let
+from folioworks.functions.binding import free_names, let
 from folioworks.llm.common import no_null, small, staged
 
 
@@ -192,14 +192,14 @@ def leak_report(docs: DataFrame, benchmark: DataFrame, rule: Leak = Leak(), id_c
     by_document = staged(found.groupBy("key", "text_key").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("similarity").alias("similarity")))
     columns_kept = [c for c in docs.columns if c not in ("item_ids", "similarity", "contaminated")]
-    marked = small(by_document.select(
-        F.col("key").alias("key_of_leak"), F.col("text_key").alias("text_key_of_leak"),
-        F.col("item_ids").alias("items_leaked"), F.col("similarity").alias("similarity_of_leak")))
-    text_key = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
-    same = (no_null(F.col(id_column)) == F.col("key_of_leak")) & (text_key == F.col("text_key_of_leak"))
+    names = free_names(docs.columns, "key_of_leak", "text_key_of_leak", "items_of_leak", "similarity_of_leak")
+    key, text_key, items, similarity = (F.col(name) for name in names)
+    marked = small(by_document.select("key", "text_key", "item_ids", "similarity").toDF(*names))
+    own_text = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    same = (no_null(F.col(id_column)) == key) & (own_text == text_key)
     none = F.array().cast(by_document.schema["item_ids"].dataType)
     return docs.select(*columns_kept).join(marked, same, "left").select(
         *columns_kept,
-        F.coalesce("items_leaked", none).alias("item_ids"),
-        F.coalesce("similarity_of_leak", F.lit(0.0)).alias("similarity"),
-        F.col("items_leaked").isNotNull().alias("contaminated"))
+        F.coalesce(items, none).alias("item_ids"),
+        F.coalesce(similarity, F.lit(0.0)).alias("similarity"),
+        items.isNotNull().alias("contaminated"))

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from folioworks.functions.binding import free_names
 from folioworks.llm.common import for_workers
 from folioworks.llm.tokens import byte_values, mix, pieces
 
@@ -168,7 +169,7 @@ def identified(docs: DataFrame, model: Model, text_column: str = "text") -> Data
     shared = spark.sparkContext.broadcast(model)  # its size is fixed by the table's bits and the number of languages
     kept = docs.drop("lang_pred", "score", "rejected")
     letter = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False))
-    given = kept.select("*", letter.alias("has_letter_of_text"))
+    given = kept.select("*", letter.alias(*free_names(kept.columns, "has_letter")))
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
              T.StructField("rejected", T.BooleanType())]
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from folioworks.functions.binding import computed_once
+from folioworks.functions.binding import computed_once, free_names
 from folioworks.llm.common import WORD, no_null, partitions, staged
 
 PLACE = ("doc_id", "key", "text_key", "at")
@@ -114,14 +114,12 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
     Null text stays null and has no lines; empty text has one. ``n_runs`` counts maximal stretches of deleted lines. A
     document that loses all its lines keeps an empty text. An empty table gives no rows.
     """
-    removed = staged(repeated_lines(docs, rule, id_column, text_column)).select(
-        F.col("key").alias("key_of_repeats"), F.col("text_key").alias("text_key_of_repeats"),
-        F.col("removed").alias("lines_repeated"))
+    names = free_names(docs.columns, "key_of_repeats", "text_key_of_repeats", "lines_repeated", "lines_of_text")
+    removed = staged(repeated_lines(docs, rule, id_column, text_column)).select("key", "text_key", "removed").toDF(*names[:3])
     text = F.coalesce(F.col(text_column), F.lit(""))
-    same = (no_null(F.col(id_column)) == F.col("key_of_repeats")) & (F.xxhash64(text) == F.col("text_key_of_repeats"))
+    same = (no_null(F.col(id_column)) == F.col(names[0])) & (F.xxhash64(text) == F.col(names[1]))
     # A projection of its own, so that no text is split once per mention.
-    lines = F.col("lines_of_text")
-    gone = F.col("lines_repeated")
+    gone, lines = F.col(names[2]), F.col(names[3])
     bounds = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
     kept = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(gone)),
@@ -136,7 +134,7 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
     joined = docs.select(*columns).join(removed, same, "left")
     return (
-        computed_once(joined, lines_of_text=F.split(F.col(text_column), "\n"))
+        computed_once(joined, **{names[3]: F.split(F.col(text_column), "\n")})
         .select(*(added[c].alias(c) if c in added else F.col(c) for c in columns),
                 *(added[c].alias(c) for c in ("n_lines", "n_removed", "n_runs")))
     )

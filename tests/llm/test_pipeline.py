@@ -30,8 +30,8 @@ def stages(spark, tmp_path_factory):
 
 def test_shape():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "lines", "near", "decontamination", "mix"]
-    assert len(QUERIES) == 10 and set(ORACLES) <= set(QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert len(QUERIES) == 13 and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_language_keeps_what_has_letters(stages):
