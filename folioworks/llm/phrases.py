@@ -45,7 +45,7 @@ class Phrases:
     support: int = 10
     top: int = 2000
     inside: int = 50
-    shard: int = 1 << 24
+    shard: int = 1 << 23
     languages: int = 10_000
     bits: int = 16
     filter_bytes: int = 1 << 25
@@ -70,25 +70,28 @@ class Shard:
         return h
 
 
-def _word_starts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes within words, bytes where a document begins, starts of words)."""
+def _word_bounds(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts and ends of words, number of the piece of each)."""
     inner = ~_OUTER[raw]
-    starts_here = np.zeros(len(raw) + 1, bool)
-    starts_here[offsets[:-1]] = True
-    starts_here = starts_here[:-1]
+    cuts = offsets[1:-1]
+    cuts = cuts[(cuts > 0) & (cuts < len(raw))]
     begins = inner.copy()
-    begins[1:] &= ~inner[:-1] | starts_here[1:]
-    return inner, starts_here, np.flatnonzero(begins)
+    begins[1:] &= ~inner[:-1]
+    begins[cuts] = inner[cuts]
+    stops = inner.copy()
+    stops[:-1] &= ~inner[1:]
+    stops[cuts - 1] = inner[cuts - 1]
+    start = np.flatnonzero(begins)
+    # Words of a piece have as many breaks and ends of documents before them.
+    apart = _BREAK[raw]
+    apart[cuts] = True
+    return start, np.flatnonzero(stops) + 1, np.searchsorted(np.flatnonzero(apart), start, "right")
 
 
 def _mined(raw: np.ndarray, offsets: np.ndarray, language: np.ndarray, languages: list[str]) -> Shard:
-    inner, starts_here, start = _word_starts(raw, offsets)
-    # Words of a piece have as many breaks and documents before them.
-    piece = np.cumsum(_BREAK[raw] | starts_here)[start] if len(start) else np.zeros(0, np.int64)
-    upto = np.concatenate(([0], np.cumsum(inner)))
-    ends = np.append(upto[start[1:]], upto[-1]) if len(start) else np.zeros(0, np.int64)
-    bounds = np.concatenate(([0], ends)).astype(np.int64)
-    letters = _LOWER[raw[inner]]
+    start, end, piece = _word_bounds(raw, offsets)
+    bounds = np.concatenate(([0], np.cumsum(end - start))).astype(np.int64)
+    letters = _LOWER[raw[~_OUTER[raw]]]
     said = pa.Array.from_buffers(
         pa.large_string(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]).dictionary_encode()
     words, number = said.dictionary, np.asarray(said.indices).astype(np.int64)
@@ -148,13 +151,19 @@ def _sizes(texts: DataFrame, how: Phrases) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for raw, offsets, of, languages in _shards(batches, how.shard):
-            _, _, start = _word_starts(raw, offsets)
+            start, _, _ = _word_bounds(raw, offsets)
             words = np.bincount(of[np.searchsorted(offsets, start, "right") - 1], minlength=len(languages))
             yield pa.RecordBatch.from_arrays([pa.array(languages, pa.string()), pa.array(words)], ["lang", "words"])
 
     return texts.mapInArrow(count, "lang string, words bigint")
 
 
+def _in_parts(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in batches that are small also where they are read."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _lowered(support: int, words: int, n: int) -> int:
     """The support in proportion to a share of ``words`` in ``n``, rounded up; one where ``n`` is not known."""
     return max(1, -(-support * words // n)) if n else 1
@@ -180,9 +189,9 @@ def _reported(texts: DataFrame, totals: Broadcast, how: Phrases) -> DataFrame:
                 hashes = shard.phrase_hashes(length).view(np.int64)
                 hashes = np.where(hashes == 0, 1, hashes)
                 frequent = count >= support[language]
-                yield pa.RecordBatch.from_arrays(
+                yield from _in_parts(pa.RecordBatch.from_arrays(
                     [pa.array(number[language[frequent]]), pa.array(hashes[frequent]),
-                     pa.array((count - support[language] + 1)[frequent])], ["language", "hash", "excess"])
+                     pa.array((count - support[language] + 1)[frequent])], ["language", "hash", "excess"]))
 
     return texts.mapInArrow(report, "language int, hash bigint, excess bigint")
 
@@ -203,10 +212,10 @@ def _counted(texts: DataFrame, bits: Broadcast, how: Phrases) -> DataFrame:
                 if not len(hit):
                     continue
                 said = [words.take(pa.array(numbers[hit, j])) for j in range(length)]
-                yield pa.RecordBatch.from_arrays(
+                yield from _in_parts(pa.RecordBatch.from_arrays(
                     [names.take(pa.array(language[hit])), pa.array(np.full(len(hit), length, np.int32)),
                      pc.binary_join_element_wise(*said, " ") if length > 1 else said[0], pa.array(n[hit])],
-                    ["lang", "length", "phrase", "n"])
+                    ["lang", "length", "phrase", "n"]))
 
     return (
         texts.mapInArrow(count, "lang string, length int, phrase string, n bigint")
