@@ -45,7 +45,7 @@ class Phrases:
     support: int = 10
     top: int = 2000
     inside: int = 50
-    shard: int = 1 << 23
+    shard: int = 1 << 22
     languages: int = 10_000
     bits: int = 16
     filter_bytes: int = 1 << 25
