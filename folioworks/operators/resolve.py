@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import METADATA_FIELDS
-from folioworks.operators.rest import admit_responses
 
 
 def first_answer(sources: Sequence[tuple[str, Column]]) -> tuple[Column, Column]:
     """``(source, failure_class)`` from the kinds (``ok``, ``empty``, ``error``, ``cert``) of sources in their order.
 
-    A failed source lets the next one speak; the first that answers ends the search, also with an empty list. Without
-    pages the failure is ``certificate`` if certificates were all that failed on the way, and ``no_pages`` otherwise.
+    If the first source answers, that ends the search, also with an empty list. If it failed, the first of the others
+    that has pages supplies them. Without pages the failure is ``certificate`` if certificates were all that failed on
+    the way, and ``no_pages`` otherwise.
     """
     kinds = F.array(*(kind for _, kind in sources))
     names = F.array(*(F.lit(name) for name, _ in sources))
-    at = F.array_position(F.transform(kinds, lambda kind: kind.isin("error", "cert")), False).cast("int")
-    source = F.when((at > 0) & (F.get(kinds, at - 1) == "ok"), F.get(names, at - 1))
-    failed = F.when(at > 0, F.slice(kinds, F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(kinds)
-    certificate = F.array_contains(failed, "cert") & ~F.array_contains(failed, "error")
+    at = F.array_position(kinds, "ok").cast("int")
+    ended = F.get(kinds, F.lit(0)) == "empty"
+    source = F.when(~ended & (at > 0), F.get(names, at - 1))
+    certificate = ~ended & F.array_contains(kinds, "cert") & ~F.array_contains(kinds, "error")
     return source, F.when(source.isNull(), F.when(certificate, "certificate").otherwise("no_pages"))
 
 
@@ -73,55 +73,18 @@ def resolve_metadata(documents: DataFrame) -> DataFrame:
     return documents.select(*(c for c in documents.columns if c not in touched), *columns)
 
 
-def resolve_documents(
-    ids: DataFrame,
-    document_facts: DataFrame | None,
-    page_facts: DataFrame | None,
-    html_facts: DataFrame,
-    explicit: Sequence[str] | None = None,
-) -> DataFrame:
-    """One row per distinct ``document_id``: page source or failure, page count, final metadata.
-
-    Only scalars are joined: counts come from ``rest_page_count`` and ``dom_page_count``, and page lists stay where
-    they are until the documents that need them are known (``resolved_page_lists``). With an explicit list REST answers
-    play no part and may be None.
-    """
-    if explicit is not None:
-        nothing = {name: F.lit(None).cast("string") for f in METADATA_FIELDS for name in (f"{f}_kind", f)}
-        rest = ids.select("document_id").withColumns(
-            nothing | {"rest_status": F.lit(None).cast("string"), "rest_pages_kind": F.lit(None).cast("string"),
-                       "rest_page_count": F.lit(None).cast("int"), "maybe_truncated": F.lit(False)})
-    else:
-        rest = admit_responses(ids, document_facts, page_facts.drop("rest_pages"))
-    joined = rest.join(html_facts.drop("dom_pages"), "document_id", "left")
-    decided = resolve_metadata(resolve_pages(joined, explicit))
-    count = (
-        F.when(F.col("pages_source") == "rest", F.col("rest_page_count"))
-        .when(F.col("pages_source") == "dom", F.col("dom_page_count"))
-        .when(F.col("pages_source") == "explicit", F.lit(len(explicit or ())))
-    )
-    return decided.withColumn("page_count", count).drop(
-        "rest_pages_kind", "dom_kind", "rest_page_count", "dom_page_count")
-
-
 def resolved_page_lists(
-    documents: DataFrame,
-    page_facts: DataFrame | None,
-    html_facts: DataFrame | None,
-    explicit: Sequence[str] | None = None,
+    documents: DataFrame, lists: Mapping[str, DataFrame], explicit: Sequence[str] | None = None
 ) -> DataFrame:
     """Add ``page_ids`` (ordered array) from the source each document settled on.
 
-    ``documents`` needs ``document_id`` and ``pages_source``. An explicit list is one constant for all of them, and
-    needs no facts. Each source's lists meet only the documents that settled on it.
+    ``documents`` needs ``document_id`` and ``pages_source``; ``lists`` holds ``document_id, page_ids`` by source. An
+    explicit list is one constant for all of them, and needs no source. Each source's lists meet only the documents
+    that settled on it.
     """
     if explicit is not None:
         constant = F.array(*(F.lit(page) for page in explicit)) if explicit else F.array()
         return documents.withColumn("page_ids", constant.cast("array<string>"))
-    lists = {
-        "rest": page_facts.select("document_id", F.transform("rest_pages", lambda page: page["page_id"]).alias("page_ids")),
-        "dom": html_facts.select("document_id", F.col("dom_pages").alias("page_ids")),
-    }
     source = F.coalesce("pages_source", F.lit("none"))
     found = documents.filter(~source.isin(*lists)).withColumn("page_ids", F.lit(None).cast("array<string>"))
     for name, pages in lists.items():

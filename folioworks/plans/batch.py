@@ -15,8 +15,8 @@ from folioworks.operators.manifest import document_manifest
 from folioworks.operators.attempts import attempt_outcomes
 from folioworks.operators.options import effective_options, work_orders
 from folioworks.operators.output import dir_conflicts, output_dirs
-from folioworks.operators.resolve import needs_dom, resolve_documents, resolved_page_lists
-from folioworks.operators.rest import admit_responses, deciding, rest_metadata, rest_page_lists
+from folioworks.operators.resolve import resolved_page_lists
+from folioworks.operators.rest import deciding, rest_metadata, rest_page_lists
 from folioworks.operators.rollup import (
     document_outcomes,
     failed_documents,
@@ -24,20 +24,54 @@ from folioworks.operators.rollup import (
     library_order,
     run_summary,
 )
+from folioworks.operators.sources import Source, html_answers, resolve_sources, rest_answers, unsettled
 from folioworks.operators.urls import assign_library, document_ids, url_manifest
-from folioworks.session import drop_folder
+from folioworks.session import drop_folder, work_folder
 from folioworks.sources.landing import write_table
 
 
 @dataclass(frozen=True)
-class Landing:
-    """Input tables of a run; the shapes are in ``folioworks.sources.landing``."""
+class RestLanding:
+    """Landed answers of a catalogue."""
 
-    url_lines: DataFrame
     document_responses: DataFrame
     page_responses: DataFrame
-    html_pages: DataFrame
+    search: RestSearch = DEFAULT_REST
+    name: str = "rest"
+
+
+@dataclass(frozen=True)
+class HtmlLanding:
+    """Landed pages. What a browser could not load is an empty page to it; a plain request ``reports_failures``."""
+
+    pages: DataFrame
+    search: DomSearch = DEFAULT_DOM
+    name: str = "dom"
+    reports_failures: bool = False
+
+
+@dataclass(frozen=True)
+class Landing:
+    """Input tables of a run; the shapes are in ``folioworks.sources.landing``.
+
+    ``sources`` are asked in their order. Without any these are the catalogue's responses, then the pages a browser
+    got, with the searches of the run.
+    """
+
+    url_lines: DataFrame
+    document_responses: DataFrame | None = None
+    page_responses: DataFrame | None = None
+    html_pages: DataFrame | None = None
     existing_dirs: DataFrame | None = None
+    sources: Sequence[RestLanding | HtmlLanding] = ()
+
+
+@dataclass(frozen=True)
+class Facts:
+    """What one source has on the documents that need it."""
+
+    source: Source
+    pages: DataFrame | None
 
 
 @dataclass(frozen=True)
@@ -50,18 +84,13 @@ class Report:
     verdict: DataFrame
 
 
-def wants_html(ids: DataFrame, document_facts: DataFrame, page_facts: DataFrame) -> DataFrame:
-    """Ids of the documents whose REST answer leaves something open."""
-    scalars = page_facts.drop("rest_pages", "rest_page_count", "maybe_truncated")
-    return admit_responses(ids, document_facts, scalars).filter(needs_dom()).select("document_id")
-
-
 class ArchiveRun:
     """From URL lines and landed responses to documents, pages, download orders and the manifest.
 
-    Every step is a property. With ``work_dir``, a folder all executors share, the steps other steps build on are
-    written there when first asked for: bodies are parsed once however often their facts are read, joins further on
-    know real sizes, and a lost executor costs no replay. Without it everything stays one lazy plan.
+    Every step is a property. The steps other steps build on are written to ``work_dir`` when first asked for, a folder
+    all executors share: bodies are parsed once however often their facts are read, joins further on know real sizes,
+    and a lost executor costs no replay. Without ``work_dir`` it is a new folder in the one that
+    ``spark.checkpoint.dir`` names. ``close`` removes it.
     """
 
     def __init__(
@@ -80,12 +109,12 @@ class ArchiveRun:
         self.options = options
         self.written_at = written_at
         self.explicit_pages = explicit_pages
-        self.rest = rest
-        self.dom = dom
-        self.work_dir = work_dir
+        self.work_dir = work_dir or work_folder(landing.url_lines.sparkSession)
+        self.sources = tuple(landing.sources) or (
+            RestLanding(landing.document_responses, landing.page_responses, rest), HtmlLanding(landing.html_pages, dom))
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        return df if self.work_dir is None else write_table(df, f"{self.work_dir}/{name}")
+        return write_table(df, f"{self.work_dir}/{name}")
 
     @cached_property
     def urls(self) -> DataFrame:
@@ -108,30 +137,47 @@ class ArchiveRun:
         return self._stage(self.ids, "ids")
 
     @cached_property
-    def document_facts(self) -> DataFrame:
-        landed = self._landed(self.landing.document_responses, self._wanted)
-        return self._stage(rest_metadata(landed, self.rest), "document_facts")
-
-    @cached_property
-    def page_facts(self) -> DataFrame:
-        landed = self._landed(self.landing.page_responses, self._wanted)
-        counted = rest_page_lists(landed, self.rest).withColumn(
+    def facts(self) -> list[Facts]:
+        """Source by source; each is only read for documents that those before it leave something open of."""
+        found: list[Facts] = []
+        for k, landed in enumerate(self.sources):
+            wanted = self._wanted
+            known = [facts.source for facts in found]
+            if any(source.said is not None for source in known):
+                open_ = unsettled(self.ids, known, self.explicit_pages is not None)
+                wanted = self._stage(open_, f"wanted_{k}")
+            read = self._rest_facts if isinstance(landed, RestLanding) else self._html_facts
+            found.append(read(landed, wanted, f"_{k}" if k else ""))
+        return found
+
+    def _rest_facts(self, landed: RestLanding, wanted: DataFrame, suffix: str) -> Facts:
+        if self.explicit_pages is not None:
+            # Answers are only fetched with the page list, so there are none.
+            return Facts(Source(landed.name, None), None)
+        documents = rest_metadata(self._landed(landed.document_responses, wanted), landed.search)
+        pages = rest_page_lists(self._landed(landed.page_responses, wanted), landed.search).withColumn(
             "rest_page_count", F.coalesce(F.size("rest_pages"), F.lit(0)))
-        return self._stage(counted, "page_facts")
-
-    @cached_property
-    def html_facts(self) -> DataFrame:
-        wanted = self._wanted
-        if self.explicit_pages is None:
-            wanted = self._stage(wants_html(self.ids, self.document_facts, self.page_facts), "wanted_html")
-        found = dom_facts(self._landed(self.landing.html_pages, wanted), self.dom)
-        return self._stage(found.withColumn("dom_page_count", F.coalesce(F.size("dom_pages"), F.lit(0))), "html_facts")
+        documents = self._stage(documents, f"document_facts{suffix}")
+        pages = self._stage(pages, f"page_facts{suffix}")
+        lists = pages.select("document_id", F.transform("rest_pages", lambda page: page["page_id"]).alias("page_ids"))
+        return Facts(Source(landed.name, rest_answers(wanted, documents, pages), absent="error"), lists)
+
+    def _html_facts(self, landed: HtmlLanding, wanted: DataFrame, suffix: str) -> Facts:
+        found = dom_facts(self._landed(landed.pages, wanted), landed.search)
+        counted = found.withColumn("dom_page_count", F.coalesce(F.size("dom_pages"), F.lit(0)))
+        facts = self._stage(counted, f"html_facts{suffix}")
+        lists = facts.select("document_id", F.col("dom_pages").alias("page_ids"))
+        return Facts(Source(landed.name, html_answers(facts.drop("dom_pages"), landed.reports_failures)), lists)
 
     @cached_property
     def resolved(self) -> DataFrame:
+        return resolve_sources(self.ids, [facts.source for facts in self.facts], self.explicit_pages)
+
+    def with_page_lists(self, documents: DataFrame) -> DataFrame:
+        """Documents with the page list of the source each settled on."""
         if self.explicit_pages is not None:
-            return resolve_documents(self.ids, None, None, self.html_facts, self.explicit_pages)
-        return resolve_documents(self.ids, self.document_facts, self.page_facts, self.html_facts)
+            return resolved_page_lists(documents, {}, self.explicit_pages)
+        return resolved_page_lists(documents, {facts.source.name: facts.pages for facts in self.facts})
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -149,10 +195,7 @@ class ArchiveRun:
     @cached_property
     def granted(self) -> DataFrame:
         """Documents that got their folder, with their page lists."""
-        granted = self.documents.filter("dir_granted")
-        if self.explicit_pages is not None:
-            return resolved_page_lists(granted, None, None, self.explicit_pages)
-        return resolved_page_lists(granted, self.page_facts, self.html_facts)
+        return self.with_page_lists(self.documents.filter("dir_granted"))
 
     @property
     def pages(self) -> DataFrame:
@@ -168,8 +211,7 @@ class ArchiveRun:
 
     def close(self) -> None:
         """Remove the tables of the run. Its results must have been written before."""
-        if self.work_dir is not None:
-            drop_folder(self.landing.url_lines.sparkSession, self.work_dir)
+        drop_folder(self.landing.url_lines.sparkSession, self.work_dir)
 
     def report(self, attempts: DataFrame) -> Report:
         """From the attempt log to the failure list and the verdict."""

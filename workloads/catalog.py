@@ -21,7 +21,7 @@ from folioworks.operators import (
     rollup,
     urls,
 )
-from folioworks.plans.batch import ArchiveRun, Landing, Report
+from folioworks.plans.batch import ArchiveRun, HtmlLanding, Landing, Report, RestLanding
 from folioworks.session import tune, work_folder
 from folioworks.sources.landing import write_table
 from workloads import derived
@@ -136,13 +136,15 @@ def dom_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.select("document_id", *(f"dom_{name}" for name in METADATA_FIELDS))
 
 
-def _run(spark: SparkSession, sf_dir: str, urls_of=derived.doc_urls_with_copies, sites=(0, 1), explicit=None):
+def _run(spark: SparkSession, sf_dir: str, urls_of=derived.doc_urls_with_copies, sites=(0, 1), explicit=None, more=()):
     """The whole job over the derived inputs, its intermediate tables in a new work folder."""
     landing = Landing(
         url_lines=urls_of(spark, sf_dir).withColumnRenamed("url", "line"),
-        document_responses=derived.document_responses(spark, sf_dir),
-        page_responses=derived.page_responses(spark, sf_dir),
-        html_pages=derived.never_landed(derived.html_pages(spark, sf_dir), spark, sf_dir),
+        sources=[
+            RestLanding(derived.document_responses(spark, sf_dir), derived.page_responses(spark, sf_dir)),
+            HtmlLanding(derived.never_landed(derived.html_pages(spark, sf_dir), spark, sf_dir)),
+            *more,
+        ],
         existing_dirs=derived.existing_dirs(spark, sf_dir),
     )
     return ArchiveRun(
@@ -155,9 +157,9 @@ def _run(spark: SparkSession, sf_dir: str, urls_of=derived.doc_urls_with_copies,
     )
 
 
-def _resolution(spark: SparkSession, sf_dir: str, explicit=None) -> ArchiveRun:
+def _resolution(spark: SparkSession, sf_dir: str, explicit=None, more=()) -> ArchiveRun:
     """Every site registered, no URL twice."""
-    return _run(spark, sf_dir, derived.doc_urls, (0, 1, 2), explicit)
+    return _run(spark, sf_dir, derived.doc_urls, (0, 1, 2), explicit, more)
 
 
 def resolve_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,7 +192,7 @@ def resolve_pages_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resolved_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _resolution(spark, sf_dir)
     settled = run.resolved.filter(F.col("pages_source").isNotNull()).select("document_id", "pages_source")
-    return _pages_exploded(resolve.resolved_page_lists(settled, run.page_facts, run.html_facts), "page_ids")
+    return _pages_exploded(run.with_page_lists(settled), "page_ids")
 
 
 def resolve_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,6 +201,27 @@ def resolve_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled.select("document_id", *METADATA_FIELDS, "title_source", "part_subtitle_source")
 
 
+def _three_sources(spark: SparkSession, sf_dir: str) -> ArchiveRun:
+    """With the same pages fetched by plain requests as a third source, whose failures show."""
+    plain = HtmlLanding(derived.plain_pages(spark, sf_dir), name="plain", reports_failures=True)
+    return _resolution(spark, sf_dir, more=(plain,))
+
+
+def resolve_metadata_three_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and texts of every document from three sources, with the one each came from."""
+    return _three_sources(spark, sf_dir).resolved.select(
+        "document_id", "pages_source", "failure_class", F.col("page_count").cast("bigint").alias("page_count"),
+        *(F.when(F.col("pages_source").isNotNull(), F.col(c)).alias(c)
+          for name in METADATA_FIELDS for c in (name, f"{name}_source")))
+
+
+def three_source_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the documents that settled on the third source."""
+    run = _three_sources(spark, sf_dir)
+    settled = run.resolved.filter("pages_source = 'plain'").select("document_id", "pages_source")
+    return _pages_exploded(run.with_page_lists(settled), "page_ids")
+
+
 def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).documents.select(
         "doc_key",
@@ -219,7 +242,7 @@ def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All accepted documents, copies included, with their page lists."""
     run = _run(spark, sf_dir)
     accepted = document_jobs.accepted(run.labelled)
-    return resolve.resolved_page_lists(accepted, run.page_facts, run.html_facts)
+    return run.with_page_lists(accepted)
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +397,8 @@ _QUERIES = (
     resolve_pages_explicit,
     resolved_page_rows,
     resolve_metadata,
+    resolve_metadata_three_sources,
+    three_source_page_rows,
     assemble_documents,
     preprocess_failures,
     page_table,

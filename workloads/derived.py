@@ -237,6 +237,24 @@ def third_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(document_id(key).alias("document_id"), kind.alias("third_kind"))
 
 
+def plain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents fetched once more by plain requests: good ones, empty ones, and both kinds of failures."""
+    key = F.col("o_orderkey")
+    page = lambda n: F.concat(F.lit('<div id="page-id-'), document_id(F.concat_ws("-", key.cast("string"), F.lit(n))), F.lit('"></div>'))
+    html = F.concat(
+        F.lit('<html><body><app-root><main class="app-wrapper"><app-book><div class="app-book-wrapper">'
+              '<app-metadata class="app-book-metadata"><div><div class="app-metadata-content"><h1>plain '),
+        key.cast("string"), F.lit("</h1>"),
+        F.when(key % 3 == 0, F.concat(F.lit("<h2>"), F.col("o_orderpriority"), F.lit("</h2>"))).otherwise(""),
+        F.lit("</div></div></app-metadata>"), page("1"), page("2"), page("1"), F.lit("</div></app-book></main></app-root></body></html>"))
+    return table(spark, sf_dir, "orders").select(
+        document_id(key).alias("document_id"),
+        F.when(key % 8 == 5, 404).otherwise(200).alias("status"),
+        F.when(key % 4 == 2, "cert").when(key % 4 == 3, "refused").alias("error_class"),
+        F.when(key % 8 != 1, html).otherwise("<p>nothing here</p>").alias("html"),
+    )
+
+
 def never_landed(pages: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` without those of some orders, whose HTML was never fetched."""
     missing = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 5 == 2)

@@ -76,6 +76,43 @@ page_rows AS (
   UNION ALL
   SELECT k, page_id, page_index FROM dom_rows JOIN resolved USING (k) WHERE pages_source = 'dom')"""
 
+_FIELDS = ("title", "subtitle", "part_title", "part_subtitle")
+
+
+def _next_source(question: int) -> str:
+    """The number of the source the search is with after a question (0: none), and what it said."""
+    r, d, t = (f"{x}{question}" for x in "rdt")
+    return f"""CASE WHEN a{question - 1} = 1 AND {r} IN ('ok', 'empty') THEN 1
+      WHEN a{question - 1} = 2 AND {d} IN ('ok', 'empty') THEN 2 WHEN a{question - 1} = 3 AND {t} IN ('ok', 'empty') THEN 3
+      WHEN {r} = 'ok' THEN 1 WHEN {d} = 'ok' THEN 2 WHEN {t} IN ('ok', 'empty') THEN 3 ELSE 0 END AS a{question},
+    CASE a{question} WHEN 1 THEN rv{question} WHEN 2 THEN dv{question} WHEN 3 THEN tv{question} ELSE '' END AS v{question}"""
+
+
+# A third source that shows its failures: kinds r, d, t and values of the three by question, pages first.
+_THREE = """
+said AS (
+  SELECT *, rest AS r0, dom_kind AS d0, CASE k % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' WHEN 2 THEN 'cert' ELSE 'error' END AS t0,
+    '' AS dom_part_subtitle, rest_title AS rv1, rest_subtitle AS rv2, rest_title AS rv3, rest_subtitle AS rv4,
+    dom_title AS dv1, dom_subtitle AS dv2, dom_part_title AS dv3, dom_part_subtitle AS dv4,
+    CASE WHEN k % 4 = 0 THEN concat('plain ', CAST(k AS VARCHAR)) ELSE '' END AS tv1,
+    CASE WHEN k % 12 = 0 THEN priority ELSE '' END AS tv2, '' AS tv3, '' AS tv4
+  FROM texts WHERE k < 1000000000000 AND k % 13 <> 0),
+kinds AS (
+  SELECT *, """ + ",\n    ".join(
+    f"CASE WHEN rest_status <> 'ok' THEN rest_status {'WHEN kind = 2 THEN ' + chr(39) + 'error' + chr(39) if q % 2 else ''} "
+    f"WHEN rv{q} = '' THEN 'empty' ELSE 'ok' END AS r{q}, CASE WHEN dv{q} = '' THEN 'empty' ELSE 'ok' END AS d{q}, "
+    f"CASE WHEN t0 IN ('cert', 'error') THEN t0 WHEN tv{q} = '' THEN 'empty' ELSE 'ok' END AS t{q}" for q in (1, 2, 3, 4)) + """
+  FROM said),
+settled AS (
+  SELECT document_id, k, CASE WHEN r0 IN ('ok', 'empty') THEN 1 WHEN d0 = 'ok' THEN 2 WHEN t0 IN ('ok', 'empty') THEN 3 ELSE 0 END AS a0,
+    CASE WHEN r0 IN ('ok', 'empty') THEN CASE r0 WHEN 'ok' THEN 'rest' END WHEN d0 = 'ok' THEN 'dom' WHEN t0 = 'ok' THEN 'plain' END
+      AS settled_on,
+    CASE WHEN settled_on IS NULL THEN CASE WHEN r0 <> 'empty' AND 'cert' IN (r0, d0, t0) AND 'error' NOT IN (r0, d0, t0)
+      THEN 'certificate' ELSE 'no_pages' END END AS failed,
+    CASE settled_on WHEN 'rest' THEN rest_count WHEN 'dom' THEN dom_count WHEN 'plain' THEN 2 END AS counted,
+    """ + ",\n    ".join(map(_next_source, (1, 2, 3, 4))) + """
+  FROM kinds)"""
+
 # URLs, with or without the copies, and what became of them.
 _URLS = """
 base_urls AS (
@@ -259,13 +296,21 @@ ORACLES: dict[str, str] = {
     "WHERE k < 1000000000000 AND k % 13 <> 0",
     "resolve_three_sources": _with(_FACTS) + """SELECT document_id, pages_source, failure_class FROM (SELECT document_id,
       CASE WHEN rest IN ('ok', 'empty') THEN nullif(rest, 'empty')
-        WHEN dom IN ('ok', 'empty') THEN CASE dom WHEN 'ok' THEN 'dom' END WHEN third = 'ok' THEN 'third' END AS found,
+        WHEN dom = 'ok' THEN 'dom' WHEN third = 'ok' THEN 'third' END AS found,
       CASE found WHEN 'ok' THEN 'rest' ELSE found END AS pages_source,
-      CASE WHEN found IS NOT NULL THEN NULL WHEN rest <> 'cert' THEN 'no_pages' WHEN dom = 'empty' THEN 'certificate'
-        WHEN dom = 'cert' AND third IN ('empty', 'cert') THEN 'certificate' ELSE 'no_pages' END AS failure_class
+      CASE WHEN found IS NOT NULL THEN NULL WHEN rest = 'empty' THEN 'no_pages'
+        WHEN 'error' IN (rest, dom, third) THEN 'no_pages' ELSE 'certificate' END AS failure_class
     FROM (SELECT *, CASE WHEN landed THEN page_kind ELSE 'error' END AS dom,
       CASE k % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'empty' WHEN 2 THEN 'cert' ELSE 'error' END AS third FROM pages_decided)
     WHERE k < 1000000000000 AND k % 13 <> 0)""",
+    "resolve_metadata_three_sources": _with(_FACTS, _THREE) + """
+      SELECT document_id, settled_on AS pages_source, failed AS failure_class, counted AS page_count, """ + ", ".join(
+        f"CASE WHEN settled_on IS NOT NULL THEN v{i} END AS {name}, CASE WHEN settled_on IS NOT NULL AND a{i} > 0 "
+        f"THEN ['rest', 'dom', 'plain'][a{i}] END AS {name}_source" for i, name in enumerate(_FIELDS, 1))
+    + " FROM settled",
+    "three_source_page_rows": _with(_FACTS, _THREE) + """
+      SELECT document_id, n AS page_index, concat('uuid:', md5(concat(CAST(k AS VARCHAR), '-', CAST(n AS VARCHAR)))) AS page_id
+      FROM settled, (VALUES (1), (2)) AS pages(n) WHERE settled_on = 'plain'""",
     "resolve_pages_explicit": _with(_FACTS) + "SELECT document_id, 'explicit' AS pages_source, "
     "CAST(NULL AS VARCHAR) AS failure_class, CAST(3 AS BIGINT) AS page_count, dom_title AS title FROM texts "
     "WHERE k < 1000000000000 AND k % 13 <> 0",
