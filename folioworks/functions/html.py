@@ -1,6 +1,9 @@
 """Reads from landed HTML that need not be well formed.
 
-A page is cut into tags and stretches of text once, by one pattern; elements are found by walking the tags. All loops in the patterns are possessive: they run in constant stack on attributes and elements of any length.
+A page is cut into tags and stretches of text once, by one pattern. Elements are found by one walk over the tags that
+keeps the depth; they are intervals of the token list in page order, so what they hold, and what is left outside them,
+is sliced out and no token is held against every element. All loops in the patterns are possessive: they run in
+constant stack on attributes and elements of any length.
 """
 
 from __future__ import annotations
@@ -74,46 +77,83 @@ def tokens(html: Column, tags: Sequence[str]) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(cut), F.lit(0)), token)
 
 
+_OPEN_END = (1 << 31) - 1
+_BLOCK = 128
+
+
+def _in_blocks(tags: Column) -> Column:
+    """A list cut into lists of ``_BLOCK``."""
+    count = F.floor((F.size(tags) - 1) / _BLOCK).cast("int")
+    return F.when(F.size(tags) <= _BLOCK, F.array(tags)).otherwise(
+        F.transform(F.sequence(F.lit(0), count), lambda b: F.slice(tags, b * _BLOCK + 1, F.lit(_BLOCK))))
+
+
+def _depths(blocks: Column) -> Column:
+    """The depth before each block. What a block does to a depth d is max(d + by, least), an end without start being
+    passed over."""
+    moved = lambda by, least: F.struct(by.alias("by"), least.alias("least")).cast("struct<by:int,least:int>")
+    effects = F.transform(blocks, lambda block: F.aggregate(
+        block, moved(F.lit(0), F.lit(0)),
+        lambda f, token: F.when(token["tag"] > 0, moved(f["by"] + 1, f["least"] + 1)).otherwise(
+            moved(f["by"] - 1, F.greatest(f["least"] - 1, F.lit(0))))))
+    state = "struct<depth:int,before:array<int>>"
+    start = F.struct(F.lit(0).alias("depth"), F.array().alias("before")).cast(state)
+    walked = F.aggregate(
+        effects, start,
+        lambda now, f: F.struct(F.greatest(now["depth"] + f["by"], f["least"]).alias("depth"),
+                                F.concat(now["before"], F.array(now["depth"])).alias("before")).cast(state),
+        lambda now: now["before"])
+    return F.when(F.size(blocks) == 1, F.array(F.lit(0))).otherwise(walked)
+
+
 def _elements(scope: Column, tag: int, wanted: Callable[[Column], Column], closed: bool) -> Column:
     """``(start, end)`` of the outermost elements of a tag: where their start and end tags stand.
 
-    One walk over the tags of that name keeps the depth; an element counts when the depth is back at nothing. An
+    A walk over the tags of that name keeps the depth and notes where it leaves nothing and where it is back. Every
+    step of a fold copies what it has gathered, so the walk goes block by block, each from the depth before it. An
     element that is never closed has no end, or does not count if only ``closed`` ones do.
     """
-    tags = F.filter(scope, lambda token: F.abs(token["tag"]) == tag)
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    state = "struct<depth:int,turns:array<struct<at:int,want:boolean>>>"
 
-    def state(depth: Column, start: Column, want: Column, spans: Column) -> Column:
-        return F.struct(depth.cast("int").alias("depth"), start.cast("int").alias("start"), want.alias("want"),
-                        spans.alias("spans"))
-
-    def span(start: Column, end: Column) -> Column:
-        return F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
+    def now_at(depth: Column, turns: Column) -> Column:
+        return F.struct(depth.alias("depth"), turns.alias("turns")).cast(state)
 
     def walk(now: Column, token: Column) -> Column:
-        opens, depth = token["tag"] > 0, now["depth"]
-        ended = F.when(now["want"], F.concat(now["spans"], span(now["start"], token["at"]))).otherwise(now["spans"])
+        opens, depth, turns = token["tag"] > 0, now["depth"], now["turns"]
+        turn = lambda want: F.concat(turns, F.array(F.struct(token["at"].alias("at"), want.alias("want"))))
         return (
-            F.when(opens & (depth == 0), state(F.lit(1), token["at"], wanted(token["raw"]), now["spans"]))
-            .when(opens, state(depth + 1, now["start"], now["want"], now["spans"]))
-            .when(depth == 1, state(F.lit(0), F.lit(0), F.lit(False), ended))
-            .when(depth > 1, state(depth - 1, now["start"], now["want"], now["spans"]))
+            F.when(opens & (depth == 0), now_at(F.lit(1), turn(wanted(token["raw"]))))
+            .when(opens, now_at(depth + 1, turns))
+            .when(depth > 1, now_at(depth - 1, turns))
+            .when(depth == 1, now_at(F.lit(0), turn(F.lit(False))))
             .otherwise(now)
         )
 
-    def finish(now: Column) -> Column:
-        if closed:
-            return now["spans"]
-        open_ = F.concat(now["spans"], span(now["start"], F.lit((1 << 31) - 1)))
-        return F.when((now["depth"] > 0) & now["want"], open_).otherwise(now["spans"])
+    def turns_of(blocks: Column) -> Column:
+        return F.flatten(F.zip_with(blocks, _depths(blocks), lambda block, depth: F.aggregate(
+            block, now_at(depth, F.array()), walk, lambda end: end["turns"])))
+
+    def paired(turns: Column) -> Column:
+        end = lambda i: F.coalesce(F.get(turns, i + 1)["at"], F.lit(_OPEN_END))
+        spans = F.transform(turns, lambda turn, i: F.struct(
+            turn["at"].alias("start"), end(i).alias("end"), ((i % 2 == 0) & turn["want"]).alias("picked")))
+        return F.filter(spans, lambda s: s["picked"] & (s["end"] != _OPEN_END) if closed else s["picked"])
+
+    tags = F.filter(scope, lambda token: F.abs(token["tag"]) == tag)
+    return let(let(let(tags, _in_blocks), turns_of), paired)
+
 
-    return F.aggregate(tags, state(F.lit(0), F.lit(0), F.lit(False), empty), walk, finish)
+def _between(scope: Column, first: Column, end: Column) -> Column:
+    """Tokens of ``scope`` from place ``first`` until before ``end``, both counted as ``at`` does."""
+    base = F.get(scope, F.lit(0))["at"]
+    stop = F.least(end, base + F.size(scope))
+    return F.slice(scope, first - base + 1, F.greatest(stop - first, F.lit(0)))
 
 
 def contents(scopes: Column, step: Step, tags: Sequence[str]) -> Column:
     """Contents of the elements ``step`` picks in each of the given pieces of a page, in page order.
 
-    Pieces are token lists made by :func:`tokens` with the same ``tags``.
+    Pieces are token lists made by :func:`tokens` with the same ``tags``, whose places follow one another.
     """
     if step.class_part is not None and step.nth is not None:
         raise ValueError("a step picks by class or by place, not both")
@@ -122,9 +162,16 @@ def contents(scopes: Column, step: Step, tags: Sequence[str]) -> Column:
         return F.lit(True) if step.class_part is None else raw.rlike(f"(?is)^{_opening(step.tag, step.class_part)}")
 
     def without(scope: Column, tag: str) -> Column:
+        base = F.get(scope, F.lit(0))["at"]
+
         def kept(spans: Column) -> Column:
-            outside = lambda token: ~F.exists(spans, lambda s: token["at"].between(s["start"], s["end"]))
-            return F.when(F.size(spans) == 0, scope).otherwise(F.filter(scope, outside))
+            # What stands before the first element, between two, and behind the last, numbered anew.
+            first = lambda i: F.coalesce(F.get(spans, i - 1)["end"] + 1, base)
+            end = lambda i: F.coalesce(F.get(spans, i)["start"], F.lit(_OPEN_END))
+            outside = F.flatten(F.transform(
+                F.sequence(F.lit(0), F.size(spans)), lambda i: _between(scope, first(i), end(i))))
+            numbered = F.transform(outside, lambda t, i: F.struct(t["raw"].alias("raw"), t["tag"].alias("tag"), i.alias("at")))
+            return F.when(F.size(spans) == 0, scope).otherwise(numbered)
 
         return let(_elements(scope, tags.index(tag) + 1, lambda raw: F.lit(True), closed=True), kept)
 
@@ -133,8 +180,7 @@ def contents(scopes: Column, step: Step, tags: Sequence[str]) -> Column:
             return let(without(scope, outside[0]), lambda rest: left(rest, outside[1:]))
         spans = _elements(scope, tags.index(step.tag) + 1, wanted, closed=False)
         picked = spans if step.nth is None else F.slice(spans, step.nth, 1)
-        return F.transform(
-            picked, lambda s: F.filter(scope, lambda t: (t["at"] > s["start"]) & (t["at"] < s["end"])))
+        return F.transform(picked, lambda s: _between(scope, s["start"] + 1, s["end"]))
 
     return F.flatten(F.transform(scopes, lambda scope: left(scope, step.outside)))
 

@@ -11,6 +11,9 @@ from folioworks.functions.binding import computed_once
 from folioworks.functions.html import attribute, contents, start_tags, text_of, tokens, without_noise
 
 
+_STEPS = 3  # of a walk in one expression
+
+
 def page_ids(html: Column, tag: str, attribute_name: str, pattern: str) -> Column:
     """Ordered distinct group-1 matches of ``pattern`` in one attribute of all ``tag`` elements."""
     values = F.transform(start_tags(html, tag), lambda attributes: attribute(attributes, attribute_name))
@@ -32,14 +35,29 @@ def _with_texts(pages: DataFrame, selectors: Mapping[str, Sequence[Step]]) -> Da
     names = {(): "_at_"}
     for start in sorted(shared, key=len):
         at = max((known for known in names if start[: len(known)] == known), key=len)
+        walked, last, rest = _advanced(walked, names[at], start[len(at) :], tags)
         names[start] = f"_at_{len(names)}"
-        walked = computed_once(walked, **{names[start]: _walk(F.col(names[at]), start[len(at) :], tags)})
-
-    def text(steps: tuple[Step, ...]) -> Column:
+        walked = computed_once(walked, **{names[start]: _walk(F.col(last), rest, tags)})
+    texts = {}
+    for steps, name in paths.items():
         at = max((known for known in names if steps[: len(known)] == known), key=len)
-        return F.coalesce(text_of(_walk(F.col(names[at]), steps[len(at) :], tags)), F.lit(""))
+        walked, last, rest = _advanced(walked, names[at], steps[len(at) :], tags)
+        texts[name] = F.coalesce(text_of(_walk(F.col(last), rest, tags)), F.lit(""))
+    return walked.select(*pages.columns, *(texts[paths[tuple(steps)]].alias(name) for name, steps in selectors.items()))
 
-    return walked.select(*pages.columns, *(text(tuple(steps)).alias(name) for name, steps in selectors.items()))
+
+def _advanced(
+    walked: DataFrame, at: str, steps: Sequence[Step], tags: Sequence[str]
+) -> tuple[DataFrame, str, Sequence[Step]]:
+    """``walked`` with what all but the last steps from column ``at`` reach, its name, and the steps that are left.
+
+    A projection for every few steps: the analyzer resolves an expression level by level, and only so many levels.
+    """
+    while len(steps) > _STEPS:
+        reached = f"_at_step_{len(walked.columns)}"
+        walked = walked.withColumn(reached, _walk(F.col(at), steps[:_STEPS], tags))
+        at, steps = reached, steps[_STEPS:]
+    return walked, at, steps
 
 
 def _walk(scopes: Column, steps: Sequence[Step], tags: Sequence[str]) -> Column:

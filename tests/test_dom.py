@@ -1,3 +1,6 @@
+import random
+import re
+import time
 from html.parser import HTMLParser
 
 import pytest
@@ -94,6 +97,51 @@ def test_any_depth_ends_where_it_should(spark, depth):
     assert dom_text(_html(spark, part), {"t": (Step("div"), Step("h1", outside=("div",)))}).first().t == "yes"
 
 
+def test_walks_in_blocks_are_walks(spark):
+    """Random tags, many blocks long: outermost elements by a depth counter."""
+    r = random.Random(8)
+    pages, steps = [], {"all": (Step("div"),), "some": (Step("div", "k"),), "third": (Step("div", nth=3),), "rest": (Step("body"), Step("p", outside=("div",)))}
+    want = []
+    for n in [0, 1, 2, 63, 127, 128, 129, 256, 257, 700, 2000] * 2:
+        tokens = [r.choice(["<div>", "<div class='k'>", "</div>", "</div>"]) for _ in range(n)]
+        body = "".join(f"{t}{i}" for i, t in enumerate(tokens))
+        pages.append(f"<body><p>{body}</p></body>")
+        depth, spans, outside, start = 0, [], [], None
+        for i, t in enumerate(tokens):
+            if t != "</div>":
+                if depth == 0:
+                    start = i
+                depth += 1
+            elif depth:
+                depth -= 1
+                if depth == 0:
+                    spans.append((start, i))
+        closed = list(spans)
+        if depth:
+            spans.append((start, len(tokens)))
+        inside = lambda a, b: " ".join(str(i) for i in range(a, b))
+        # What is taken out leaves its neighbours side by side.
+        covered, ends = {i for a, b in closed for i in range(a, b)}, {b for _, b in closed}
+        rest = "".join((t if i not in ends else "") + str(i) for i, t in enumerate(tokens) if i not in covered)
+        outside = " ".join(filter(None, re.split("<[^>]*>", rest)))
+        texts = [inside(*s) for s in spans]
+        want.append((" ".join(texts), " ".join(x for s, x in zip(spans, texts) if "k" in tokens[s[0]]), texts[2] if len(texts) > 2 else "", outside))
+    found = {x.document_id: (x["all"], x.some, x.third, x.rest) for x in dom_text(_html(spark, *pages), steps).collect()}
+    assert [found[str(i)] for i in range(len(pages))] == want
+
+
+def test_siblings_cost_what_they_are(spark):
+    """Eight times the elements take at most ten times as long, sixteen times less than thirty."""
+    steps = {"t": (Step("article"), Step("h1"))}
+    took = {}
+    for n in (500, 2000, 2000, 16000, 32000):
+        pages = _html(spark, *(["<article><h1>x</h1></article>" * n] * 2)).repartition(1)
+        started = time.perf_counter()
+        assert dom_text(pages, steps).first().t == " ".join("x" * n)
+        took[n] = time.perf_counter() - started
+    assert took[16000] < 10 * took[2000] and took[32000] < 30 * took[2000]
+
+
 def test_what_opens_first_is_the_noise(spark):
     page = (
         '<div id="page-id-uuid:a"></div><script>var x = "<!--";</script><div id="page-id-uuid:b"></div>'

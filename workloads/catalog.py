@@ -131,6 +131,12 @@ def dom_text_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dom.dom_text(derived.deep_pages(spark, sf_dir), HEADLINE)
 
 
+def dom_text_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headlines of pages with up to thousands of articles, and what their articles hold besides paragraphs."""
+    bare = {"bare": (Step("article", outside=("p",)),)}
+    return dom.dom_text(derived.wide_pages(spark, sf_dir), HEADLINE | bare)
+
+
 def dom_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = dom.dom_facts(derived.html_pages(spark, sf_dir))
     return facts.select("document_id", *(f"dom_{name}" for name in METADATA_FIELDS))
@@ -391,6 +397,7 @@ _QUERIES = (
     dom_kinds,
     dom_text,
     dom_text_deep,
+    dom_text_wide,
     dom_metadata,
     resolve_pages,
     resolve_three_sources,

@@ -289,6 +289,16 @@ def deep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit("</h1></article><h1>outside</h1>")))
 
 
+def wide_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many articles side by side as the row number, to thousands, their headlines behind a paragraph."""
+    pages = web_pages(spark, sf_dir)
+    count = (F.col("document_id") % 3000).cast("int")
+    articles = F.transform(F.sequence(F.lit(0), count), lambda i: F.concat(
+        F.lit("<article><p>x</p>"), F.when(i % 7 == 0, F.concat(F.lit("<h1>"), i.cast("string"), F.lit("</h1>"))).otherwise(""),
+        F.lit("</article>")))
+    return pages.withColumn("html", F.concat(F.lit("<h1>outside</h1>"), F.array_join(articles, "\n")))
+
+
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given web pages as landed HTML."""
     return table(spark, sf_dir, "pages").select(

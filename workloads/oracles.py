@@ -289,6 +289,9 @@ ORACLES: dict[str, str] = {
       '&amp(;|\b)', '&', 'g')) AS headline
     FROM cleaned""",
     "dom_text_deep": "SELECT page_id AS document_id, concat('deep ', CAST(page_id AS VARCHAR)) AS headline FROM pages",
+    "dom_text_wide": "SELECT page_id AS document_id, coalesce(array_to_string(list_transform(list_filter(range(0, page_id % 3000 + 1), "
+    "lambda i: i % 7 = 0), lambda i: CAST(i AS VARCHAR)), ' '), '') AS headline, coalesce(array_to_string(list_transform(list_filter("
+    "range(0, page_id % 3000 + 1), lambda i: i % 7 = 0), lambda i: CAST(i AS VARCHAR)), ' '), '') AS bare FROM pages",
     "dom_metadata": _with(_FACTS) + "SELECT document_id, CASE WHEN page_loaded THEN concat(c_name, ' & more') ELSE '' END "
     "AS dom_title, CASE WHEN page_loaded THEN priority ELSE '' END AS dom_subtitle, CASE WHEN page_loaded AND k % 2 = 0 "
     "THEN concat('part ', CAST(k AS VARCHAR)) ELSE '' END AS dom_part_title, '' AS dom_part_subtitle FROM facts",
