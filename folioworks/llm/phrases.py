@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from folioworks.llm.bloom import BLOCK_BYTES, block_of, collected, holds, marked
-from folioworks.llm.common import for_workers, staged
+from folioworks.llm.common import for_workers, partitions, staged
 from folioworks.llm.tokens import mix, pieces, strong_hashes
 
 UNKNOWN = "und"
@@ -45,7 +45,7 @@ class Phrases:
     support: int = 10
     top: int = 2000
     inside: int = 50
-    shard: int = 1 << 22
+    shard: int = 1 << 21
     languages: int = 10_000
     bits: int = 16
     filter_bytes: int = 1 << 25
@@ -242,7 +242,14 @@ def frequent_phrases(docs: DataFrame, how: Phrases = Phrases(), text_column: str
     numbers = {r["lang"]: (i, r["n"]) for i, r in enumerate(hides)}
     hidden = {i: r["hidden"] for i, r in enumerate(hides)}
     known = spark.sparkContext.broadcast(numbers)
-    reports = _reported(texts, known, how).groupBy("language", "hash").agg(F.sum("excess").alias("excess"))
+    # Shards have counted already, so nothing is gained by counting again before the shuffle; every task gets about a
+    # million words' reports.
+    words = totals.agg(F.sum("n")).first()[0] or 0
+    tasks = max(partitions(spark), words // 1_000_000 + 1)
+    reports = (
+        _reported(texts, known, how).repartition(tasks, "language", "hash")
+        .groupBy("language", "hash").agg(F.sum("excess").alias("excess"))
+    )
     while True:
         most = spark.createDataFrame(list(hidden.items()), "language int, hidden bigint")
         found = staged(
