@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from folioworks.config import DEFAULT_DOM, METADATA_FIELDS, DomSearch, Step
 from folioworks.functions.binding import computed_once
 from folioworks.functions.html import attribute, contents, start_tags, text_of, tokens, without_noise
-
+from folioworks.operators.rest import LANDED
 
 _STEPS = 3  # of a walk in one expression
 
@@ -81,7 +81,8 @@ def _shared_starts(paths: Sequence[tuple[Step, ...]]) -> set[tuple[Step, ...]]:
 def _loaded(pages: DataFrame) -> DataFrame:
     """Cleaned HTML of pages that loaded; NULL for the others. An HTTP error is an empty page."""
     loaded = F.col("error_class").isNull() & (F.coalesce("status", F.lit(0)) < 400)
-    return pages.select("document_id", "error_class", F.when(loaded, without_noise(F.col("html"))).alias("_html"))
+    carried = [c for c in (LANDED,) if c in pages.columns]
+    return pages.select("document_id", *carried, "error_class", F.when(loaded, without_noise(F.col("html"))).alias("_html"))
 
 
 def dom_facts(pages: DataFrame, search: DomSearch = DEFAULT_DOM, fields: Sequence[str] = METADATA_FIELDS) -> DataFrame:
@@ -101,6 +102,7 @@ def dom_facts(pages: DataFrame, search: DomSearch = DEFAULT_DOM, fields: Sequenc
     found = computed_once(texts, _found=F.coalesce(found, F.array().cast("array<string>")))
     return found.select(
         "document_id",
+        *(c for c in (LANDED,) if c in found.columns),
         kind.alias("dom_kind"),
         F.when(F.col("error_class").isNull(), F.col("_found")).alias("dom_pages"),
         *(f"dom_{name}" for name in fields),

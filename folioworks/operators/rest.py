@@ -1,10 +1,13 @@
 """Landed JSON responses: admission, metadata, ordered page lists.
 
-Bodies are parsed where they are scanned and only the extracted values travel on, so no join ever moves a body.
+Bodies are parsed where they are scanned and only the extracted values travel on, so no join ever moves a body. A
+column ``LANDED``, by which attempts are told apart, is passed on beside the values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import DEFAULT_REST, METADATA_FIELDS, RestSearch
@@ -26,24 +29,56 @@ def request_state(status: Column, error_class: Column) -> Column:
     )
 
 
-def deciding(responses: DataFrame) -> DataFrame:
-    """One landed row per document: the last attempt; of rows of one attempt, the largest by status and content.
+LANDED = "_landed"
 
-    Ids with several rows are found from narrow columns; all other rows pass untouched, and only the bodies of
-    repeated ids are moved. Rows without an attempt number come before all others.
-    """
-    if "attempt" not in responses.columns:
-        return responses
-    several = (
+
+def _repeated(responses: DataFrame) -> DataFrame:
+    """Ids with several rows, from that narrow column alone."""
+    return (
         responses.groupBy("document_id").agg(F.count(F.lit(1)).alias("_rows"))
         .filter("_rows > 1").select(F.col("document_id").alias("_repeated"))
     )
-    columns = [c for c in responses.columns if c != "attempt"]
-    many = responses.join(several, F.col("document_id").eqNullSafe(F.col("_repeated")), "left_semi")
-    last = many.groupBy("document_id").agg(
-        F.max(F.struct("attempt", *(c for c in columns if c != "document_id"))).alias("_last"))
-    single = responses.join(several, F.col("document_id").eqNullSafe(F.col("_repeated")), "left_anti")
-    return single.select(columns).unionByName(last.select("document_id", "_last.*").select(columns))
+
+
+def _last(rows: DataFrame, several: DataFrame, order: Column) -> DataFrame:
+    """One row per document, the largest by ``order``; rows of ids that are not repeated pass untouched."""
+    same = F.col("document_id").eqNullSafe(F.col("_repeated"))
+    columns = [F.col(c) for c in rows.columns if c != "document_id"]
+    last = rows.join(several, same, "left_semi").groupBy("document_id").agg(
+        F.max_by(F.struct(*columns), order).alias("_last"))
+    single = rows.join(several, same, "left_anti")
+    return single.unionByName(last.select("document_id", "_last.*"))
+
+
+def deciding(responses: DataFrame) -> DataFrame:
+    """One landed row per document: the last attempt; of rows of one attempt, the largest by status and content. Rows
+    without an attempt number come before all others. For whole bodies; :func:`decided_facts` leaves those in place."""
+    if "attempt" not in responses.columns:
+        return responses
+    order = F.struct("attempt", *(c for c in responses.columns if c not in ("document_id", "attempt")))
+    return _last(responses, _repeated(responses), order).drop("attempt")
+
+
+def decided_facts(
+    responses: DataFrame, read: Callable[[DataFrame], DataFrame], ids: DataFrame | None = None, few: bool = False
+) -> DataFrame:
+    """What ``read`` finds in the deciding response of each document, of ``ids`` only if given.
+
+    The last attempt decides; of rows of one attempt the largest by status and error, then by a hash of the content.
+    Responses are read where they are scanned and only what was found is moved, so no exchange carries a body. ``few``
+    ids, which the caller has measured, are broadcast first, and nothing else is read.
+    """
+    if ids is not None and few:
+        responses = responses.join(F.broadcast(ids), "document_id", "left_semi")
+    tried = "attempt" in responses.columns
+    several = _repeated(responses) if tried else None
+    if tried:
+        content = F.xxhash64(*(c for c in responses.columns if c in ("body", "html")))
+        responses = responses.withColumn(LANDED, F.struct("attempt", "status", "error_class", content.alias("content")))
+    facts = read(responses)
+    if ids is not None and not few:
+        facts = facts.join(ids, "document_id", "left_semi")
+    return _last(facts, several, F.col(LANDED)).drop(LANDED) if tried else facts
 
 
 def rest_metadata(responses: DataFrame, search: RestSearch = DEFAULT_REST) -> DataFrame:
@@ -53,8 +88,10 @@ def rest_metadata(responses: DataFrame, search: RestSearch = DEFAULT_REST) -> Da
     that is no object).
     """
     root = F.col("_root")
+    carried = [c for c in (LANDED,) if c in responses.columns]
     parsed = responses.select(
         "document_id",
+        *carried,
         request_state(F.col("status"), F.col("error_class")).alias("doc_state"),
         F.try_parse_json("body").alias("_root"),
         F.col("body").rlike(r"^[ \t\r\n]*+\{").alias("_is_object"),
@@ -66,9 +103,10 @@ def rest_metadata(responses: DataFrame, search: RestSearch = DEFAULT_REST) -> Da
         kind, text = text_at(root, F.col("_is_object"), path)
         seen.setdefault(path, field)
         columns += [kind.alias(f"{field}_kind"), text.alias(field)] if seen[path] == field else []
-    found = parsed.select("document_id", "doc_state", root.isNotNull().alias("doc_parsed"), *columns)
+    found = parsed.select("document_id", *carried, "doc_state", root.isNotNull().alias("doc_parsed"), *columns)
     return found.select(
         "document_id",
+        *carried,
         "doc_state",
         "doc_parsed",
         *(
@@ -153,13 +191,16 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
     error. The list holds ``(page_number, page_fraction, page_text, page_id)`` with ascending
     keys; a page's number is the sum of the first two.
     """
+    carried = [c for c in (LANDED,) if c in responses.columns]
     parsed = responses.select(
         "document_id",
+        *carried,
         request_state(F.col("status"), F.col("error_class")).alias("page_state"),
         F.try_parse_json("body").alias("_root"),
     )
     entries = parsed.select(
         "document_id",
+        *carried,
         "page_state",
         F.col("_root").isNotNull().alias("page_parsed"),
         _entries(F.col("_root"), search).alias("_entries"),
@@ -189,6 +230,7 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
     )
     return ranked.select(
         "document_id",
+        *carried,
         "page_state",
         "page_parsed",
         kind.alias("rest_pages_kind"),
@@ -196,6 +238,7 @@ def rest_page_lists(responses: DataFrame, search: RestSearch = DEFAULT_REST) ->
         (F.size("_ranked") == search.page_limit).alias("maybe_truncated"),
     ).select(
         "document_id",
+        *carried,
         "page_state",
         "page_parsed",
         "rest_pages_kind",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -16,7 +16,7 @@ from folioworks.operators.attempts import attempt_outcomes
 from folioworks.operators.options import effective_options, work_orders
 from folioworks.operators.output import dir_conflicts, output_dirs
 from folioworks.operators.resolve import resolved_page_lists
-from folioworks.operators.rest import deciding, rest_metadata, rest_page_lists
+from folioworks.operators.rest import decided_facts, rest_metadata, rest_page_lists
 from folioworks.operators.rollup import (
     document_outcomes,
     failed_documents,
@@ -90,7 +90,7 @@ class ArchiveRun:
     Every step is a property. The steps other steps build on are written to ``work_dir`` when first asked for, a folder
     all executors share: bodies are parsed once however often their facts are read, joins further on know real sizes,
     and a lost executor costs no replay. Without ``work_dir`` it is a new folder in the one that
-    ``spark.checkpoint.dir`` names. ``close`` removes it.
+    ``spark.checkpoint.dir`` names. ``close`` removes it. At most ``broadcast_bytes`` of document ids are broadcast.
     """
 
     def __init__(
@@ -103,6 +103,7 @@ class ArchiveRun:
         rest: RestSearch = DEFAULT_REST,
         dom: DomSearch = DEFAULT_DOM,
         work_dir: str | None = None,
+        broadcast_bytes: int = 1 << 24,
     ):
         self.landing = landing
         self.registry = libraries
@@ -110,6 +111,7 @@ class ArchiveRun:
         self.written_at = written_at
         self.explicit_pages = explicit_pages
         self.work_dir = work_dir or work_folder(landing.url_lines.sparkSession)
+        self.broadcast_bytes = broadcast_bytes
         self.sources = tuple(landing.sources) or (
             RestLanding(landing.document_responses, landing.page_responses, rest), HtmlLanding(landing.html_pages, dom))
 
@@ -127,13 +129,16 @@ class ArchiveRun:
         known = F.col("library_name").isNotNull() & F.col("document_id").isNotNull()
         return self.urls.filter(known).select("document_id").distinct()
 
-    def _landed(self, responses: DataFrame, ids: DataFrame) -> DataFrame:
-        """The deciding responses of the given documents; nothing else is parsed."""
-        return deciding(responses.join(ids, "document_id", "left_semi"))
+    def _read(self, responses: DataFrame, ids: DataFrame, read: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """What ``read`` finds in the deciding responses of the given documents, a written table. Where these are few
+        nothing else is read; many would have to be dealt out together with the bodies, so all bodies are read and
+        what was found is sorted out."""
+        weight = ids.agg(F.sum(F.octet_length("document_id") + 16)).first()[0] or 0
+        return decided_facts(responses, read, ids, few=weight <= self.broadcast_bytes)
 
     @cached_property
     def _wanted(self) -> DataFrame:
-        # As a table the ids have a known size: few of them are broadcast, and no body is shuffled.
+        # As a table the ids have a known size.
         return self._stage(self.ids, "ids")
 
     @cached_property
@@ -154,16 +159,17 @@ class ArchiveRun:
         if self.explicit_pages is not None:
             # Answers are only fetched with the page list, so there are none.
             return Facts(Source(landed.name, None), None)
-        documents = rest_metadata(self._landed(landed.document_responses, wanted), landed.search)
-        pages = rest_page_lists(self._landed(landed.page_responses, wanted), landed.search).withColumn(
-            "rest_page_count", F.coalesce(F.size("rest_pages"), F.lit(0)))
+        documents = self._read(landed.document_responses, wanted, lambda rows: rest_metadata(rows, landed.search))
+        pages = self._read(
+            landed.page_responses, wanted, lambda rows: rest_page_lists(rows, landed.search)
+        ).withColumn("rest_page_count", F.coalesce(F.size("rest_pages"), F.lit(0)))
         documents = self._stage(documents, f"document_facts{suffix}")
         pages = self._stage(pages, f"page_facts{suffix}")
         lists = pages.select("document_id", F.transform("rest_pages", lambda page: page["page_id"]).alias("page_ids"))
         return Facts(Source(landed.name, rest_answers(wanted, documents, pages), absent="error"), lists)
 
     def _html_facts(self, landed: HtmlLanding, wanted: DataFrame, suffix: str) -> Facts:
-        found = dom_facts(self._landed(landed.pages, wanted), landed.search)
+        found = self._read(landed.pages, wanted, lambda rows: dom_facts(rows, landed.search))
         counted = found.withColumn("dom_page_count", F.coalesce(F.size("dom_pages"), F.lit(0)))
         facts = self._stage(counted, f"html_facts{suffix}")
         lists = facts.select("document_id", F.col("dom_pages").alias("page_ids"))

@@ -7,8 +7,12 @@ written lets the joins of the jobs start without an exchange; ``write_bucketed``
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from folioworks.session import work_folder
+
 DOCUMENT_RESPONSES = "document_id string, attempt int, status int, error_class string, body string"
 PAGE_RESPONSES = DOCUMENT_RESPONSES
 HTML_PAGES = "document_id string, attempt int, status int, error_class string, html string"
@@ -31,6 +35,20 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
+def bucketed_copy(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written to a new folder in buckets by ``key``, and read back: joins by that key move none of it.
+
+    The table's name is only needed to write it and is given up again; the files stay.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    df.write.option("path", work_folder(spark)).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved to the files while the name stands
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """Write the document manifest, one folder per library.
 

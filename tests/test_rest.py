@@ -1,8 +1,13 @@
+import re
+
 import json
 
 import pytest
 
-from folioworks.operators.rest import admit_responses, deciding, rest_metadata, rest_page_lists, rest_pages
+from folioworks.config import Library, Options
+from folioworks.operators.rest import admit_responses, decided_facts, deciding, rest_metadata, rest_page_lists, rest_pages
+from folioworks.plans.batch import ArchiveRun, Landing
+from folioworks.sources import landing as landed
 
 SCHEMA = "document_id string, status int, error_class string, body string"
 
@@ -137,3 +142,66 @@ def test_admission(spark, document, pages, expected):
     side = lambda row: spark.createDataFrame([("d", *row)] if row else [], SCHEMA)
     admitted = admit_responses(ids, rest_metadata(side(document)), rest_page_lists(side(pages)))
     assert [r.rest_status for r in admitted.collect()] == [expected]
+
+
+def exchanged(df):
+    """The columns that go through each exchange of the plan, the broadcasts left out."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    parts = re.split(r"\n\(\d+\) ", plan)
+    return [re.search(r"Input \[\d+\]: \[(.*?)\]", part)[1] for part in parts if re.match(r"Exchange\b", part)]
+
+
+def test_no_exchange_carries_a_body(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.createDataFrame([(i, f"https://a/uuid:{i}") for i in range(40)], "pos long, line string")
+        tables = {}
+        for name, schema in (("documents", landed.DOCUMENT_RESPONSES), ("pages", landed.PAGE_RESPONSES), ("html", landed.HTML_PAGES)):
+            rows = [(f"uuid:{i % 50}", i // 50, 200, None, "{}") for i in range(80)]
+            path = str(tmp_path / name)
+            spark.createDataFrame(rows, schema).write.parquet(path)
+            tables[name] = landed.read_landed(spark, path, schema)
+        written = []
+
+        class Run(ArchiveRun):
+            def _stage(self, df, name):
+                written.append((name, exchanged(df)))
+                return super()._stage(df, name)
+
+        landing = Landing(lines, tables["documents"], tables["pages"], tables["html"])
+        run = Run(landing, (Library("A", ("https://a/",), "https://img.a/"),), Options(), "now",
+                  work_dir=str(tmp_path / "work"), broadcast_bytes=0)
+        assert run.documents.count() == 0 and run.failures.count() == 40
+        read = {name: columns for name, columns in written if name.split("_")[-1] == "facts" or "_facts" in name}
+        assert {"document_facts", "page_facts", "html_facts_1"} <= set(read)
+        for name, columns in read.items():
+            assert columns, name  # facts are dealt out
+            assert not any(re.search(r"\b(body|html|_root|_html)#", c) for c in columns), (name, columns)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_are_those_of_the_last_attempt(spark):
+    body = lambda t: '{"response":{"docs":[{"dc.title":"%s"}]}}' % t
+    rows = [("a", 1, 200, None, body("old")), ("a", 3, 200, None, body("new")), ("a", 2, 500, None, None), ("b", 1, 200, None, body("only")),
+            ("c", None, 200, None, body("first")), ("c", 0, 404, None, None), ("d", 1, 200, None, body("x")), ("d", 1, 200, None, body("x"))]
+    df = spark.createDataFrame(rows, landed.DOCUMENT_RESPONSES).repartition(3)
+    ids = spark.createDataFrame([("a",), ("c",), ("d",)], "document_id string")
+    for few in (False, True):
+        found = {r.document_id: (r.doc_state, r.title) for r in decided_facts(df, rest_metadata, ids, few).collect()}
+        assert found == {"a": ("ok", "new"), "c": ("error", ""), "d": ("ok", "x")}
+    assert decided_facts(df, rest_metadata).columns == rest_metadata(df.drop("attempt")).columns
+    assert decided_facts(df, rest_metadata).count() == 4
+
+
+def test_joins_of_bucketed_landings_move_nothing(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(f"uuid:{i}", 1, 200, None, "{}") for i in range(30)]
+        df = spark.createDataFrame(rows, landed.DOCUMENT_RESPONSES).drop("attempt")
+        documents, pages = (landed.bucketed_copy(df, "document_id", 4) for _ in range(2))
+        ids = documents.select("document_id")
+        admitted = admit_responses(ids, rest_metadata(documents), rest_page_lists(pages))
+        assert exchanged(admitted) == [] and admitted.count() == 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -23,7 +23,7 @@ from folioworks.operators import (
 )
 from folioworks.plans.batch import ArchiveRun, HtmlLanding, Landing, Report, RestLanding
 from folioworks.session import tune, work_folder
-from folioworks.sources.landing import write_table
+from folioworks.sources.landing import bucketed_copy, write_table
 from workloads import derived
 
 WRITTEN_AT = "2024-01-02 03:04:05"
@@ -75,8 +75,16 @@ def admit_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def admit_responses_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where failed attempts were landed before the deciding ones."""
-    landed = (derived.document_responses(spark, sf_dir), derived.page_responses(spark, sf_dir))
-    documents, pages = (rest.deciding(derived.with_retries(side)) for side in landed)
+    documents = rest.decided_facts(derived.with_retries(derived.document_responses(spark, sf_dir)), rest.rest_metadata)
+    pages = rest.decided_facts(derived.with_retries(derived.page_responses(spark, sf_dir)), rest.rest_page_lists)
+    return rest.admit_responses(_ids(spark, sf_dir), documents, pages).select("document_id", "rest_status")
+
+
+def admit_responses_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from landed tables that were bucketed by document when they were written."""
+    documents, pages = (
+        bucketed_copy(side, "document_id", int(spark.conf.get("spark.sql.shuffle.partitions")))
+        for side in (derived.document_responses(spark, sf_dir), derived.page_responses(spark, sf_dir)))
     admitted = rest.admit_responses(
         _ids(spark, sf_dir), rest.rest_metadata(documents), rest.rest_page_lists(pages))
     return admitted.select("document_id", "rest_status")
@@ -387,6 +395,7 @@ _QUERIES = (
     document_ids,
     admit_responses,
     admit_responses_retries,
+    admit_responses_bucketed,
     rest_metadata,
     rest_page_kinds,
     rest_pages,

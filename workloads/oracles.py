@@ -399,6 +399,7 @@ ORACLES: dict[str, str] = {
     "library_order.library_name) AS documents FROM library_order",
 }
 
-# Retries and scripts change the input, not what comes out.
+# Retries, buckets and scripts change the input, not what comes out.
+ORACLES["admit_responses_bucketed"] = ORACLES["admit_responses"]
 ORACLES["admit_responses_retries"] = ORACLES["admit_responses"]
 ORACLES["dom_pages_scripts"] = ORACLES["dom_pages"]
