@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from folioworks.config import DEFAULT_API, DOCUMENT_ID_PATTERN, ApiTemplates, Library
+from folioworks.functions.binding import free_names
 from folioworks.functions.text import strip, url_path
 
 
@@ -38,13 +39,49 @@ def _owner(url: Column, libraries: Sequence[Library]) -> Column:
     return F.get(F.filter(registry, lambda e: url.startswith(e["base_url"])), F.lit(0))
 
 
+# Prefixes that a URL is held against one by one.
+_FEW_PREFIXES = 200
+
+
+def _longest(url: Column, prefixes: Sequence[str]) -> Column:
+    """The longest of the prefixes that the URL starts with; one lookup in a set per length."""
+    lengths = sorted({len(prefix) for prefix in prefixes}, reverse=True)
+    found = []
+    for length in lengths:
+        start = F.substring(url, 1, length)
+        found.append(F.when(start.isin([prefix for prefix in prefixes if len(prefix) == length]), start))
+    return F.coalesce(*found)
+
+
+def _winners(libraries: Sequence[Library]) -> dict[str, tuple[int, str, str, str]]:
+    """For each prefix the first entry of the registry among those that a URL with this prefix starts with."""
+    first: dict[str, tuple[int, tuple[int, str, str, str]]] = {}
+    entries = [(position, library, prefix) for position, library in enumerate(libraries) for prefix in library.prefixes]
+    for order, (position, library, prefix) in enumerate(entries):
+        first.setdefault(prefix, (order, (position, library.name, prefix, library.page_detail_url)))
+    lengths = sorted({len(prefix) for prefix in first})
+    return {
+        prefix: min(first[prefix[:n]] for n in lengths if n <= len(prefix) and prefix[:n] in first)[1] for prefix in first}
+
+
 def assign_library(urls: DataFrame, libraries: Sequence[Library]) -> DataFrame:
     """Add ``library_pos, library_name, base_url, page_detail_url``; NULL marks an unsupported URL.
 
-    The registry is configuration, so it becomes an expression of the scan stage: no join, no shuffle.
+    The registry is configuration: a small one becomes an expression of the scan stage. With many prefixes a URL is
+    looked up by its longest registered prefix, which settles what else it starts with and so whose it is; that table
+    is as large as the registry and is broadcast. Neither shuffles a URL.
     """
     if not any(library.prefixes for library in libraries):
         raise ValueError("the registry holds no prefix")
+    if sum(len(library.prefixes) for library in libraries) > _FEW_PREFIXES:
+        winners = _winners(libraries)
+        (key,) = free_names(urls.columns, "prefix_of_url")
+        table = urls.sparkSession.createDataFrame(
+            [(prefix, *owner) for prefix, owner in winners.items()],
+            f"{key} string, library_pos int, library_name string, base_url string, page_detail_url string")
+        keyed = urls.withColumn(key, _longest(F.col("url"), sorted(winners)))
+        return keyed.join(F.broadcast(table), key, "left").select(
+            *urls.columns, "library_pos", "library_name", "base_url", "page_detail_url")
     return urls.withColumn("_owner", _owner(F.col("url"), libraries)).select(
         *urls.columns,
         "_owner.library_pos",

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from folioworks.functions.numbering import number_in_groups
 from folioworks.operators import rollup
 from folioworks.operators.attempts import attempt_outcomes, cert_logs
+from folioworks.operators import causes
 from folioworks.operators.causes import cert_causes
+from folioworks.session import cut_lineage
 
 HEADER = "Dezoomer error: discovery failed: no discovery candidate accepted the input"
 TLS = "error:99:SSL routines:certificate verify failed:chain ends too early"
@@ -134,6 +136,38 @@ def test_causes_through_chains_and_cycles(spark):
     assert {r.error_id: r.is_certificate for r in df.collect()} == {1: True, 41: True, 50: False, 60: False}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_causes_of_any_graph(spark, seed):
+    """Chains, circles, tails into circles, branches, loops, repeated edges, errors nobody knows."""
+    r = random.Random(seed)
+    n = 700
+    edges = {(i, i + 1) for i in range(n) if i % 97} | {(i, r.randrange(n)) for i in range(0, n, 97)}
+    edges |= {(r.randrange(n), r.randrange(n)) for _ in range(8 * seed)} | {(5, 5), (n + 5, 3)}
+    bad = set(r.sample(range(n), 2))
+    reached, grown = set(bad), True
+    while grown:
+        more = {a for a, b in edges if b in reached} - reached
+        reached |= more
+        grown = bool(more)
+    df = cert_causes(
+        spark.createDataFrame([(i, "SSLCertVerificationError" if i in bad else "E") for i in range(n)], "error_id long, error_class string"),
+        spark.createDataFrame([*edges, (1, 2), (None, 3), (4, None)], "from_id long, to_id long").repartition(3),
+        spark.createDataFrame([(i,) for i in range(n + 10)], "error_id long"))
+    assert {x.error_id for x in df.filter("is_certificate").collect()} == reached
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(causes, "cut_lineage", lambda df: written.append(df) or cut_lineage(df))
+    n = 1000
+    df = cert_causes(
+        spark.createDataFrame([(i, "SSLCertVerificationError" if i == n else "E") for i in range(n + 1)], "error_id long, error_class string"),
+        spark.createDataFrame([(i, i + 1) for i in range(n)], "from_id long, to_id long"),
+        spark.createDataFrame([(0,), (n,)], "error_id long"))
+    assert [x.is_certificate for x in df.collect()] == [True, True]
+    assert len(written) < 22
+
+
 def test_numbers_in_groups_are_dense_across_buckets(spark):
     pick = random.Random(3)
     rows = [(pick.choice(["a", "a", "b", None]), pick.choice([None, *range(50)]), i) for i in range(500)]

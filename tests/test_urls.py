@@ -1,3 +1,4 @@
+import random
 import html
 from urllib.parse import urlparse
 
@@ -94,3 +95,17 @@ def test_unescape_agrees_with_the_standard_library(spark):
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     found = {r.s: r.t for r in df.select("s", unescape(F.col("s")).alias("t")).collect()}
     assert found == {c: html.unescape(c) for c in cases}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_many_prefixes_are_assigned_like_few(spark, seed):
+    r = random.Random(seed)
+    said = lambda: "https://" + "".join(r.choice("ab") for _ in range(r.randint(0, 7)))
+    libraries = [Library(f"L{i}", tuple(said() for _ in range(r.randint(0, 6))), f"https://img{i}/") for i in range(120)]
+    assert sum(len(x.prefixes) for x in libraries) > 200
+    urls = [said() for _ in range(300)] + ["", "https:/", "http://a", "HTTPS://a"]
+    df = spark.createDataFrame([(i, u, 0) for i, u in enumerate(urls)], "pos long, url string, prefix_of_url int")
+    found = {x.pos: (x.library_pos, x.library_name, x.base_url) for x in assign_library(df, libraries).collect()}
+    for i, url in enumerate(urls):
+        owners = ((k, x.name, p) for k, x in enumerate(libraries) for p in x.prefixes if url.startswith(p))
+        assert found[i] == next(owners, (None, None, None))

@@ -55,6 +55,12 @@ def assign_library(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.drop("page_detail_url")
 
 
+def assign_library_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of thousands of prefixes, some of them within others."""
+    assigned = urls.assign_library(derived.doc_urls(spark, sf_dir), derived.many_prefixes())
+    return assigned.select("pos", "library_pos", "library_name", "base_url")
+
+
 def document_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.document_ids(derived.doc_urls(spark, sf_dir), api=API)
 
@@ -357,6 +363,11 @@ def cert_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return causes.cert_causes(*derived.error_graph(spark, sf_dir))
 
 
+def cert_causes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains of hundreds of wrapped errors, circles and branches."""
+    return causes.cert_causes(*derived.long_error_graph(spark, sf_dir))
+
+
 def page_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.page_lists(_lists(spark, sf_dir)).select("doc_key", _joined("page_ids"), "page_count")
 
@@ -392,6 +403,7 @@ def library_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     url_manifest,
     assign_library,
+    assign_library_many,
     document_ids,
     admit_responses,
     admit_responses_retries,
@@ -432,6 +444,7 @@ _QUERIES = (
     document_manifest,
     cert_logs,
     cert_causes,
+    cert_causes_long,
     document_outcomes,
     failed_documents,
     run_summary,

@@ -76,6 +76,17 @@ def document_id(column: Column) -> Column:
     return F.concat(F.lit("uuid:"), _md5(column))
 
 
+def many_prefixes() -> tuple[Library, ...]:
+    """A registry of 97 libraries with 8,192 prefixes, and in the middle one whose 32 shorter prefixes cover them all."""
+    view = "https://lib{}.example.org/view/uuid:{}"
+    shelves = [
+        Library(f"shelf{k}", tuple(view.format(site, f"{n:03x}") for site in (0, 1) for n in range(k, 4096, 97)), f"https://img{k}.example.org/")
+        for k in range(97)
+    ]
+    rest = Library("rest", tuple(view.format(site, f"{n:x}") for site in (0, 1) for n in range(16)), "https://img.example.org/")
+    return (*shelves[:48], rest, *shelves[48:])
+
+
 def url_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of a URL file: URLs, comments, blanks, padded URLs."""
     pages = table(spark, sf_dir, "pages")
@@ -373,6 +384,18 @@ def run_attempts(pages: DataFrame) -> DataFrame:
     )
 
 
+def long_error_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Wrapped errors in chains of 512 events, every second one a circle; every hundredth event wraps another besides."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    key = F.col("event_id")
+    nodes = events.select(
+        key.alias("error_id"), F.when(key % 1901 == 7, "SSLCertVerificationError").otherwise("timeout").alias("error_class"))
+    target = F.when(key % 512 != 511, key + 1).when(key % 1024 == 1023, key - 511)
+    along = events.select(key.alias("from_id"), target.alias("to_id")).filter(F.col("to_id").isNotNull())
+    aside = events.filter(key % 100 == 50).select(key.alias("from_id"), (key + 700).alias("to_id"))
+    return nodes, along.union(aside), events.filter(key % 64 == 3).select(key.alias("error_id"))
+
+
 def error_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nodes, edges and roots of wrapped errors; chains of eight events, some closed to a cycle."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type")

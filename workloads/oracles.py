@@ -242,6 +242,12 @@ ORACLES: dict[str, str] = {
     "assign_library": _with(_LINES, _REGISTRY)
     + "SELECT pos, url, owner[1] AS library_pos, owner[2] AS library_name, owner[3] AS base_url "
     "FROM manifest LEFT JOIN owners USING (pos)",
+    "assign_library_many": _with(_URLS) + """
+      SELECT pos, CAST(CASE WHEN n IS NULL THEN NULL WHEN n % 97 < 48 THEN n % 97 ELSE 48 END AS INTEGER) AS library_pos,
+        CASE WHEN n IS NULL THEN NULL WHEN n % 97 < 48 THEN concat('shelf', CAST(n % 97 AS VARCHAR)) ELSE 'rest' END AS library_name,
+        CASE WHEN n IS NULL THEN NULL WHEN n % 97 < 48 THEN substr(url, 1, 38) ELSE substr(url, 1, 36) END AS base_url
+      FROM (SELECT pos, url, CASE WHEN lib < 2 AND url LIKE '%/view/uuid:%'
+        THEN CAST(concat('0x', substr(url, 36, 3)) AS BIGINT) END AS n FROM base_urls)""",
     "document_ids": _with(_URLS)
     + r"""SELECT pos, url, id AS document_id,
       concat('https://api.example.org/', 'doc?q=PID:', replace(id, ':', '\:'), '&rows=10000') AS document_request_url,
@@ -374,6 +380,18 @@ ORACLES: dict[str, str] = {
     )
     + "SELECT root AS error_id, bool_or(event_id IS NOT NULL AND node % 23 = 0) AS is_certificate FROM walk "
     "LEFT JOIN events ON node = event_id GROUP BY root",
+    "cert_causes_long": _with(
+        """
+    edges AS (
+      SELECT event_id AS a, event_id + 1 AS b FROM events WHERE event_id % 512 <> 511
+      UNION ALL SELECT event_id, event_id - 511 FROM events WHERE event_id % 1024 = 1023
+      UNION ALL SELECT event_id, event_id + 700 FROM events WHERE event_id % 100 = 50),
+    bad AS (
+      SELECT event_id AS node FROM events WHERE event_id % 1901 = 7
+      UNION SELECT a FROM bad JOIN edges ON node = b)""",
+        recursive=True,
+    )
+    + "SELECT event_id AS error_id, event_id IN (SELECT node FROM bad) AS is_certificate FROM events WHERE event_id % 64 = 3",
     "page_lists": _with(_FACTS, _URLS, _LABELLED) + "SELECT pos AS doc_key, string_agg(page_id, '|' "
     "ORDER BY page_index) AS page_ids, count(*) AS page_count FROM documents_in JOIN page_rows USING (k) GROUP BY pos",
     "document_manifest": _with(_FACTS, _URLS, _LABELLED)
