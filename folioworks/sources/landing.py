@@ -52,9 +52,14 @@ def bucketed_copy(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """Write the document manifest, one folder per library.
 
+    Files are staged and the folders of the libraries in ``manifest`` are replaced as a whole when all are written: a
+    run that fails leaves what was there, one that is repeated leaves no row twice, and other libraries stay.
     Rebalancing gathers small libraries into few files and splits one that holds most documents over many tasks.
     """
-    manifest.hint("rebalance", "library_name").write.mode("overwrite").partitionBy("library_name").parquet(path)
+    (
+        manifest.hint("rebalance", "library_name").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("library_name").parquet(path)
+    )
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:

@@ -22,9 +22,9 @@ LOG = (
 
 LOG_CASES = [
     (LOG, True),
-    (LOG.replace("certificate verify failed", "wrong version"), False),
-    (LOG + "  - grid: error sending request for url (https://scans.test/g): host is down\n", False),
-    (LOG + "  - grid: the answer made no sense\n", False),
+    *((LOG.replace(part, ""), False) for part in (":SSL routines:", ":certificate verify failed:", "): error:", "error sending request for url (")),
+    *((LOG + f"  - grid: {start} Grid{end}\n", start in ("not a", "not an") and end in (" URL", " file", " template"))
+      for start in ("not a", "not an", "no", "a") for end in (" URL", " file", " template", "", " URLs", " page")),
     (LOG + "  - grid: " + "\u2003" * 50 + "!\n", False),
     (LOG + "  - grid: \n", True),
     (LOG + "  - grid: not a Grid URL\n", True),

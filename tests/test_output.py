@@ -6,21 +6,33 @@ from folioworks.operators.manifest import document_manifest, page_lists
 from folioworks.operators.options import effective_options, option_layers, option_warnings, work_orders
 from folioworks.operators.output import dir_conflicts, document_path, output_dirs
 
-SHELF = "uuid:0f3c-77"
-SAGA = "Annals of the Lower Valley, " * 12
+REFUSED = '\\/:*?"<>|' + "".join(map(chr, [*range(32), 127]))
+
+
+def _clean(name):
+    return "".join(c for c in name if c not in REFUSED).rstrip(" .")
+
+
+def _name(doc_id, title):
+    both = doc_id.replace(":", "_") + ("_" if doc_id and title else "") + title
+    return _clean(both)[:255]
 
 
 def test_document_paths(spark):
-    name = "uuid_0f3c-77"
-    cases = [
-        ("scans", SHELF, "Herbal", f"scans/{name}_Herbal"),
-        ("scans", SHELF, "", f"scans/{name}"),
-        ("scans", "", "Herbal", "scans/Herbal"),
-        ("scans", "", "", "scans"),
-        ("old scans ?", SHELF, "Herbal I", f"old scans/{name}_Herbal I"),
-        ("old scans |", SHELF, "Her/bal", f"old scans/{name}_Herbal"),
-        ("scans<>\\", 'uuid:\\0f3c"-77', "a<b>\\c|d", f"scans/{name}_abcd"),
-        ("scans", SHELF, SAGA, f"scans/{(name + '_' + SAGA)[:255]}"),
+    """Every refused character at the start, in the middle and at the end of each part, and names around the limit."""
+    placed = [(c + "ab", "a" + c + "b", "ab" + c) for c in REFUSED]
+    cases = [("out", i, t, "/".join(filter(None, ["out", _name(i, t)])))
+             for word in ("ab", "a b", "é.b") for i in ("", f"uuid:{word}") for t in ("", word)]
+    for word in (w for words in placed for w in words):
+        cases.append(("out", f"uuid:{word}", "t", f"out/{_name('uuid:' + word, 't')}"))
+        cases.append(("out", "uuid:1", word, f"out/{_name('uuid:1', word)}"))
+        # In the base both slashes part folders.
+        base = "/".join(filter(None, (_clean(x) for x in word.replace("\\", "/").split("/"))))
+        cases.append((word, "uuid:1", "t", f"{'/' if word[0] in '/' else ''}{base}/uuid_1_t"))
+    for length in (254, 255, 256, 700):
+        title = "x" * (length - len("uuid_1_"))
+        cases.append(("out", "uuid:1", title, f"out/{('uuid_1_' + title)[:255]}"))
+    cases += [
         ("out//x/", "uuid:1", "a:b?\x07 .", "out/x/uuid_1_ab"),
         ("/abs", "uuid:1", "", "/abs/uuid_1"),
         ("../scans", "uuid:1", "..", "../scans/uuid_1_"),
@@ -29,7 +41,7 @@ def test_document_paths(spark):
     ]
     df = spark.createDataFrame(cases, "base string, id string, title string, expected string")
     for r in df.select("*", document_path(F.col("base"), F.col("id"), F.col("title")).alias("found")).collect():
-        assert r.found == r.expected
+        assert r.found == r.expected, r
 
 
 def test_page_file_names(spark):

@@ -88,3 +88,18 @@ def test_streams(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [r.reason for r in spark.table("judged").collect()] == ["error"]
+
+
+def test_the_manifest_replaces_libraries_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    rows = lambda *r: spark.createDataFrame(list(r), "doc_key long, library_name string")
+    read = lambda: sorted((r.library_name, r.doc_key) for r in spark.read.parquet(path).collect())
+    for _ in range(2):
+        landed.write_manifest(rows((1, "A"), (2, "A"), (3, "B")), path)
+        assert read() == [("A", 1), ("A", 2), ("B", 3)]
+    landed.write_manifest(rows((9, "B")), path)
+    assert read() == [("A", 1), ("A", 2), ("B", 9)]
+    broken = rows((4, "A")).selectExpr("if(doc_key = 4, raise_error('no'), doc_key) doc_key", "library_name")
+    with pytest.raises(Exception):
+        landed.write_manifest(broken, path)
+    assert read() == [("A", 1), ("A", 2), ("B", 9)]

@@ -109,3 +109,27 @@ def test_many_prefixes_are_assigned_like_few(spark, seed):
     for i, url in enumerate(urls):
         owners = ((k, x.name, p) for k, x in enumerate(libraries) for p in x.prefixes if url.startswith(p))
         assert found[i] == next(owners, (None, None, None))
+
+
+def test_lines_are_numbered_in_the_order_of_the_paths(spark, tmp_path):
+    """Files of rising and falling size, cut into pieces, in a given order that is not that of their names."""
+    want, paths = [], []
+    for name, count in (("m", 3), ("c", 900), ("z", 1), ("a", 2500), ("e", 0), ("k", 40)):
+        text = [f"https://{name}/{i}{'x' * (i % 50)}" for i in range(count)]
+        (tmp_path / name).write_text("".join(f"{t}\n" for t in text))
+        paths.append(str(tmp_path / name))
+        want += text
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    for part in ("2", "10", "1"):
+        (folder / part).write_text(f"last {part}\nend {part}")
+    want += [f"{x} {part}" for part in ("1", "10", "2") for x in ("last", "end")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        df = read_url_lines(spark, [*paths, str(folder)])
+        found = sorted((r.pos, r.line) for r in df.collect())
+        assert found == list(enumerate(want)) and df.rdd.getNumPartitions() > 5
+        assert sorted(r.pos for r in read_url_lines(spark, paths[1]).collect()) == list(range(900))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -23,7 +23,8 @@ from folioworks.operators import (
 )
 from folioworks.plans.batch import ArchiveRun, HtmlLanding, Landing, Report, RestLanding
 from folioworks.session import tune, work_folder
-from folioworks.sources.landing import bucketed_copy, write_table
+from folioworks.sources.landing import bucketed_copy, write_manifest, write_table
+from folioworks.sources.url_lists import read_url_lines
 from workloads import derived
 
 WRITTEN_AT = "2024-01-02 03:04:05"
@@ -50,6 +51,11 @@ def url_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_manifest(derived.url_lines(spark, sf_dir))
 
 
+def url_manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs of all pages from lists in several files, given in an order of their own."""
+    return urls.url_manifest(read_url_lines(spark, derived.url_files(spark, sf_dir)))
+
+
 def assign_library(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = urls.assign_library(url_manifest(spark, sf_dir), derived.PAGE_LIBRARIES)
     return assigned.drop("page_detail_url")
@@ -377,6 +383,16 @@ def document_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("pages", F.array_join("pages", "|")).drop("tool_path", "written_at")
 
 
+def manifest_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as read back from its sink, written twice over."""
+    run, folder = _run(spark, sf_dir), work_folder(spark)
+    for _ in range(2):
+        write_manifest(run.manifest, folder)
+    rows = spark.read.parquet(folder)
+    return rows.select("library_name", "doc_key", "document_uuid", "title", "page_count",
+                       F.array_join("pages", "|").alias("pages"))
+
+
 def document_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes per user; the judged log is written once, since its rows are read for stops and for counts."""
     judged = attempt_jobs.attempt_outcomes(derived.attempts(spark, sf_dir)).select("doc_key", "page_index", "outcome")
@@ -402,6 +418,7 @@ def library_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     url_manifest,
+    url_manifest_files,
     assign_library,
     assign_library_many,
     document_ids,
@@ -442,6 +459,7 @@ _QUERIES = (
     attempt_outcomes,
     page_lists,
     document_manifest,
+    manifest_written,
     cert_logs,
     cert_causes,
     cert_causes_long,

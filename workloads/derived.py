@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioworks.config import Library, OptionLayer, Options
 from folioworks.functions.numbering import number_in_groups
+from folioworks.session import work_folder
 
 PAGE_LIBRARIES = (
     Library("Lib_WWW", ("https://www.", "http://www."), "https://img.www.example.org/"),
@@ -101,6 +102,18 @@ def url_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def url_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The lines of the URL file in three folders by their number, each in files that follow one another."""
+    lines = url_lines(spark, sf_dir)
+    paths = []
+    for part in (2, 0, 1):
+        folder = work_folder(spark)
+        own = lines.filter(F.col("pos") % 3 == part)
+        own.repartitionByRange(4, "pos").sortWithinPartitions("pos").select("line").write.text(folder)
+        paths.append(folder)
+    return paths
+
+
 def doc_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One document URL per order; some without an id, some with a misleading one in the query."""
     orders = table(spark, sf_dir, "orders")

@@ -239,6 +239,11 @@ _OPTION_COLUMNS = """
 
 ORACLES: dict[str, str] = {
     "url_manifest": _with(_LINES) + "SELECT pos, url FROM manifest",
+    "url_manifest_files": """
+      SELECT place AS pos, trim(line) AS url FROM (
+        SELECT row_number() OVER (ORDER BY (page_id + 1) % 3, page_id) - 1 AS place, CASE page_id % 8 WHEN 3 THEN '# ' || url
+          WHEN 5 THEN '   ' WHEN 6 THEN '  ' || url || '  ' ELSE url END AS line FROM pages)
+      WHERE trim(line) <> '' AND trim(line) NOT LIKE '#%'""",
     "assign_library": _with(_LINES, _REGISTRY)
     + "SELECT pos, url, owner[1] AS library_pos, owner[2] AS library_name, owner[3] AS base_url "
     "FROM manifest LEFT JOIN owners USING (pos)",
@@ -417,6 +422,8 @@ ORACLES: dict[str, str] = {
     "library_order.library_name) AS documents FROM library_order",
 }
 
+ORACLES["manifest_written"] = (
+    f"SELECT library_name, doc_key, document_uuid, title, page_count, pages FROM ({ORACLES['document_manifest']})")
 # Retries, buckets and scripts change the input, not what comes out.
 ORACLES["admit_responses_bucketed"] = ORACLES["admit_responses"]
 ORACLES["admit_responses_retries"] = ORACLES["admit_responses"]
