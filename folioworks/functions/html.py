@@ -78,69 +78,45 @@ def tokens(html: Column, tags: Sequence[str]) -> Column:
 
 
 _OPEN_END = (1 << 31) - 1
-_BLOCK = 128
-
-
-def _in_blocks(tags: Column) -> Column:
-    """A list cut into lists of ``_BLOCK``."""
-    count = F.floor((F.size(tags) - 1) / _BLOCK).cast("int")
-    return F.when(F.size(tags) <= _BLOCK, F.array(tags)).otherwise(
-        F.transform(F.sequence(F.lit(0), count), lambda b: F.slice(tags, b * _BLOCK + 1, F.lit(_BLOCK))))
-
-
-def _depths(blocks: Column) -> Column:
-    """The depth before each block. What a block does to a depth d is max(d + by, least), an end without start being
-    passed over."""
-    moved = lambda by, least: F.struct(by.alias("by"), least.alias("least")).cast("struct<by:int,least:int>")
-    effects = F.transform(blocks, lambda block: F.aggregate(
-        block, moved(F.lit(0), F.lit(0)),
-        lambda f, token: F.when(token["tag"] > 0, moved(f["by"] + 1, f["least"] + 1)).otherwise(
-            moved(f["by"] - 1, F.greatest(f["least"] - 1, F.lit(0))))))
-    state = "struct<depth:int,before:array<int>>"
-    start = F.struct(F.lit(0).alias("depth"), F.array().alias("before")).cast(state)
-    walked = F.aggregate(
-        effects, start,
-        lambda now, f: F.struct(F.greatest(now["depth"] + f["by"], f["least"]).alias("depth"),
-                                F.concat(now["before"], F.array(now["depth"])).alias("before")).cast(state),
-        lambda now: now["before"])
-    return F.when(F.size(blocks) == 1, F.array(F.lit(0))).otherwise(walked)
 
 
 def _elements(scope: Column, tag: int, wanted: Callable[[Column], Column], closed: bool) -> Column:
     """``(start, end)`` of the outermost elements of a tag: where their start and end tags stand.
 
-    A walk over the tags of that name keeps the depth and notes where it leaves nothing and where it is back. Every
-    step of a fold copies what it has gathered, so the walk goes block by block, each from the depth before it. An
-    element that is never closed has no end, or does not count if only ``closed`` ones do.
+    One walk over the tags of that name keeps the depth; an element counts when the depth is back at nothing. An
+    element that is never closed has no end, or does not count if only ``closed`` ones do. The walk gathers plain
+    numbers, two for an element, since every step of a fold copies what it has gathered.
     """
-    state = "struct<depth:int,turns:array<struct<at:int,want:boolean>>>"
+    tags = F.filter(scope, lambda token: F.abs(token["tag"]) == tag)
 
-    def now_at(depth: Column, turns: Column) -> Column:
-        return F.struct(depth.alias("depth"), turns.alias("turns")).cast(state)
+    def state(depth: Column, start: Column, want: Column, places: Column) -> Column:
+        return F.struct(depth.cast("int").alias("depth"), start.cast("int").alias("start"), want.alias("want"),
+                        places.alias("places"))
 
     def walk(now: Column, token: Column) -> Column:
-        opens, depth, turns = token["tag"] > 0, now["depth"], now["turns"]
-        turn = lambda want: F.concat(turns, F.array(F.struct(token["at"].alias("at"), want.alias("want"))))
+        opens, depth = token["tag"] > 0, now["depth"]
+        ended = F.when(now["want"], F.concat(now["places"], F.array(now["start"], token["at"]))).otherwise(now["places"])
         return (
-            F.when(opens & (depth == 0), now_at(F.lit(1), turn(wanted(token["raw"]))))
-            .when(opens, now_at(depth + 1, turns))
-            .when(depth > 1, now_at(depth - 1, turns))
-            .when(depth == 1, now_at(F.lit(0), turn(F.lit(False))))
+            F.when(opens & (depth == 0), state(F.lit(1), token["at"], wanted(token["raw"]), now["places"]))
+            .when(opens, state(depth + 1, now["start"], now["want"], now["places"]))
+            .when(depth == 1, state(F.lit(0), F.lit(0), F.lit(False), ended))
+            .when(depth > 1, state(depth - 1, now["start"], now["want"], now["places"]))
             .otherwise(now)
         )
 
-    def turns_of(blocks: Column) -> Column:
-        return F.flatten(F.zip_with(blocks, _depths(blocks), lambda block, depth: F.aggregate(
-            block, now_at(depth, F.array()), walk, lambda end: end["turns"])))
+    def finish(now: Column) -> Column:
+        if closed:
+            return now["places"]
+        open_ = F.concat(now["places"], F.array(now["start"], F.lit(_OPEN_END)))
+        return F.when((now["depth"] > 0) & now["want"], open_).otherwise(now["places"])
 
-    def paired(turns: Column) -> Column:
-        end = lambda i: F.coalesce(F.get(turns, i + 1)["at"], F.lit(_OPEN_END))
-        spans = F.transform(turns, lambda turn, i: F.struct(
-            turn["at"].alias("start"), end(i).alias("end"), ((i % 2 == 0) & turn["want"]).alias("picked")))
-        return F.filter(spans, lambda s: s["picked"] & (s["end"] != _OPEN_END) if closed else s["picked"])
+    def paired(places: Column) -> Column:
+        spans = F.transform(places, lambda place, i: F.when(
+            i % 2 == 0, F.struct(place.alias("start"), F.get(places, i + 1).alias("end"))))
+        return F.filter(spans, lambda span: span.isNotNull())
 
-    tags = F.filter(scope, lambda token: F.abs(token["tag"]) == tag)
-    return let(let(let(tags, _in_blocks), turns_of), paired)
+    nothing = state(F.lit(0), F.lit(0), F.lit(False), F.array().cast("array<int>"))
+    return let(F.aggregate(tags, nothing, walk, finish), paired)
 
 
 def _between(scope: Column, first: Column, end: Column) -> Column:
