@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioworks.functions.numbering import number_in_groups
+from folioworks.functions.numbering import in_ranges, number_by_ranges, number_in_groups
 from folioworks.operators import rollup
 from folioworks.operators.attempts import attempt_outcomes, cert_logs
 from folioworks.operators import causes
@@ -179,3 +179,24 @@ def test_numbers_in_groups_are_dense_across_buckets(spark):
         for n, (_, _, i) in enumerate(own, 1):
             expected[i] = n
     assert {r.i: r.n for r in found} == expected
+
+
+def test_numbers_by_ranges_are_dense_whatever_one_key_holds(spark):
+    pick = random.Random(4)
+    rows = [(pick.choice(["a", "b", None]), pick.choice([None, *range(50)]), i, "x", 0) for i in range(400)]
+    rows += [("hot", 7, 1000 + i, "x", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, t int, i int, _block string, _of_k int").repartition(5)
+    found = number_by_ranges(df, ["k"], ["t", "i"], "n")
+    assert found.columns == [*df.columns, "n"]
+    expected = {}
+    for k in ("a", "b", None, "hot"):
+        own = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        for n, r in enumerate(own, 1):
+            expected[r[2]] = n
+    assert {r.i: r.n for r in found.collect()} == expected
+    # One key and value with all rows equal: each number once, and no range takes much more than its share.
+    same = spark.createDataFrame([("k", 1)] * 4000, "k string, t int").repartition(4)
+    assert sorted(r.n for r in number_by_ranges(same, ["k"], ["t"], "n").collect()) == list(range(1, 4001))
+    shares = [r["count"] for r in in_ranges(same, ["k"], ["t"], "b", "p").groupBy("b").count().collect()]
+    assert len(shares) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(shares) < 2 * 4000 / len(shares)
+    assert number_by_ranges(same.limit(0), ["k"], ["t"], "n").collect() == []

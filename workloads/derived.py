@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from folioworks.config import Library, OptionLayer, Options
-from folioworks.functions.numbering import number_in_groups
+from folioworks.functions.numbering import number_by_ranges, number_in_groups
 from folioworks.session import work_folder
 
 PAGE_LIBRARIES = (
@@ -377,9 +377,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "error", _error_text()).otherwise("").alias("stderr"),
         ((kind == "error") & (key % 40 == 0)).alias("exception"),
     )
-    return number_in_groups(
-        events, ["doc_key"], ["ts", "event_id"], F.date_trunc("hour", F.col("ts")), "page_index"
-    ).drop("ts")
+    return number_by_ranges(events, ["doc_key"], ["ts", "event_id"], "page_index").drop("ts")
 
 
 def run_attempts(pages: DataFrame) -> DataFrame:
