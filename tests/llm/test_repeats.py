@@ -5,9 +5,10 @@ import pytest
 
 from folioworks.llm.anchors import bodies
 from folioworks.llm.lines import Repeats, without_repeated_lines
-from folioworks.llm.passages import Passage, deep_nodes, passage_report
+from folioworks.llm.passages import Passage, deep_nodes, passage_report, repeated_passages
 from folioworks.llm.suffixes import Strings, equal_windows, induced, string_report
 from folioworks.llm.tokens import mix
+from folioworks.llm.trees import internal_nodes, maximal_repeats, suffix_tree
 from tests.llm.test_documents import morse
 from tests.llm.brute import SCHEMA, WORD, awkward, id_order, sha, words
 
@@ -35,6 +36,12 @@ def runs(gone):
     return sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
 
 
+def stretch(gone):
+    starts = [i for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1])]
+    ends = [i + 1 for i, g in enumerate(gone) if g and (i + 1 == len(gone) or not gone[i + 1])]
+    return [(a, b - a) for a, b in zip(starts, ends, strict=True)]
+
+
 @pytest.mark.parametrize("most", [20_000, 2])
 def test_passages(spark, most):
     rows = awkward()
@@ -43,9 +50,12 @@ def test_passages(spark, most):
     want = sorted(
         (id_order(r[0]), len(t), sum(g), runs(g), sha(" ".join(w for w, x in zip(t, g, strict=True) if not x).encode()))
         for r, t, g in zip(rows, tokens, gone, strict=True))
-    got = passage_report(spark.createDataFrame(rows, SCHEMA).repartition(3), Passage(most=most)).collect()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = passage_report(docs, Passage(most=most)).collect()
     assert sorted((id_order(r.doc_id), r.n_words, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
     assert sum(w[2] for w in want) > 500
+    where = sorted((id_order(r[0]), *x) for r, g in zip(rows, gone, strict=True) for x in stretch(g))
+    assert sorted((id_order(r.doc_id), r.start, r.size) for r in repeated_passages(docs, Passage(most=most)).collect()) == where
 
 
 @pytest.mark.parametrize("length", [1024, 4096])
@@ -141,6 +151,36 @@ def test_windows_of_bodies():
                     assert there.setdefault(key, names[i]) == names[i] and back.setdefault(names[i], key) == key
 
 
+def test_suffix_trees():
+    rng = np.random.default_rng(9)
+    for trial in range(80):
+        sizes = rng.integers(0, 25, rng.integers(0, 12))
+        first = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        v = np.tile(rng.integers(0, 1 + trial % 4, 12), 25)[: first[-1]].astype(np.uint64)
+        if trial % 2:
+            v = rng.integers(0, 3, first[-1]).astype(np.uint64)
+        tails = {a: tuple(v[a:e].tolist()) for s, e in zip(first, first[1:], strict=False) for a in range(s, e)}
+        tree = suffix_tree(v, first)
+        assert [tails[p] for p in tree.order] == sorted(tails.values()) and len(set(tree.order)) == len(v)
+        for i in range(1, len(v)):
+            x, y = tails[tree.order[i - 1]], tails[tree.order[i]]
+            assert tree.common[i] == next((k for k, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+        places = {}
+        for p, tail in tails.items():
+            for k in range(1, len(tail) + 1):
+                places.setdefault(tail[:k], set()).add(p)
+        for least in (1, 3):
+            nodes = internal_nodes(tree, least)
+            assert len(set(nodes)) == len(nodes)
+            # A repeat that no token to the right extends for all its places.
+            right = {(len(w), frozenset(at)) for w, at in places.items()
+                     if len(w) >= least and len(at) > 1 and not any(places.get((*w, x)) == at for x in range(4))}
+            assert {(d, frozenset(tree.order[a:b])) for d, a, b in nodes} == right
+            both = {(d, at) for d, at in right
+                    if any(p in first for p in at) or len({v[p - 1] for p in at}) > 1}
+            assert {(d, frozenset(tree.order[a:b])) for d, a, b in maximal_repeats(tree, v, first, least)} == both
+
+
 @pytest.mark.parametrize("rule", [Repeats(), Repeats(lines=1), Repeats(lines=3, words=99), Repeats(lines=4, words=6)])
 def test_lines(spark, rule):
     rows = [(r[0], (r[1] or "").replace("  ", "\n") if r[1] is not None else None, *r[2:]) for r in awkward(5)]
