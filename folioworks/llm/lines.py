@@ -2,16 +2,16 @@
 
 Documents are sequences of line ids. Suffixes of these sequences are ranked by distributed prefix doubling: the rank at
 depth 2h of a place is that of the pair of its rank at depth h and the rank h lines on. Places with one rank at a depth
-are an interval of the suffix array whose longest common prefix is at least that depth. Ranks are only needed to the
-depth of the shortest run that counts, since every longer run is covered by such runs; a place whose rank is its own
-leaves the race, so later rounds only carry what repeats.
+are an interval of the suffix array whose longest common prefix is at least that depth; a place whose rank is its own
+leaves the race, so later rounds only carry what repeats, and the rounds end when nothing does. Neighbouring places whose
+intervals begin at neighbouring places are one run, and runs within longer ones are dropped.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioworks.functions.binding import computed_once, free_names
 from folioworks.llm.common import WORD, no_null, partitions, staged
@@ -50,16 +50,8 @@ def _later() -> Column:
     return ~F.struct(*PLACE).eqNullSafe(F.col("first"))
 
 
-def repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
-    """(key, text_key, removed) for every document with lines to delete: their sorted numbers from 0.
-
-    A line is deleted if it lies in a run of at least ``rule.lines`` lines, or is a single line of at least
-    ``rule.words`` words, that starts earlier too: in a document of a smaller id or further up in the same one. What
-    is earlier is judged on the input, and runs may overlap. Lines are compared without outer white space; blank lines
-    are passed over, so they neither count in a run nor break one, and are never deleted. Null ids are the smallest;
-    documents of one id are ordered by a hash of their texts, rows alike in both are one document.
-    """
+def _shared_lines(docs: DataFrame, rule: Repeats, id_column: str, text_column: str) -> DataFrame:
+    """The places of lines that occur more than once, with their ranks."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     line = F.transform(
         F.split(text, "\n"),
@@ -83,27 +75,73 @@ def repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column: str =
         .select("doc_id", "key", "text_key", F.posexplode("lines").alias("at", "x"))
         .select(*PLACE, "x.*")
     )
-    places = staged(_ranked(staged(lines), ["a", "b"]))
-    found = [places.filter(_later() & F.col("long")).select("key", "text_key", "line")]
+    return staged(_ranked(staged(lines), ["a", "b"]))
+
+
+def _runs(places: DataFrame, rule: Repeats) -> DataFrame:
+    """(doc_id, key, text_key, at, size, first) of each run that starts earlier too, out of the places of shared lines."""
+    place = [*PLACE, F.lit(0).alias("size"), "first"]
+    found = places.limit(0).select(place)
     depth = 1
-    numbers = places.select("key", "text_key", "at", "line")
-    while depth < rule.lines:
-        step = min(depth, rule.lines - depth)
+    while not places.isEmpty():
+        if depth >= rule.lines:
+            found = found.union(places.filter(_later()).select(*PLACE, F.lit(depth), "first"))
+        step = depth if depth >= rule.lines else min(depth, rule.lines - depth)
         ahead = places.select("key", "text_key", (F.col("at") - step).alias("at"), F.col("rank").alias("ahead"))
         places = staged(_ranked(
             places.select(*PLACE, "rank").join(ahead, ["key", "text_key", "at"])
             .withColumnRenamed("rank", "behind"), ["behind", "ahead"]))
         depth += step
-    if rule.lines > 1:
-        covered = (
-            places.filter(_later())
-            .select("key", "text_key", F.explode(F.sequence("at", F.col("at") + rule.lines - 1)).alias("at")).distinct()
-        )
-        # Every line of a repeated run is itself repeated, so its number is among the places of the first round.
-        found.append(covered.join(numbers, ["key", "text_key", "at"]).select("key", "text_key", "line"))
-    else:
-        found.append(places.filter(_later()).select("key", "text_key", "line"))
-    every = found[0].union(found[1])
+    # All of this stays with the document: one shuffle.
+    document = Window.partitionBy("key", "text_key")
+    in_step = document.orderBy("size", "at")
+    before = F.lag(F.struct("size", "at", "first")).over(in_step)
+    goes_on = F.struct(
+        before["size"], before["at"] + 1, before["first"]["key"], before["first"]["text_key"], before["first"]["at"] + 1
+    ).eqNullSafe(F.struct("size", "at", "first.key", "first.text_key", "first.at"))
+    chained = found.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(in_step))
+    runs = chained.groupBy("key", "text_key", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("at").alias("at"),
+        (F.max("at") - F.min("at") + F.first("size")).alias("size"), F.min_by("first", "at").alias("first"))
+    reached = F.max(F.col("at") + F.col("size")).over(
+        document.orderBy("at", F.desc("size"), "run").rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        runs.withColumn("reached", F.coalesce(reached, F.lit(0))).filter(F.col("at") + F.col("size") > F.col("reached"))
+        .select(*PLACE, "size", "first")
+    )
+
+
+def repeated_runs(docs: DataFrame, rule: Repeats = Repeats(), id_column: str = "doc_id",
+                  text_column: str = "text") -> DataFrame:
+    """The runs of at least ``rule.lines`` lines that start earlier too: doc_id, start, size, first_doc, first_start.
+
+    Starts count lines that are not blank from 0; the run at ``first_start`` of ``first_doc`` is the same, and earlier.
+    No run lies within another of its document. Parts whose earliest places do not follow each other, as in a periodic
+    text, are runs of their own that overlap. What is earlier, and which lines are equal, is said at :func:`repeated_lines`; rows alike in id and text
+    are one document here.
+    """
+    return _runs(_shared_lines(docs, rule, id_column, text_column), rule).select(
+        "doc_id", F.col("at").alias("start"), F.col("size").cast("int").alias("size"),
+        F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_start"))
+
+
+def repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column: str = "doc_id",
+                   text_column: str = "text") -> DataFrame:
+    """(key, text_key, removed) for every document with lines to delete: their sorted numbers from 0.
+
+    A line is deleted if it lies in a run of at least ``rule.lines`` lines, or is a single line of at least
+    ``rule.words`` words, that starts earlier too: in a document of a smaller id or further up in the same one. What
+    is earlier is judged on the input, and runs may overlap. Lines are compared without outer white space; blank lines
+    are passed over, so they neither count in a run nor break one, and are never deleted. Null ids are the smallest;
+    documents of one id are ordered by a hash of their texts, rows alike in both are one document.
+    """
+    places = _shared_lines(docs, rule, id_column, text_column)
+    single = places.filter(_later() & F.col("long")).select("key", "text_key", "line")
+    covered = _runs(places, rule).select(
+        "key", "text_key", F.explode(F.sequence("at", (F.col("at") + F.col("size") - 1).cast("int"))).alias("at"))
+    # Every line of a repeated run is itself repeated, so its number is among the places of the first round.
+    numbers = places.select("key", "text_key", "at", "line")
+    every = single.union(covered.join(numbers, ["key", "text_key", "at"]).select("key", "text_key", "line"))
     return every.groupBy("key", "text_key").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from folioworks.llm.anchors import bodies
-from folioworks.llm.lines import Repeats, without_repeated_lines
+from folioworks.llm.lines import Repeats, repeated_runs, without_repeated_lines
 from folioworks.llm.passages import Passage, deep_nodes, passage_report, repeated_passages
 from folioworks.llm.suffixes import Strings, equal_windows, induced, string_report
 from folioworks.llm.tokens import mix
@@ -215,6 +215,36 @@ def test_lines(spark, rule):
     assert sum(w[2] for w in want) > 3
 
 
+@pytest.mark.parametrize("rule", [Repeats(), Repeats(lines=1), Repeats(lines=3)])
+def test_runs_of_lines(spark, rule):
+    pick = np.random.default_rng(rule.lines)
+    texts = [[f"l{x}" for x in pick.integers(0, 12, pick.integers(0, 14))] for _ in range(60)]
+    long = [f"p{i}" for i in range(23)]
+    texts += [["x0", *long, "y0"], ["x1", "x2", *long, "y1"], long[4:17], ["again"] * 9]
+    rows = [(i if i != 3 else None, "\n\n".join(t), "clash") for i, t in enumerate(texts)]
+    rows += [(7, rows[7][1], "a row like another"), (900, None, ""), (901, "", "")]
+    of = {r[0]: t for r, t in zip(rows, texts, strict=False)}
+    got = repeated_runs(spark.createDataFrame(rows, "doc_id bigint, text string, first string").repartition(3), rule).collect()
+    order = lambda d, at: (d is not None, d or 0, at)
+    covered, first = set(), {}
+    for r in got:
+        assert r.size >= rule.lines and order(r.first_doc, r.first_start) < order(r.doc_id, r.start)
+        assert of[r.doc_id][r.start : r.start + r.size] == of[r.first_doc][r.first_start : r.first_start + r.size]
+        assert len(of[r.doc_id]) >= r.start + r.size
+        covered |= {(r.doc_id, i) for i in range(r.start, r.start + r.size)}
+    for a in got:
+        assert not any(a is not b and a.doc_id == b.doc_id and b.start <= a.start and a.start + a.size <= b.start + b.size for b in got)
+    for d, t in sorted(of.items(), key=lambda x: order(x[0], 0)):
+        for at in range(len(t) - rule.lines + 1):
+            first.setdefault(tuple(t[at : at + rule.lines]), (d, at))
+    assert covered == {(d, at + k) for d, t in of.items() for at in range(len(t) - rule.lines + 1)
+                       if first[tuple(t[at : at + rule.lines])] != (d, at) for k in range(rule.lines)}
+    assert {(r.doc_id, *r[1:]) for r in got if r.size > 12} == {(61, 2, 23, 60, 1), (62, 0, 13, 60, 5)}
+    # In a periodic text all parts start earliest at its beginning, so none goes on with the one before.
+    assert sorted(tuple(r) for r in got if r.doc_id == 63) == (
+        [(63, i, 6, 63, 0) for i in (1, 2, 3)] if rule.lines == 3 else [(63, 1, 8, 63, 0)])
+
+
 def test_small_batches_settle_the_same(spark):
     """Anchors that go on over many batches, in one partition."""
     rows = awkward(31)
