@@ -25,3 +25,20 @@ def test_request_addresses_are_not_written(spark, tmp_path):
     run = ArchiveRun(Landing(lines), (Library("A", ("https://a/",), "https://img.a/"),), Options(), "now", work_dir=str(tmp_path / "work"))
     assert "uuid\\:1" in run.urls.first().document_request_url and "uuid:1" in run.urls.first().pages_request_url
     assert "document_request_url" not in spark.read.parquet(str(tmp_path / "work/urls")).columns
+
+
+def test_many_ids_give_what_few_give(spark, tmp_path):
+    lines = spark.createDataFrame([(i, f"https://a/uuid:{i:x}") for i in range(0, 600, 3)], "pos long, line string")
+    body = '{"response":{"docs":[{"PID":"uuid:%x","rels_ext_index":[1],"dc.title":"T%d"}]}}'
+    page = '<div id="page-id-uuid:%x"></div>'
+    schema = "document_id string, status int, error_class string, %s string"
+    answers = [(f"uuid:{i:x}" if i % 50 else None, 500 if i % 2 else 200, None, body % (i, i)) for i in range(600)]
+    html = [(f"uuid:{i:x}", 200, None, page % i) for i in range(600)]
+    landing = Landing(lines, *(spark.createDataFrame(answers, schema % "body") for _ in range(2)), spark.createDataFrame(html, schema % "html"))
+    found = []
+    for limit in (1 << 24, 0):
+        run = ArchiveRun(landing, (Library("A", ("https://a/",), "https://img.a/"),), Options(), "now",
+                         work_dir=str(tmp_path / str(limit)), broadcast_bytes=limit)
+        pages = run.pages.select("doc_key", "page_index", "page_id").collect()
+        found.append((sorted(map(tuple, run.resolved.collect()), key=repr), sorted(map(tuple, pages))))
+    assert found[0] == found[1] and len(found[0][0]) == 200 and len(found[0][1]) == 200
