@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from folioworks.functions.html import attribute, outline, pieces_of, without_noise
 from folioworks.functions.text import clean_path
 from folioworks.operators.sources import QUESTIONS, Source, resolve_sources, unsettled
+from folioworks.sources.landing import write_table
 from workloads import derived
 
 LINE = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_shipdate string"
@@ -80,3 +81,10 @@ def test_clean_paths_pass_and_others_are_cleaned(spark):
     found = spark.createDataFrame([(r,) for r in rows], "p string").select(clean_path(F.col("p")).alias("p")).collect()
     assert [r.p for r in found] == [
         "a/b", "/a/b c/.d", "a/b", "a/./b", "../a", "a/b", "a/b", "ab", "a/b", "a/b", "", "/", "é/ b", "a/b", None]
+
+
+def test_ids_are_written_in_half_their_length(spark, tmp_path):
+    ids = spark.range(0, 20000, 1, 1).select(derived.document_id(F.col("id")).alias("document_id"))
+    back = write_table(ids, str(tmp_path / "ids"))
+    assert back.exceptAll(ids).count() == 0 and back.count() == 20000
+    assert sum(f.stat().st_size for f in (tmp_path / "ids").glob("*.parquet")) < 20000 * 24
