@@ -5,6 +5,9 @@ depth 2h of a place is that of the pair of its rank at depth h and the rank h li
 are an interval of the suffix array whose longest common prefix is at least that depth; a place whose rank is its own
 leaves the race, so later rounds only carry what repeats, and the rounds end when nothing does. Neighbouring places whose
 intervals begin at neighbouring places are one run, and runs within longer ones are dropped.
+
+Texts are written once, in chunks of the order they were read in, and stay there: only hashes and places are shuffled,
+and what is to be deleted comes back to the chunks.
 """
 
 from __future__ import annotations
@@ -15,8 +18,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from folioworks.functions.binding import computed_once, free_names
 from folioworks.llm.common import WORD, no_null, partitions, staged
+from folioworks.sources.landing import bucketed_copy
 
 PLACE = ("doc_id", "key", "text_key", "at")
+# Rows of a chunk, as a power of two: a chunk is one file at least, and its deletions are one row.
+CHUNK_BITS = 10
 
 
 @dataclass(frozen=True)
@@ -78,6 +84,15 @@ def _shared_lines(docs: DataFrame, rule: Repeats, id_column: str, text_column: s
     return staged(_ranked(staged(lines), ["a", "b"]))
 
 
+def _pairs(places: DataFrame, step: int) -> DataFrame:
+    """The places with their own rank as ``behind`` and that of the place ``step`` lines on, if it is one, as ``ahead``."""
+    there = Window.partitionBy("key", "text_key").orderBy("at").rangeBetween(step, step)
+    return (
+        places.select(*PLACE, F.col("rank").alias("behind"), F.max("rank").over(there).alias("ahead"))
+        .filter("ahead IS NOT NULL")
+    )
+
+
 def _runs(places: DataFrame, rule: Repeats) -> DataFrame:
     """(doc_id, key, text_key, at, size, first) of each run that starts earlier too, out of the places of shared lines."""
     place = [*PLACE, F.lit(0).alias("size"), "first"]
@@ -87,10 +102,7 @@ def _runs(places: DataFrame, rule: Repeats) -> DataFrame:
         if depth >= rule.lines:
             found = found.union(places.filter(_later()).select(*PLACE, F.lit(depth), "first"))
         step = depth if depth >= rule.lines else min(depth, rule.lines - depth)
-        ahead = places.select("key", "text_key", (F.col("at") - step).alias("at"), F.col("rank").alias("ahead"))
-        places = staged(_ranked(
-            places.select(*PLACE, "rank").join(ahead, ["key", "text_key", "at"])
-            .withColumnRenamed("rank", "behind"), ["behind", "ahead"]))
+        places = staged(_ranked(staged(_pairs(places, step)), ["behind", "ahead"]))
         depth += step
     # All of this stays with the document: one shuffle.
     document = Window.partitionBy("key", "text_key")
@@ -152,12 +164,23 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
     Null text stays null and has no lines; empty text has one. ``n_runs`` counts maximal stretches of deleted lines. A
     document that loses all its lines keeps an empty text. An empty table gives no rows.
     """
-    names = free_names(docs.columns, "key_of_repeats", "text_key_of_repeats", "lines_repeated", "lines_of_text")
-    removed = staged(repeated_lines(docs, rule, id_column, text_column)).select("key", "text_key", "removed").toDF(*names[:3])
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    same = (no_null(F.col(id_column)) == F.col(names[0])) & (F.xxhash64(text) == F.col(names[1]))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
+    names = free_names(docs.columns, "chunk_of_copy", "row_of_copy", "key_of_repeats", "text_key_of_repeats",
+                       "lines_repeated", "lines_of_text")
+    chunk, row, *same = names[:4]
+    rows = bucketed_copy(
+        docs.select("*", no_null(F.col(id_column)).alias(same[0]),
+                    F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias(same[1]),
+                    F.monotonically_increasing_id().alias(row))
+        .withColumn(chunk, F.shiftright(row, CHUNK_BITS)),
+        chunk, partitions(docs.sparkSession), compression="zstd")
+    removed = repeated_lines(rows, rule, id_column, text_column).toDF(*same, names[4])
+    by_row = F.map_from_entries(F.collect_list(F.struct(row, names[4])))
+    told = staged(rows.select(chunk, row, *same).join(removed, same).groupBy(chunk).agg(by_row.alias(names[4])))
+    joined = rows.join(told.hint("shuffle_hash"), chunk, "left").select(
+        *columns, F.try_element_at(names[4], F.col(row)).alias(names[4]))
     # A projection of its own, so that no text is split once per mention.
-    gone, lines = F.col(names[2]), F.col(names[3])
+    gone, lines = F.col(names[4]), F.col(names[5])
     bounds = F.concat(F.array(F.lit(-1)), gone, F.array(F.size(lines)))
     kept = F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(gone)),
@@ -169,10 +192,8 @@ def without_repeated_lines(docs: DataFrame, rule: Repeats = Repeats(), id_column
         "n_runs": F.coalesce(runs, F.lit(0)).cast("bigint"),
         text_column: F.when(gone.isNotNull(), F.array_join(kept, "\n")).otherwise(F.col(text_column)),
     }
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "n_runs")]
-    joined = docs.select(*columns).join(removed, same, "left")
     return (
-        computed_once(joined, **{names[3]: F.split(F.col(text_column), "\n")})
+        computed_once(joined, **{names[5]: F.split(F.col(text_column), "\n")})
         .select(*(added[c].alias(c) if c in added else F.col(c) for c in columns),
                 *(added[c].alias(c) for c in ("n_lines", "n_removed", "n_runs")))
     )

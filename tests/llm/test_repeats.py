@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from folioworks.llm import lines
 from folioworks.llm.anchors import bodies
 from folioworks.llm.lines import Repeats, repeated_runs, without_repeated_lines
 from folioworks.llm.passages import Passage, deep_nodes, passage_report, repeated_passages
@@ -245,6 +246,29 @@ def test_runs_of_lines(spark, rule):
         [(63, i, 6, 63, 0) for i in (1, 2, 3)] if rule.lines == 3 else [(63, 1, 8, 63, 0)])
 
 
+def test_texts_stay_where_they_are_to_lose_lines(spark, monkeypatch):
+    """Whatever the size: no text is shuffled, and a round deals its places by document once."""
+    said = [f"line {i} has ten words or more to be told apart" for i in range(9)]
+    rows = [(i % 23 or None, "\n".join(said[i % 5 :][: i % 7]), i) for i in range(60)] + [(70, None, 0), (70, "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row_of_copy int").repartition(3)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plans, write, old = [], lines.staged, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(lines, "staged", lambda df: plans.append(plan(df)) or write(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = without_repeated_lines(docs)
+        dealt = [x for x in plan(out).split("\n") if "Exchange" in x]
+        assert len(dealt) == 1 and "chunk_of_copy" in dealt[0]
+        assert not any(" at#" in x for p in plans for x in p.split("\n") if "Exchange hashpartitioning(key#" in x
+                       and "lines_repeated" not in p)
+        want = sorted(map(tuple, out.collect()), key=str)
+        assert out.columns == [*docs.columns, "n_lines", "n_removed", "n_runs"] and sum(r[4] for r in want) > 60
+        monkeypatch.setattr(lines, "CHUNK_BITS", 1)
+        assert sorted(map(tuple, without_repeated_lines(docs).collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_small_batches_settle_the_same(spark):
     """Anchors that go on over many batches, in one partition."""
     rows = awkward(31)
